@@ -48,9 +48,30 @@ def scale_array(a, s) -> Column:
     return F.transform(_c(a), lambda x: x * s)
 
 
+def split_flat_sorted(lists) -> Column:
+    """All parts of the ``|``-joined texts in ``lists``, sorted (native sort, no comparator)."""
+    return F.array_sort(F.flatten(F.transform(_c(lists), lambda z: F.split(z, r"\|"))))
+
+
+def rank_sorted_by_frequency(sorted_col, reversed_col) -> Column:
+    """Distinct values of a sorted array, most frequent first, ties alphabetical.
+
+    The count of ``q`` is (last index - first index + 1), both found by the native
+    ``array_position`` on the sorted array and on its reverse; no per-element lambda scan.
+    """
+    s, rs = _c(sorted_col), _c(reversed_col)
+    n = F.size(s)
+
+    def count(q):
+        return n - F.array_position(rs, q) - F.array_position(s, q) + 2
+
+    ranked = F.array_sort(F.transform(F.array_distinct(s),
+                                      lambda q: F.struct((-count(q)).alias("n"), q.alias("v"))))
+    return F.transform(ranked, lambda k: k["v"])
+
+
 def top_by_frequency(lists) -> Column:
-    """Split every ``|``-joined text in ``lists`` and return the distinct parts, most frequent first,
-    ties broken alphabetically."""
+    """Single-expression form of split + rank (used where the input is small)."""
     g = F.flatten(F.transform(_c(lists), lambda z: F.split(z, r"\|")))
     ranked = F.array_sort(F.transform(
         F.array_distinct(g),

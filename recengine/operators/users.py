@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recengine import schemas as S
-from recengine.functions.arrays import top_by_frequency
+from recengine.functions.arrays import rank_sorted_by_frequency, split_flat_sorted
 from recengine.functions.columns import two_decimals
 from recengine.operators.ordering import DEFAULT_HOT_ROWS, frame_groups
 
@@ -22,18 +22,30 @@ def history_window(order: list[str], frame: int = S.HISTORY_FRAME, salted: bool
     return Window.partitionBy(*parts).orderBy(*order).rowsBetween(-frame, -1)
 
 
-def user_feature_columns(w, slots: int = S.HISTORY_SLOTS) -> dict[str, "F.Column"]:
+def user_window_columns(w) -> dict[str, "F.Column"]:
+    """The windowed aggregates themselves (computed once each by the Window operator)."""
     positive = F.col("label") == 1
-    hist = F.reverse(F.collect_list(F.when(positive, F.col("movieId"))).over(w))
-    genres = top_by_frequency(F.collect_list(F.when(positive, F.col("genres"))).over(w))
-    cols = {f"userRatedMovie{i + 1}": F.get(hist, i) for i in range(slots)}
-    cols["userRatingCount"] = F.count(F.lit(1)).over(w)
-    cols["userAvgReleaseYear"] = F.coalesce(F.avg("releaseYear").over(w).cast("int"), F.lit(0))
-    cols["userReleaseYearStddev"] = two_decimals(F.coalesce(F.stddev_samp("releaseYear").over(w), F.lit(0.0)))
-    cols["userAvgRating"] = two_decimals(F.avg("rating").over(w))
-    cols["userRatingStddev"] = two_decimals(F.coalesce(F.stddev_samp("rating").over(w), F.lit(0.0)))
+    return {
+        "_hist": F.collect_list(F.when(positive, F.col("movieId"))).over(w),
+        "_gl": F.collect_list(F.when(positive, F.col("genres"))).over(w),
+        "userRatingCount": F.count(F.lit(1)).over(w),
+        "_ayear": F.avg("releaseYear").over(w),
+        "_syear": F.stddev_samp("releaseYear").over(w),
+        "_arating": F.avg("rating").over(w),
+        "_srating": F.stddev_samp("rating").over(w),
+    }
+
+
+def user_feature_columns(slots: int = S.HISTORY_SLOTS) -> dict[str, "F.Column"]:
+    """Final columns from the windowed aggregates and ``_top`` (ranked genres, computed once)."""
+    cols = {f"userRatedMovie{i + 1}": F.get(F.col("_hist"), F.size("_hist") - 1 - i) for i in range(slots)}
+    cols["userRatingCount"] = F.col("userRatingCount")
+    cols["userAvgReleaseYear"] = F.coalesce(F.col("_ayear").cast("int"), F.lit(0))
+    cols["userReleaseYearStddev"] = two_decimals(F.coalesce(F.col("_syear"), F.lit(0.0)))
+    cols["userAvgRating"] = two_decimals("_arating")
+    cols["userRatingStddev"] = two_decimals(F.coalesce(F.col("_srating"), F.lit(0.0)))
     for i in range(slots):
-        cols[f"userGenre{i + 1}"] = F.get(genres, i)
+        cols[f"userGenre{i + 1}"] = F.get(F.col("_top"), i)
     return cols
 
 
@@ -48,9 +60,14 @@ def add_user_features(samples: DataFrame, order: list[str] | None = None, frame:
     order = order or ["timestamp"]
     grouped = frame_groups(samples, "userId", order, frame, hot_threshold, chunk_rows)
     w = history_window(order, frame)
-    feats = user_feature_columns(w)
     base = [c for c in S.SAMPLE_COLUMNS if c in samples.columns]
     extra = [c for c in (keep or []) if c not in base]
-    out = grouped.select(*base, *extra, "_halo", *[v.alias(k) for k, v in feats.items()])
-    out = out.where(~F.col("_halo") & (F.col("userRatingCount") > min_prior))
-    return out.select(*S.SAMPLE_COLUMNS, *extra)
+    win = grouped.select(*base, *extra, "_halo", *[v.alias(k) for k, v in user_window_columns(w).items()])
+    # filter right above the Window: halo copies and rows with too short a history go first
+    win = win.where(~F.col("_halo") & (F.col("userRatingCount") > min_prior))
+    # genre ranking in steps, each array materialised once per row
+    ranked = (win.withColumn("_s", split_flat_sorted("_gl"))
+                 .withColumn("_rs", F.reverse("_s"))
+                 .withColumn("_top", rank_sorted_by_frequency("_s", "_rs")))
+    feats = user_feature_columns()
+    return ranked.select(*[feats[c].alias(c) if c in feats else F.col(c) for c in S.SAMPLE_COLUMNS], *extra)
