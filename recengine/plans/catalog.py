@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from recengine.operators import labels as L
 from recengine.operators import movies as M
+from recengine.operators import sequences as Q
+from recengine.operators import split as B
 from recengine.plans import samples as P
-from recengine.schemas import SAMPLE_COLUMNS
+from recengine.schemas import SAMPLE_COLUMNS, TESTDATA_ORDER
 from recengine.sources import fixtures as X
+from recengine.sources import readers as R
+from recengine.sources import sinks as K
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,5 +68,140 @@ def user_features(spark, sf):
     return P.user_features(spark, sf).select(*SAMPLE_COLUMNS)
 
 
-def _unused(*_):  # keep F imported for later sections
-    return F
+def _user_keyed(spark, sf, cols):
+    keys = ["userId", "movieId", "timestamp", "l_orderkey", "l_linenumber"]
+    return P.user_features(spark, sf, keep_tiebreak=True).select(*keys, *cols)
+
+
+@query
+def user_history(spark, sf):
+    return _user_keyed(spark, sf, [f"userRatedMovie{i}" for i in range(1, 6)])
+
+
+@query
+def user_rating_count(spark, sf):
+    return _user_keyed(spark, sf, ["userRatingCount"])
+
+
+@query
+def user_release_year_stats(spark, sf):
+    return _user_keyed(spark, sf, ["userAvgReleaseYear", "userReleaseYearStddev"])
+
+
+@query
+def user_rating_stats(spark, sf):
+    return _user_keyed(spark, sf, ["userAvgRating", "userRatingStddev"])
+
+
+@query
+def user_top_genres(spark, sf):
+    return _user_keyed(spark, sf, [f"userGenre{i}" for i in range(1, 6)])
+
+
+# --- movie pieces (P3 P4 P7 P8 J1) -----------------------------------------------------------
+@query
+def release_year(spark, sf):
+    return M.with_release_year(X.movies(spark, sf)).select("movieId", "title", "releaseYear")
+
+
+@query
+def genre_slots(spark, sf):
+    return M.with_genre_slots(X.movies(spark, sf)).select("movieId", "genres", "movieGenre1", "movieGenre2",
+                                                           "movieGenre3")
+
+
+@query
+def movie_join(spark, sf):
+    return M.join_movies(X.ratings(spark, sf), X.movies(spark, sf)).select(
+        "userId", "movieId", "timestamp", "l_orderkey", "l_linenumber", "title", "genres")
+
+
+@query
+def fill_missing(spark, sf):
+    """Every movie with its rating statistics; movies nobody rated get 0 (na.fill on named columns)."""
+    r = X.ratings(spark, sf)
+    stats = r.groupBy("movieId").agg(F.count(F.lit(1)).alias("movieRatingCount"),
+                                     F.avg("rating").alias("movieAvgRating"),
+                                     F.stddev_samp("rating").alias("movieRatingStddev"))
+    out = X.movies(spark, sf).select("movieId").join(stats, "movieId", "left")
+    return (out.na.fill(0, subset=["movieRatingCount", "movieAvgRating", "movieRatingStddev"])
+               .select("movieId", "movieRatingCount", F.round("movieAvgRating", 9).alias("movieAvgRating"),
+                       F.round("movieRatingStddev", 9).alias("movieRatingStddev")))
+
+
+@query
+def item_id_cast(spark, sf):
+    """Id text -> integer (try_cast: bad text gives null instead of failing the job)."""
+    m = X.movies(spark, sf).select("movieId", F.concat(F.lit(""), F.col("movieId").cast("string")).alias("movieIdText"))
+    return m.select("movieIdText", F.col("movieIdText").try_cast("int").alias("movieIdNumber"))
+
+
+# --- sequences (A4 A5 L2) --------------------------------------------------------------------
+@query
+def item_sequences(spark, sf):
+    return Q.item_sequences(X.ratings(spark, sf), order=TESTDATA_ORDER)
+
+
+@query
+def item_sequence_text(spark, sf):
+    return Q.sequence_text(Q.item_sequences(X.ratings(spark, sf), order=TESTDATA_ORDER))
+
+
+# --- sampling and split (B1 B2) --------------------------------------------------------------
+SAMPLE_KEY = ["userId", "movieId", "l_orderkey", "l_linenumber"]
+
+
+@query
+def sample_fraction(spark, sf):
+    return B.hash_sample(P.labeled(spark, sf), SAMPLE_KEY).select(*SAMPLE_KEY, "timestamp", "label")
+
+
+@query
+def train_test_split(spark, sf):
+    return B.train_test_split(P.labeled(spark, sf), SAMPLE_KEY).select(*SAMPLE_KEY, "label", "split")
+
+
+# --- scans and sinks (S1-S4) -----------------------------------------------------------------
+@query
+def ratings_scan(spark, sf):
+    """Typed headered CSV reader: fixture ratings written as CSV, read back with the schema."""
+    path = K.scratch_path(spark, "ratings-csv")
+    K.write_csv(X.ratings(spark, sf).select("userId", "movieId", "rating", "timestamp"), path)
+    return R.read_ratings(spark, path)
+
+
+@query
+def movies_scan(spark, sf):
+    path = K.scratch_path(spark, "movies-csv")
+    K.write_csv(X.movies(spark, sf), path)
+    return R.read_movies(spark, path)
+
+
+@query
+def samples_scan(spark, sf):
+    """Feature sample written as headered CSV and read back as the models read it."""
+    path = K.scratch_path(spark, "samples-csv")
+    K.write_csv(P.user_features(spark, sf), path)
+    return R.read_samples(spark, path)
+
+
+SAMPLE_ROW_KEY = ["userId", "movieId", "timestamp"]
+
+
+@query
+def csv_samples_sink(spark, sf):
+    """The job's last step: 10 % hash sample, 80/20 split, one headered CSV folder per part."""
+    sampled = B.hash_sample(P.user_features(spark, sf), SAMPLE_ROW_KEY)
+    split = B.train_test_split(sampled, SAMPLE_ROW_KEY)
+    paths = K.write_train_test(split, K.scratch_path(spark, "train-test"))
+    train = R.read_samples(spark, paths["train"]).withColumn("split", F.lit("train"))
+    test = R.read_samples(spark, paths["test"]).withColumn("split", F.lit("test"))
+    return train.unionByName(test)
+
+
+# --- previews (L3) ---------------------------------------------------------------------------
+@query
+def preview(spark, sf):
+    """First 20 labelled ratings in a total order (deterministic show())."""
+    return P.labeled(spark, sf).orderBy("userId", *TESTDATA_ORDER).limit(20).select(
+        "userId", "movieId", "rating", "timestamp", "label", "l_orderkey", "l_linenumber")

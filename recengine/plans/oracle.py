@@ -114,3 +114,58 @@ select movieId, userId, rating, timestamp, label, title, releaseYear, movieGenre
 from movie_features"""
 
 SQL["user_features"] = with_ctes(MOVIE_ATTR, USER_FEATURES) + f"select {SAMPLE_COLS} from user_features"
+
+_KEYS = "userId, movieId, timestamp, l_orderkey, l_linenumber"
+_UF = with_ctes(MOVIE_ATTR, USER_FEATURES)
+SQL["user_history"] = _UF + f"select {_KEYS}, userRatedMovie1, userRatedMovie2, userRatedMovie3, userRatedMovie4, userRatedMovie5 from user_features"
+SQL["user_rating_count"] = _UF + f"select {_KEYS}, userRatingCount from user_features"
+SQL["user_release_year_stats"] = _UF + f"select {_KEYS}, userAvgReleaseYear, userReleaseYearStddev from user_features"
+SQL["user_rating_stats"] = _UF + f"select {_KEYS}, userAvgRating, userRatingStddev from user_features"
+SQL["user_top_genres"] = _UF + f"select {_KEYS}, userGenre1, userGenre2, userGenre3, userGenre4, userGenre5 from user_features"
+
+SQL["release_year"] = with_ctes(MOVIE_ATTR) + "select movieId, title, releaseYear from movie_attr"
+SQL["genre_slots"] = with_ctes(MOVIE_ATTR) + "select movieId, genres, movieGenre1, movieGenre2, movieGenre3 from movie_attr"
+SQL["movie_join"] = with_ctes() + """
+select r.userId, r.movieId, r.timestamp, r.l_orderkey, r.l_linenumber, m.title, m.genres
+from ratings r left join movies m on r.movieId = m.movieId"""
+SQL["fill_missing"] = with_ctes() + """
+select m.movieId, coalesce(s.c, 0)::bigint as movieRatingCount, round(coalesce(s.a, 0), 9) as movieAvgRating,
+       round(coalesce(s.sd, 0), 9) as movieRatingStddev
+from movies m left join (select movieId, count(*) as c, avg(rating) as a, stddev_samp(rating) as sd
+                         from ratings group by movieId) s on m.movieId = s.movieId"""
+SQL["item_id_cast"] = with_ctes() + """
+select movieId::varchar as movieIdText, try_cast(movieId::varchar as integer) as movieIdNumber from movies"""
+
+_SEQ = f"""
+pos as (select * from ratings where rating >= 3.5 and userId is not null and movieId is not null
+                                 and timestamp is not null),
+numbered as (select *, row_number() over (partition by userId order by {ORDER}) - 1 as rn from pos),
+seqs as (select userId, (rn // 1000)::bigint as seq_part, list(movieId::varchar order by rn) as movieIds
+         from numbered group by userId, rn // 1000)"""
+SQL["item_sequences"] = with_ctes(_SEQ) + "select userId, seq_part, movieIds from seqs"
+SQL["item_sequence_text"] = with_ctes(_SEQ) + "select userId, seq_part, array_to_string(movieIds, ' ') as movieIdStr from seqs"
+
+
+def md5_bucket_sql(cols: str, n: int, salt: str) -> str:
+    parts = ", ".join([f"'{salt}'"] + [f"cast({c.strip()} as varchar)" for c in cols.split(",")])
+    return f"(('0x' || substr(md5(concat_ws('_', {parts})), 1, 8))::bigint % {n})"
+
+
+_SK = "userId, movieId, l_orderkey, l_linenumber"
+SQL["sample_fraction"] = with_ctes() + f"""
+select {_SK}, timestamp, label from labeled where {md5_bucket_sql(_SK, 1000, 'sample')} < 100"""
+SQL["train_test_split"] = with_ctes() + f"""
+select {_SK}, label, case when {md5_bucket_sql(_SK, 1000, 'split')} < 800 then 'train' else 'test' end as split
+from labeled"""
+
+SQL["ratings_scan"] = with_ctes() + "select userId, movieId, rating, timestamp from ratings"
+SQL["movies_scan"] = with_ctes() + "select movieId, title, genres from movies"
+SQL["samples_scan"] = _UF + f"select {SAMPLE_COLS} from user_features"
+_RK = "userId, movieId, timestamp"
+SQL["csv_samples_sink"] = _UF + f"""
+select {SAMPLE_COLS},
+       case when {md5_bucket_sql(_RK, 1000, 'split')} < 800 then 'train' else 'test' end as split
+from user_features where {md5_bucket_sql(_RK, 1000, 'sample')} < 100"""
+SQL["preview"] = with_ctes() + f"""
+select userId, movieId, rating, timestamp, label, l_orderkey, l_linenumber from labeled
+order by userId, {ORDER} limit 20"""
