@@ -205,3 +205,142 @@ def preview(spark, sf):
     """First 20 labelled ratings in a total order (deterministic show())."""
     return P.labeled(spark, sf).orderBy("userId", *TESTDATA_ORDER).limit(20).select(
         "userId", "movieId", "rating", "timestamp", "label", "l_orderkey", "l_linenumber")
+
+
+# --- encoders (K1 K5-K10) --------------------------------------------------------------------
+from recengine.operators import attention as AT  # noqa: E402
+from recengine.operators import encoders as E  # noqa: E402
+from recengine.operators import metrics as MT  # noqa: E402
+from recengine.operators import scoring as SC  # noqa: E402
+from recengine.operators import vectors as V  # noqa: E402
+from recengine.plans import features as FT  # noqa: E402
+
+KEYS = FT.KEYS
+
+
+@query
+def onehot_item_id(spark, sf):
+    """One-hot of movie ids (dropLast=False); emits the sparse view (size, index, value)."""
+    out, model = E.onehot_ids(X.movies(spark, sf))
+    size = int(model.categorySizes[0])
+    return out.select("movieId", F.lit(size).alias("size"), F.col("movieIdNumber").alias("index"),
+                      F.lit(1.0).alias("value"))
+
+
+@query
+def id_bucket(spark, sf):
+    return FT.encoded(spark, sf).select(*KEYS, "movieBucket", "userBucket", "ratedMovieBucket")
+
+
+@query
+def vocab_index(spark, sf):
+    return FT.encoded(spark, sf).select(*KEYS, *[f"{c}Index" for c in E.GENRE_COLS])
+
+
+@query
+def indicator(spark, sf):
+    n = len(FT.VOCAB)
+    both = F.concat(E.indicator("movieGenre1Index", n), E.indicator("userGenre1Index", n))
+    return FT.encoded(spark, sf).select(*KEYS, E.active_indices(both).alias("active"))
+
+
+@query
+def crossed_bucket(spark, sf):
+    return FT.encoded(spark, sf).select(*KEYS, E.crossed_bucket("movieBucket", "ratedMovieBucket").alias("crossBucket"))
+
+
+@query
+def numeric_features(spark, sf):
+    return FT.keyed_samples(spark, sf).select(*KEYS, E.numeric_array().alias("numeric"),
+                                              E.history_ids().alias("history"))
+
+
+@query
+def dense_features(spark, sf):
+    df, _ = FT.with_vectors(spark, sf)
+    return E.assembled_array(FT.dense_input(df)).select(*KEYS, F.col("features_array").alias("features"))
+
+
+# --- vector operators (J3 J4 K11-K13 L4 L5) --------------------------------------------------
+@query
+def embedding_lookup(spark, sf):
+    d = X.vector_dim(spark, sf)
+    return V.lookup(X.movies(spark, sf).select("movieId"), X.item_vectors(spark, sf), "movieId", "vector", d)
+
+
+@query
+def history_lookup(spark, sf):
+    d = X.vector_dim(spark, sf)
+    df = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
+    out = V.history_lookup(df, X.item_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    return out.select(*KEYS, "history_vectors", "history_mask")
+
+
+@query
+def fm_pair_dots(spark, sf):
+    df, _ = FT.with_vectors(spark, sf)
+    dots = V.pair_dots("item_vector", "user_vector", "item_genre_vector", "user_genre_vector")
+    return df.select(*KEYS, *[c.alias(k) for k, c in dots.items()])
+
+
+@query
+def tower_dot_score(spark, sf):
+    df, _ = FT.with_vectors(spark, sf)
+    return df.select(*KEYS, F.round(V.tower_score("user_vector", "item_vector"), 6).alias("score"))
+
+
+@query
+def history_attention_pool(spark, sf):
+    d = X.vector_dim(spark, sf)
+    base = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
+    base = V.lookup(base, X.item_vectors(spark, sf), "movieId", "item_vector", d)
+    hist = V.history_lookup(base, X.item_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    return AT.attention_pool(hist, d).select(*KEYS, "attention_weights", "pooled_history")
+
+
+SIMILAR_TO = 158   # item probed by the synonym search
+NEAREST_TO = 7     # item whose vector probes the exact nearest-neighbour search
+
+
+@query
+def similar_items(spark, sf):
+    return V.top_k_similar(X.item_vectors(spark, sf), SIMILAR_TO, k=20)
+
+
+@query
+def nearest_items_exact(spark, sf):
+    return V.k_nearest(X.item_vectors(spark, sf), NEAREST_TO, k=5)
+
+
+# --- scoring and metrics (L6 E1-E5) ----------------------------------------------------------
+SCORE_ORDER = ["userId", "timestamp", "l_orderkey", "l_linenumber", "movieId", "l_suppkey", "l_extendedprice"]
+
+
+@query
+def scored_preview(spark, sf):
+    return SC.scored_preview(X.scored(spark, sf), SCORE_ORDER, 12)
+
+
+@query
+def eval_log_loss(spark, sf):
+    return X.scored(spark, sf).agg(F.round(MT.log_loss(), 9).alias("log_loss"))
+
+
+@query
+def eval_accuracy(spark, sf):
+    return X.scored(spark, sf).agg(F.round(MT.accuracy(), 9).alias("accuracy"))
+
+
+@query
+def eval_roc_auc(spark, sf):
+    return MT.areas(X.scored(spark, sf)).select(F.round("roc_auc", 9).alias("roc_auc"))
+
+
+@query
+def eval_pr_auc(spark, sf):
+    return MT.areas(X.scored(spark, sf)).select(F.round("pr_auc", 9).alias("pr_auc"))
+
+
+@query
+def eval_summary(spark, sf):
+    return MT.summary(X.scored(spark, sf))

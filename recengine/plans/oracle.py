@@ -169,3 +169,182 @@ from user_features where {md5_bucket_sql(_RK, 1000, 'sample')} < 100"""
 SQL["preview"] = with_ctes() + f"""
 select userId, movieId, rating, timestamp, label, l_orderkey, l_linenumber from labeled
 order by userId, {ORDER} limit 20"""
+
+# --- encoders ----------------------------------------------------------------------------------
+_VOCAB = "['" + "', '".join(S.GENRE_VOCAB_TESTDATA) + "']"
+
+
+def vocab_idx(c: str) -> str:
+    return f"(coalesce(list_position({_VOCAB}, {c}), 0) - 1)::integer"
+
+
+def id_bkt(c: str, n: int) -> str:
+    return f"case when {c} >= 0 and {c} < {n} then {c} end"
+
+
+_GENRE_COLS = ["movieGenre1", "movieGenre2", "movieGenre3"] + [f"userGenre{i}" for i in range(1, 6)]
+ENCODED = f"""
+encoded as (
+  select *, {id_bkt('movieId', S.MOVIE_ID_BUCKETS)} as movieBucket, {id_bkt('userId', S.USER_ID_BUCKETS)} as userBucket,
+         {id_bkt('userRatedMovie1', S.MOVIE_ID_BUCKETS)} as ratedMovieBucket,
+         {", ".join(f"{vocab_idx(c)} as {c}Index" for c in _GENRE_COLS)}
+  from user_features)"""
+_ENC = with_ctes(MOVIE_ATTR, USER_FEATURES, ENCODED)
+
+SQL["onehot_item_id"] = with_ctes() + """
+select movieId, (select max(movieId) + 1 from movies)::integer as size, movieId::integer as index, 1.0::double as value
+from movies"""
+SQL["id_bucket"] = _ENC + f"select {_KEYS}, movieBucket, userBucket, ratedMovieBucket from encoded"
+SQL["vocab_index"] = _ENC + f"select {_KEYS}, {', '.join(c + 'Index' for c in _GENRE_COLS)} from encoded"
+
+
+def indicator_sql(c: str, n: int) -> str:
+    return f"list_transform(range({n}), lambda j: case when j = {c} then 1.0 else 0.0 end)"
+
+
+_NV = len(S.GENRE_VOCAB_TESTDATA)
+SQL["indicator"] = _ENC + f"""
+select {_KEYS}, list_filter(range({2 * _NV}), lambda j: list_concat({indicator_sql('movieGenre1Index', _NV)},
+                                                   {indicator_sql('userGenre1Index', _NV)})[j + 1] <> 0) as active
+from encoded"""
+SQL["crossed_bucket"] = _ENC + f"""
+select {_KEYS}, case when movieBucket is not null and ratedMovieBucket is not null
+                     then (('0x' || substr(md5(concat_ws('_', cast(movieBucket as varchar), cast(ratedMovieBucket as varchar))), 1, 8))::bigint % {S.CROSS_BUCKETS}) end as crossBucket
+from encoded"""
+
+
+def num_sql() -> str:
+    parts = []
+    for c in ["movieAvgRating", "movieRatingStddev", "movieRatingCount", "userAvgRating", "userRatingStddev",
+              "userRatingCount", "releaseYear"]:
+        if c.endswith(("Rating", "Stddev")):
+            parts.append(f"coalesce(try_cast(replace({c}, ',', '') as double), 0.0)")
+        else:
+            parts.append(f"coalesce({c}::double, 0.0)")
+    return "[" + ", ".join(parts) + "]"
+
+
+SQL["numeric_features"] = _UF + f"""
+select {_KEYS}, {num_sql()} as numeric,
+       [{", ".join(f"coalesce(userRatedMovie{i}, 0)::bigint" for i in range(1, 6))}] as history
+from user_features"""
+
+VECS = """
+vecs as (select vec_id as id, embedding::double[] as vector from embeddings),
+dim as (select max(len(vector)) as d from vecs),
+zero as (select list_transform(range(d), lambda x: 0.0::double) as z from dim),
+withvec as (
+  select e.*, coalesce(v1.vector, (select z from zero)) as item_vector,
+         coalesce(v2.vector, (select z from zero)) as user_vector,
+         coalesce(v3.vector, (select z from zero)) as item_genre_vector,
+         coalesce(v4.vector, (select z from zero)) as user_genre_vector
+  from encoded e
+  left join vecs v1 on v1.id = e.movieId
+  left join vecs v2 on v2.id = e.userId % 500
+  left join vecs v3 on v3.id = case when e.movieGenre1Index >= 0 then 490 + e.movieGenre1Index end
+  left join vecs v4 on v4.id = case when e.userGenre1Index >= 0 then 490 + e.userGenre1Index end)"""
+_VEC = with_ctes(MOVIE_ATTR, USER_FEATURES, ENCODED, VECS)
+SQL["dense_features"] = _VEC + f"""
+select {_KEYS}, list_concat({num_sql()}, item_vector, user_vector,
+                            {indicator_sql('movieGenre1Index', _NV)}, {indicator_sql('userGenre1Index', _NV)}) as features
+from withvec"""
+
+
+def dot_sql(a: str, b: str) -> str:
+    return f"round(list_sum(list_transform(list_zip({a}, {b}), lambda t: t[1] * t[2])), 6)"
+
+
+SQL["fm_pair_dots"] = _VEC + f"""
+select {_KEYS}, {dot_sql('item_vector', 'user_vector')} as dot_item_user,
+       {dot_sql('item_genre_vector', 'user_genre_vector')} as dot_genre_genre,
+       {dot_sql('item_genre_vector', 'user_vector')} as dot_itemgenre_user,
+       {dot_sql('item_vector', 'user_genre_vector')} as dot_item_usergenre
+from withvec"""
+SQL["tower_dot_score"] = _VEC + f"""
+select {_KEYS}, round(1.0 / (1.0 + exp(-(1.0 * list_sum(list_transform(list_zip(user_vector, item_vector), lambda t: t[1] * t[2])) + 0.0))), 6) as score
+from withvec"""
+
+_VECS_ONLY = """
+vecs as (select vec_id as id, embedding::double[] as vector from embeddings),
+dim as (select max(len(vector)) as d from vecs),
+zero as (select list_transform(range(d), lambda x: 0.0::double) as z from dim)"""
+SQL["embedding_lookup"] = with_ctes(_VECS_ONLY) + """
+select m.movieId, coalesce(v.vector, (select z from zero)) as vector from movies m left join vecs v on v.id = m.movieId"""
+
+HIST = """
+hist as (
+  select u.*, [coalesce(h1.vector, (select z from zero)), coalesce(h2.vector, (select z from zero)),
+               coalesce(h3.vector, (select z from zero)), coalesce(h4.vector, (select z from zero)),
+               coalesce(h5.vector, (select z from zero))] as history_vectors,
+         [(userRatedMovie1 is not null)::integer, (userRatedMovie2 is not null)::integer,
+          (userRatedMovie3 is not null)::integer, (userRatedMovie4 is not null)::integer,
+          (userRatedMovie5 is not null)::integer] as history_mask,
+         coalesce(c.vector, (select z from zero)) as item_vector
+  from user_features u
+  left join vecs h1 on h1.id = u.userRatedMovie1 left join vecs h2 on h2.id = u.userRatedMovie2
+  left join vecs h3 on h3.id = u.userRatedMovie3 left join vecs h4 on h4.id = u.userRatedMovie4
+  left join vecs h5 on h5.id = u.userRatedMovie5 left join vecs c on c.id = u.movieId)"""
+_HIST = with_ctes(MOVIE_ATTR, USER_FEATURES, _VECS_ONLY, HIST)
+SQL["history_lookup"] = _HIST + f"select {_KEYS}, history_vectors, history_mask from hist"
+
+
+def _score_sql(h: str, d: int = 64) -> str:
+    coef = lambda k: f"((({k} * {d}) + j) % 7 - 3) / 50.0"
+    return (f"(list_sum(list_transform(range({d}), lambda j: {coef(0)} * ({h}[j + 1] - item_vector[j + 1]) + "
+            f"{coef(1)} * {h}[j + 1] + {coef(2)} * item_vector[j + 1] + {coef(3)} * {h}[j + 1] * item_vector[j + 1])) + 0.1)")
+
+
+ATT = """
+att as (
+  select *, [""" + ", ".join(
+    f"case when history_mask[{i}] = 1 then 1.0 / (1.0 + exp(-{_score_sql(f'history_vectors[{i}]')})) else 0.0 end"
+    for i in range(1, 6)) + """] as w
+  from hist)"""
+SQL["history_attention_pool"] = with_ctes(MOVIE_ATTR, USER_FEATURES, _VECS_ONLY, HIST, ATT) + f"""
+select {_KEYS}, list_transform(w, lambda x: round(x, 6)) as attention_weights,
+       list_transform(range(64), lambda j: round(w[1] * history_vectors[1][j + 1] + w[2] * history_vectors[2][j + 1]
+                                           + w[3] * history_vectors[3][j + 1] + w[4] * history_vectors[4][j + 1]
+                                           + w[5] * history_vectors[5][j + 1], 6)) as pooled_history
+from att"""
+
+SQL["similar_items"] = with_ctes(_VECS_ONLY) + """
+select id, round(list_cosine_similarity(vector, (select vector from vecs where id = 158)), 6) as similarity
+from vecs where id <> 158 order by similarity desc, id limit 20"""
+SQL["nearest_items_exact"] = with_ctes(_VECS_ONLY) + """
+select id, round(list_distance(vector, (select vector from vecs where id = 7)), 6) as distance
+from vecs order by distance, id limit 5"""
+
+# --- scoring and metrics -------------------------------------------------------------------------
+SCORED = """
+scored as (
+  select userId, movieId, timestamp, l_orderkey, l_linenumber, l_suppkey, l_extendedprice,
+         round(1.0 / (1.0 + exp(-(((movieId % 11) - 5 + (userId % 7) - 3 + rating) / 4.0))), 6) as p,
+         case when rating >= 3.5 then 1 else 0 end as label
+  from ratings)"""
+_SCORED = with_ctes(SCORED)
+SQL["scored_preview"] = _SCORED + """
+select userId, timestamp, l_orderkey, l_linenumber, movieId, l_suppkey, l_extendedprice,
+       concat(format('{:,.2f}', round(p * 100, 9)), '%') as predicted,
+       case when label = 1 then 'Good Rating' else 'Bad Rating' end as actual
+from scored order by userId, timestamp, l_orderkey, l_linenumber, movieId, l_suppkey, l_extendedprice limit 12"""
+_LL = "avg(-(label * ln(least(greatest(p, 1e-7), 1 - 1e-7)) + (1 - label) * ln(1 - least(greatest(p, 1e-7), 1 - 1e-7))))"
+_ACC = "avg(case when (p > 0.5)::integer = label then 1 else 0 end)"
+SQL["eval_log_loss"] = _SCORED + f"select round({_LL}, 9) as log_loss from scored"
+SQL["eval_accuracy"] = _SCORED + f"select round({_ACC}, 9) as accuracy from scored"
+AREAS = """
+g as (select p as score, sum(label)::double as pos, sum(1 - label)::double as neg from scored group by p),
+c as (select *, coalesce(sum(pos) over (order by score desc rows between unbounded preceding and 1 preceding), 0) as pos_above,
+                coalesce(sum(neg) over (order by score desc rows between unbounded preceding and 1 preceding), 0) as neg_above
+      from g),
+pr as (select *, (pos_above + pos) / (pos_above + pos + neg_above + neg) as prec,
+              case when pos_above + neg_above > 0 then pos_above / (pos_above + neg_above)
+                   else (pos_above + pos) / (pos_above + pos + neg_above + neg) end as prev_prec from c),
+areas as (select sum(neg * (pos_above + pos / 2)) / (sum(pos) * sum(neg)) as roc_auc,
+                 sum(pos * (prec + prev_prec) / 2) / sum(pos) as pr_auc from pr)"""
+_AREAS = with_ctes(SCORED, AREAS)
+SQL["eval_roc_auc"] = _AREAS + "select round(roc_auc, 9) as roc_auc from areas"
+SQL["eval_pr_auc"] = _AREAS + "select round(pr_auc, 9) as pr_auc from areas"
+SQL["eval_summary"] = _AREAS + f"""
+select round({_LL}, 9) as log_loss, round({_ACC}, 9) as accuracy,
+       (select round(roc_auc, 9) from areas) as roc_auc, (select round(pr_auc, 9) from areas) as pr_auc
+from scored"""
