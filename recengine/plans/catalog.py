@@ -344,3 +344,93 @@ def eval_pr_auc(spark, sf):
 @query
 def eval_summary(spark, sf):
     return MT.summary(X.scored(spark, sf))
+
+
+# --- learned vectors, LSH, sinks, forward pass, models (K2-K4 K14 S5 S6 M1-M7) -----------------
+# No SQL twin: these fit models; the driver checks rows, pytest checks properties.
+from recengine.plans import training as TR  # noqa: E402
+from recengine.schemas import LSH_PROBE_VECTOR  # noqa: E402
+
+
+@query
+def item2vec(spark, sf):
+    return TR.item2vec_vectors(spark, sf)
+
+
+@query
+def lsh_buckets(spark, sf):
+    model, df = TR.lsh_on_item2vec(spark, sf)
+    return V.lsh_buckets(model, df)
+
+
+@query
+def lsh_nearest(spark, sf):
+    model, df = TR.lsh_on_item2vec(spark, sf)
+    return V.lsh_nearest(model, df, LSH_PROBE_VECTOR, 5)
+
+
+@query
+def item_vector_sink(spark, sf):
+    """item2vec vectors written as `id:v1 v2 ...` text by the executors, read back."""
+    path = K.scratch_path(spark, "item-vectors")
+    K.write_item_vectors(TR.item2vec_vectors(spark, sf), path)
+    return spark.read.text(path)
+
+
+@query
+def dense_forward(spark, sf):
+    df, _ = FT.with_vectors(spark, sf)
+    dense = E.assembled_array(FT.dense_input(df))
+    dim = 7 + 2 * X.vector_dim(spark, sf) + 2 * len(FT.VOCAB)
+    layers = SC.rule_layers([dim, 128, 128, 1])
+    return SC.dense_forward(dense, "features_array", KEYS, layers)
+
+
+@query
+def model_sink(spark, sf):
+    """Fit a pipeline, save it, load it back and score the test rows with the loaded model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    from recengine.operators.models import p_one, save_load
+
+    df, _ = TR.model_frame(spark, sf)
+    train, test = df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
+    model = Pipeline(stages=[LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)]).fit(train)
+    loaded = save_load(model, K.scratch_path(spark, "model"))
+    return p_one(loaded.transform(test)).select(*KEYS, F.round("p", 9).alias("p"))
+
+
+@query
+def batch_score(spark, sf):
+    return TR.batch_score(spark, sf)
+
+
+@query
+def train_embedding_mlp(spark, sf):
+    return TR.train_embedding_mlp(spark, sf)
+
+
+@query
+def train_ncf_concat(spark, sf):
+    return TR.train_ncf_concat(spark, sf)
+
+
+@query
+def train_two_tower(spark, sf):
+    return TR.train_two_tower(spark, sf)
+
+
+@query
+def train_deep_fm(spark, sf):
+    return TR.train_deep_fm(spark, sf)
+
+
+@query
+def train_wide_deep(spark, sf):
+    return TR.train_wide_deep(spark, sf)
+
+
+@query
+def train_interest_net(spark, sf):
+    return TR.train_interest_net(spark, sf)
