@@ -1,0 +1,41 @@
+import random
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from recengine.operators import models as MD
+from recengine.operators import metrics as MT
+from recengine.sources.sinks import scratch_path
+
+
+def planted(spark, n=1500):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(n):
+        x = [rnd.gauss(0, 1) for _ in range(5)]
+        y = 1.0 if x[0] + 0.5 * x[1] + rnd.gauss(0, 0.5) > 0 else 0.0
+        rows.append((i, x, y, "train" if i % 5 else "test"))
+    df = spark.createDataFrame(rows, "k long, f array<double>, label double, split string")
+    return df.withColumn("features", array_to_vector("f"))
+
+
+def test_mlp_learns_planted_signal_and_reloads(spark):
+    df = planted(spark)
+    train, test = df.where("split = 'train'"), df.where("split = 'test'")
+    model = MD.mlp([5, 8, 2], max_iter=100).fit(train)
+    pred = MD.p_one(model.transform(test))
+    auc = MT.areas(pred.select("p", F.col("label").cast("int").alias("label"))).collect()[0]["roc_auc"]
+    assert auc > 0.8
+    loaded = MD.save_load(model, scratch_path(spark, "mlp"))
+    a = {r["k"]: r["p"] for r in pred.select("k", "p").collect()}
+    b = {r["k"]: r["p"] for r in MD.p_one(loaded.transform(test)).select("k", "p").collect()}
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-12
+
+
+def test_entry_and_contract(spark):
+    import __spark_entry__ as E
+
+    df = E.entry(spark)
+    assert len(df.columns) == 28 and df.count() > 0
+    q, sql = E.queries(), E.oracle_sql()
+    assert set(sql) <= set(q)
