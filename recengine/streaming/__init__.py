@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream job (no readStream/writeStream, watermark or state anywhere), so no
+streaming operator is built. The per-user history features are a *batch* bounded-frame window
+(:mod:`recengine.operators.users`); they are leak-free by construction, which is what an
+incremental variant would have to preserve.
+"""
