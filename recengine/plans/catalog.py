@@ -434,3 +434,19 @@ def train_wide_deep(spark, sf):
 @query
 def train_interest_net(spark, sf):
     return TR.train_interest_net(spark, sf)
+
+
+@query
+def history_attention_net(spark, sf):
+    """K13 net form: 32-unit activation unit with PReLU, Arrow-batched."""
+    d = X.vector_dim(spark, sf)
+    base = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
+    base = V.lookup(base, X.item_vectors(spark, sf), "movieId", "item_vector", d)
+    hist = V.history_lookup(base, X.item_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    return AT.attention_net(hist, d, KEYS, SC.rule_layers([4 * d, 32, 1]))
+
+
+@query
+def similar_items_model(spark, sf):
+    """L4 on the learned vectors: findSynonyms of item 158 (empty when absent from the vocabulary)."""
+    return V.synonyms(TR.item2vec_model(spark, sf), str(SIMILAR_TO), 20)

@@ -90,3 +90,31 @@ def test_lsh_recall_on_fixture_vectors(spark):
     model, df = V.lsh_model(vecs, bucket_length=4.0)
     approx = {int(r["id"]) for r in V.lsh_nearest(model, df, list(probe), 5).collect()}
     assert len(exact & approx) / 5 >= 0.8
+
+
+def test_attention_net_matches_row_loop(spark):
+    d = 3
+    rng = np.random.default_rng(1)
+    rows = []
+    for k in range(20):
+        h = [[float(x) for x in rng.normal(size=d)] for _ in range(5)]
+        m = [int(x) for x in rng.integers(0, 2, size=5)]
+        rows.append((k, h, m, [float(x) for x in rng.normal(size=d)]))
+    df = spark.createDataFrame(rows, "k long, history_vectors array<array<double>>, history_mask array<int>, "
+                                     "item_vector array<double>")
+    layers = SC.rule_layers([4 * d, 32, 1])
+    got = {r["k"]: r for r in AT.attention_net(df, d, ["k"], layers).collect()}
+    (w1, b1), (w2, b2) = layers
+    for k, h, m, c in rows:
+        pooled = np.zeros(d)
+        for i in range(5):
+            if not m[i]:
+                assert got[k]["attention_weights"][i] == 0.0
+                continue
+            hv, cv = np.array(h[i]), np.array(c)
+            z = np.concatenate([hv - cv, hv, cv, hv * cv]) @ w1 + b1
+            z = np.where(z > 0, z, 0.25 * z)
+            w = 1 / (1 + np.exp(-(z @ w2 + b2)[0]))
+            assert abs(got[k]["attention_weights"][i] - w) < 1e-12
+            pooled += w * hv
+        assert np.allclose(got[k]["pooled_history"], pooled, atol=1e-12)
