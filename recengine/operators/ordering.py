@@ -96,14 +96,16 @@ def group_positions(df: DataFrame, key: str, order: list[str], total_rows: int |
 
 
 def frame_groups(df: DataFrame, key: str, order: list[str], lookback: int,
-                 hot_threshold: int = DEFAULT_HOT_ROWS, chunk_rows: int | None = None) -> DataFrame:
+                 hot_threshold: int = DEFAULT_HOT_ROWS, chunk_rows: int | None = None,
+                 hot: HotKeys | None = None) -> DataFrame:
     """Adds ``_chunk`` (sub-group id) and ``_halo`` (copy only needed as look-back) for a bounded
     row-frame window ``partitionBy(key, _chunk).orderBy(order).rowsBetween(-lookback, -1)``.
 
     Normal groups get ``_chunk = 0`` and no halo rows, so the common case costs one shuffle.
+    ``hot`` may be computed by the caller on a cheaper frame with the same rows per key.
     """
     chunk_rows = chunk_rows or hot_threshold
-    hot = hot_keys(df, key, hot_threshold)
+    hot = hot if hot is not None else hot_keys(df, key, hot_threshold)
     if hot.empty:
         return df.withColumn("_chunk", F.lit(0).cast("bigint")).withColumn("_halo", F.lit(False))
     normal, hot_rows = split_by_hot(df, hot)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from recengine import schemas as S
 from recengine.operators.labels import add_label
 from recengine.operators.movies import add_movie_features
-from recengine.operators.ordering import DEFAULT_HOT_ROWS
+from recengine.operators.ordering import DEFAULT_HOT_ROWS, hot_keys
 from recengine.operators.users import add_user_features
 from recengine.sources import fixtures
 
@@ -25,13 +25,18 @@ def movie_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_features(spark: SparkSession, sf_dir: str, keep_tiebreak: bool = False,
                   hot_threshold: int = DEFAULT_HOT_ROWS, chunk_rows: int | None = None) -> DataFrame:
     """The flagship 28-column sample over the driver tables."""
-    return add_user_features(movie_features(spark, sf_dir), order=S.TESTDATA_ORDER,
-                             keep=TIEBREAK if keep_tiebreak else None,
-                             hot_threshold=hot_threshold, chunk_rows=chunk_rows)
+    rated = labeled(spark, sf_dir)
+    # hot users counted on the ratings' user column alone (left joins keep rows per user)
+    hot = hot_keys(rated.select("userId"), "userId", hot_threshold)
+    samples = add_movie_features(rated, fixtures.movies(spark, sf_dir))
+    return add_user_features(samples, order=S.TESTDATA_ORDER, keep=TIEBREAK if keep_tiebreak else None,
+                             hot_threshold=hot_threshold, chunk_rows=chunk_rows, hot=hot)
 
 
 def build_samples(ratings: DataFrame, movies: DataFrame, order: list[str] | None = None,
                   hot_threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Generic form for any typed ratings/movies pair (CSV or table)."""
-    return add_user_features(add_movie_features(add_label(ratings), movies), order=order or ["timestamp"],
-                             hot_threshold=hot_threshold)
+    rated = add_label(ratings)
+    hot = hot_keys(rated.select("userId"), "userId", hot_threshold)
+    return add_user_features(add_movie_features(rated, movies), order=order or ["timestamp"],
+                             hot_threshold=hot_threshold, hot=hot)
