@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recengine import schemas as S
 from recengine.functions.columns import genre_slot, release_year, two_decimals
 from recengine.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
+from recengine.session import reliable_checkpoint
 
 
 def with_release_year(movies: DataFrame, title: str = "title") -> DataFrame:
@@ -51,9 +52,16 @@ def join_movies(ratings: DataFrame, movies: DataFrame,
 
 
 def add_movie_features(labeled: DataFrame, movies: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Labelled ratings + movie attributes + per-movie rating statistics."""
+                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, pin_stats: bool = True) -> DataFrame:
+    """Labelled ratings + movie attributes + per-movie rating statistics.
+
+    The statistics are one aggregation over all ratings. With ``pin_stats`` they are written once
+    (reliable checkpoint): their real size then decides the broadcast without running the
+    aggregation a second time, and the main job reads the small written table.
+    """
     base = join_movies(labeled, movies, max_broadcast_rows)
     stats = movie_rating_stats(labeled)
+    if pin_stats:
+        stats = reliable_checkpoint(stats)
     out = join_dimension(base, stats, "movieId", "left", max_broadcast_rows)
     return out.withColumn("movieRatingCount", F.coalesce(F.col("movieRatingCount"), F.lit(0)).cast("bigint"))
