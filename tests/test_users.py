@@ -72,3 +72,17 @@ def test_hot_user_split_is_exact(spark):
         hot = run(spark, rows, order=order, hot_threshold=50, chunk_rows=chunk)
         assert plain.count() == hot.count()
         assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+
+
+def test_many_hot_keys_use_frame_path(spark, monkeypatch):
+    from recengine.operators import ordering
+
+    monkeypatch.setattr(ordering, "MAX_HOT_LITERALS", 1)
+    rows = [(u, 10 + (i * 5 + u) % 4, 0.5 + ((i * 7 + u) % 10) * 0.5, 100 + i * 10)
+            for u in (1, 2, 3, 4) for i in range(40 + 10 * u)]
+    order = ["timestamp", "movieId", "rating"]
+    plain = run(spark, rows, order=order)
+    hot = run(spark, rows, order=order, hot_threshold=45, chunk_rows=20)
+    h = ordering.hot_keys(spark.createDataFrame([(r[0],) for r in rows], "userId long"), "userId", 45)
+    assert h.values is None and h.rows == sum(40 + 10 * u for u in (1, 2, 3, 4) if 40 + 10 * u > 45)
+    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
