@@ -35,3 +35,14 @@ def test_split_disjoint_and_shares(spark):
     assert abs(sample / 20000 - 0.1) < 0.01
     # repeatable: a second evaluation gives the same rows
     assert train_test_split(df, ["k"]).exceptAll(s).count() == 0
+
+
+def test_item_vector_text_round_trip(spark):
+    from recengine.sources import sinks
+
+    vecs = spark.createDataFrame([("7", [0.5, -1.25, 3.0]), ("9", [0.1, 0.2, 0.3])], "word string, vector array<double>")
+    path = sinks.scratch_path(spark, "vec-text")
+    sinks.write_item_vectors(vecs, path)
+    lines = {r[0].split(":")[0]: [float(x) for x in r[0].split(":")[1].split(" ")] for r in spark.read.text(path).collect()}
+    assert lines["7"] == [0.5, -1.25, 3.0]
+    assert [round(x, 6) for x in lines["9"]] == [0.1, 0.2, 0.3]
