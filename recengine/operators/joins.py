@@ -10,7 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000
+# Budget for one broadcast side; wide rows (vectors) get fewer rows than the row default.
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def rows_for_width(row_bytes: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+    """Row cap so that rows * row_bytes stays inside the broadcast byte budget."""
+    return max(1, min(max_rows, MAX_BROADCAST_BYTES // max(1, row_bytes)))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:

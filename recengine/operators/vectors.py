@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from recengine import schemas as S
 from recengine.functions.arrays import cosine, dot, l2_distance, zeros
 from recengine.functions.columns import sigmoid
-from recengine.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from recengine.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, rows_for_width
 
 
 def lookup(df: DataFrame, vectors: DataFrame, key, out_col: str, dim: int,
@@ -24,7 +24,7 @@ def lookup(df: DataFrame, vectors: DataFrame, key, out_col: str, dim: int,
     k = F.col(key) if isinstance(key, str) else key
     v = vectors.select(F.col("id").alias("_lk_id"), F.col("vector").alias("_lk_vec"))
     if small is None:
-        small = fits_broadcast(vectors, max_broadcast_rows)
+        small = fits_broadcast(vectors, rows_for_width(8 * dim + 48, max_broadcast_rows))
     if small:
         v = F.broadcast(v)
     out = df.join(v, k == F.col("_lk_id"), "left")
@@ -40,7 +40,7 @@ def history_lookup(df: DataFrame, vectors: DataFrame, slot_cols: list[str], key_
     at most ``len(slot_cols)`` rows).
     """
     mask = F.array(*[F.when(F.col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0)) for c in slot_cols])
-    if fits_broadcast(vectors, max_broadcast_rows):
+    if fits_broadcast(vectors, rows_for_width(8 * dim + 48, max_broadcast_rows)):
         out = df
         for i, c in enumerate(slot_cols):
             out = lookup(out, vectors, c, f"_h{i}", dim, small=True)

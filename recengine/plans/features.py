@@ -32,7 +32,7 @@ def with_vectors(spark: SparkSession, sf: str, df: DataFrame | None = None) -> t
     df = df if df is not None else encoded(spark, sf)
     vecs = X.item_vectors(spark, sf)
     d = X.vector_dim(spark, sf)
-    small = V.fits_broadcast(vecs)
+    small = V.fits_broadcast(vecs, V.rows_for_width(8 * d + 48))
     out = V.lookup(df, vecs, "movieId", "item_vector", d, small=small)
     out = V.lookup(out, vecs, F.col("userId") % X.USER_VECTOR_MOD, "user_vector", d, small=small)
     out = V.lookup(out, vecs, genre_vector_key("movieGenre1Index"), "item_genre_vector", d, small=small)
