@@ -86,3 +86,24 @@ def test_many_hot_keys_use_frame_path(spark, monkeypatch):
     h = ordering.hot_keys(spark.createDataFrame([(r[0],) for r in rows], "userId long"), "userId", 45)
     assert h.values is None and h.rows == sum(40 + 10 * u for u in (1, 2, 3, 4) if 40 + 10 * u > 45)
     assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+
+
+def test_single_rating_movie_stddev_is_zero_text(spark):
+    from recengine.operators.movies import movie_rating_stats
+
+    r = spark.createDataFrame([(1, 10, 4.0, 1), (2, 11, 3.0, 1), (3, 11, 4.0, 2)],
+                              "userId long, movieId long, rating double, timestamp long")
+    got = {x["movieId"]: (x["movieRatingCount"], x["movieAvgRating"], x["movieRatingStddev"])
+           for x in movie_rating_stats(r).collect()}
+    assert got[10] == (1, "4.00", "0.00") and got[11] == (2, "3.50", "0.71")
+
+
+def test_group_positions_dense_inside_skewed_group(spark):
+    from recengine.operators.ordering import group_positions
+
+    rows = [(1, t, k) for t in range(300) for k in range(3)] + [(2, t, 0) for t in range(7)]
+    df = spark.createDataFrame(rows, "u long, t long, k long").repartition(5)
+    pos = group_positions(df, "u", ["t", "k"], total_rows=len(rows), rows_per_partition=100)
+    got = {(r["u"], r["t"], r["k"]): r["_pos"] for r in pos.collect()}
+    assert [got[(1, t, k)] for t in range(300) for k in range(3)] == list(range(900))
+    assert [got[(2, t, 0)] for t in range(7)] == list(range(7))
