@@ -46,3 +46,14 @@ def test_item_vector_text_round_trip(spark):
     lines = {r[0].split(":")[0]: [float(x) for x in r[0].split(":")[1].split(" ")] for r in spark.read.text(path).collect()}
     assert lines["7"] == [0.5, -1.25, 3.0]
     assert [round(x, 6) for x in lines["9"]] == [0.1, 0.2, 0.3]
+
+
+def test_item2vec_repeatable_with_seed(spark):
+    from recengine.operators import vectors as V
+
+    seqs = spark.createDataFrame([([str((i * k) % 13) for k in range(1, 15)],) for i in range(1, 40)],
+                                 "movieIds array<string>")
+    a = {r["word"]: r["vector"] for r in V.model_vectors(V.train_item2vec(seqs, min_count=1, seed=5)).collect()}
+    b = {r["word"]: r["vector"] for r in V.model_vectors(V.train_item2vec(seqs, min_count=1, seed=5)).collect()}
+    assert a.keys() == b.keys() and all(a[k] == b[k] for k in a)
+    assert len(next(iter(a.values()))) == 10

@@ -107,3 +107,12 @@ def test_group_positions_dense_inside_skewed_group(spark):
     got = {(r["u"], r["t"], r["k"]): r["_pos"] for r in pos.collect()}
     assert [got[(1, t, k)] for t in range(300) for k in range(3)] == list(range(900))
     assert [got[(2, t, 0)] for t in range(7)] == list(range(7))
+
+
+def test_input_partitioning_changes_nothing(spark):
+    rows = [(u, 10 + (i * 3 + u) % 4, 0.5 + ((i * 7 + u) % 10) * 0.5, 50 + i * 10) for u in range(1, 8) for i in range(30)]
+    r = spark.createDataFrame(rows, "userId long, movieId long, rating double, timestamp long")
+    m = spark.createDataFrame(MOVIES, "movieId long, title string, genres string")
+    a = add_user_features(add_movie_features(add_label(r), m))
+    b = add_user_features(add_movie_features(add_label(r.repartition(7, "rating").sortWithinPartitions("movieId")), m))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
