@@ -19,3 +19,19 @@ def test_build_samples_job_round_trip(spark):
     assert train.count() > 0 and test.count() > 0
     assert train.join(test, ["userId", "movieId", "timestamp"]).count() == 0
     assert len([f for f in os.listdir(f"{base}/out/split=train".replace("file:", "")) if f.endswith(".csv")]) == 1
+
+
+def test_train_job_on_written_samples(spark):
+    import jobs.build_samples as build
+    import jobs.train as train
+
+    from recengine import schemas as S
+
+    base = sinks.scratch_path(spark, "train-job")
+    sinks.write_csv(X.movies(spark, SF), f"{base}/movies")
+    sinks.write_csv(X.ratings(spark, SF).select("userId", "movieId", "rating", "timestamp"), f"{base}/ratings")
+    build.main([f"{base}/movies", f"{base}/ratings", f"{base}/samples", "--fraction", "0.5"], spark=spark)
+    train.main([f"{base}/samples", f"{base}/out", "--model", "lr", "--vocab", ",".join(S.GENRE_VOCAB_TESTDATA)],
+               spark=spark)
+    row = spark.read.parquet(f"{base}/out/summary").collect()[0]
+    assert row["model"] == "lr" and 0.0 <= row["roc_auc"] <= 1.0 and row["log_loss"] > 0
