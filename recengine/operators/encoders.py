@@ -4,7 +4,7 @@ transformers; nothing leaves the JVM."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,11 +73,13 @@ def history_ids(cols: list[str] = HISTORY_COLS):
 
 
 def assemble(df: DataFrame, array_cols: list[str], out_col: str = "features") -> DataFrame:
-    """Concatenate array columns into one ml Vector with VectorAssembler (fixed, documented order)."""
-    vec_cols = [f"_v{i}" for i in range(len(array_cols))]
-    tmp = df.select("*", *[array_to_vector(F.col(c)).alias(v) for c, v in zip(array_cols, vec_cols)])
-    out = VectorAssembler(inputCols=vec_cols, outputCol=out_col).transform(tmp)
-    return out.drop(*vec_cols)
+    """Concatenate array columns (fixed, documented order) into one ml Vector.
+
+    The arrays are joined natively and converted once. A VectorAssembler over ``array_to_vector``
+    columns would have no size metadata and would run a job over the first row (the whole
+    upstream plan) just to learn the lengths.
+    """
+    return df.withColumn(out_col, array_to_vector(F.concat(*[F.col(c) for c in array_cols])))
 
 
 def assembled_array(df: DataFrame, vec_col: str = "features", out_col: str = "features_array") -> DataFrame:
