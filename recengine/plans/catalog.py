@@ -7,11 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recengine.operators import attention as AT
+from recengine.operators import encoders as E
 from recengine.operators import labels as L
+from recengine.operators import metrics as MT
 from recengine.operators import movies as M
+from recengine.operators import scoring as SC
 from recengine.operators import sequences as Q
 from recengine.operators import split as B
+from recengine.operators import vectors as V
+from recengine.plans import features as FT
 from recengine.plans import samples as P
+from recengine.plans import training as TR
+from recengine.schemas import LSH_PROBE_VECTOR
 from recengine.schemas import SAMPLE_COLUMNS, TESTDATA_ORDER
 from recengine.sources import fixtures as X
 from recengine.sources import readers as R
@@ -208,12 +216,6 @@ def preview(spark, sf):
 
 
 # --- encoders (K1 K5-K10) --------------------------------------------------------------------
-from recengine.operators import attention as AT  # noqa: E402
-from recengine.operators import encoders as E  # noqa: E402
-from recengine.operators import metrics as MT  # noqa: E402
-from recengine.operators import scoring as SC  # noqa: E402
-from recengine.operators import vectors as V  # noqa: E402
-from recengine.plans import features as FT  # noqa: E402
 
 KEYS = FT.KEYS
 
@@ -348,8 +350,6 @@ def eval_summary(spark, sf):
 
 # --- learned vectors, LSH, sinks, forward pass, models (K2-K4 K14 S5 S6 M1-M7) -----------------
 # No SQL twin: these fit models; the driver checks rows, pytest checks properties.
-from recengine.plans import training as TR  # noqa: E402
-from recengine.schemas import LSH_PROBE_VECTOR  # noqa: E402
 
 
 @query
