@@ -33,12 +33,19 @@ def movie_rating_stats(ratings: DataFrame) -> DataFrame:
     Grouped from the ratings alone (partial aggregation per task, so a heavily rated movie is
     combined map-side before the shuffle).
     """
-    g = ratings.groupBy("movieId").agg(
-        F.count(F.lit(1)).alias("movieRatingCount"),
-        F.avg("rating").alias("_avg"),
-        F.stddev_samp("rating").alias("_std"))
+    g = ratings.groupBy("movieId").agg(*rating_stat_aggregates())
+    return format_rating_stats(g)
+
+
+def rating_stat_aggregates() -> list:
+    """count / avg / sample stddev of ``rating`` as ``_n``, ``_avg``, ``_std``."""
+    return [F.count(F.lit(1)).alias("_n"), F.avg("rating").alias("_avg"), F.stddev_samp("rating").alias("_std")]
+
+
+def format_rating_stats(g: DataFrame) -> DataFrame:
+    """(movieId, _n, _avg, _std) -> the published statistics columns."""
     return g.select(
-        "movieId", "movieRatingCount",
+        "movieId", F.col("_n").alias("movieRatingCount"),
         two_decimals("_avg").alias("movieAvgRating"),
         two_decimals(F.coalesce(F.col("_std"), F.lit(0.0))).alias("movieRatingStddev"))
 
@@ -52,16 +59,19 @@ def join_movies(ratings: DataFrame, movies: DataFrame,
 
 
 def add_movie_features(labeled: DataFrame, movies: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, pin_stats: bool = True) -> DataFrame:
+                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, pin_stats: bool = True,
+                       stats: DataFrame | None = None) -> DataFrame:
     """Labelled ratings + movie attributes + per-movie rating statistics.
 
     The statistics are one aggregation over all ratings. With ``pin_stats`` they are written once
     (reliable checkpoint): their real size then decides the broadcast without running the
-    aggregation a second time, and the main job reads the small written table.
+    aggregation a second time, and the main job reads the small written table. ``stats`` may be
+    given by the caller (e.g. from a shared grouping-sets pass).
     """
     base = join_movies(labeled, movies, max_broadcast_rows)
-    stats = movie_rating_stats(labeled)
-    if pin_stats:
-        stats = reliable_checkpoint(stats)
+    if stats is None:
+        stats = movie_rating_stats(labeled)
+        if pin_stats:
+            stats = reliable_checkpoint(stats)
     out = join_dimension(base, stats, "movieId", "left", max_broadcast_rows)
     return out.withColumn("movieRatingCount", F.coalesce(F.col("movieRatingCount"), F.lit(0)).cast("bigint"))

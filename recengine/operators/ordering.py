@@ -51,7 +51,12 @@ class HotKeys:
 
 def hot_keys(df: DataFrame, key: str, threshold: int = DEFAULT_HOT_ROWS) -> HotKeys:
     """Keys with more than ``threshold`` rows. One partial aggregation over the key column only."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
+    return hot_keys_from_counts(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, threshold)
+
+
+def hot_keys_from_counts(counts: DataFrame, key: str, threshold: int = DEFAULT_HOT_ROWS) -> HotKeys:
+    """Hot keys from an existing (key, _n) count table."""
+    counts = counts.where(F.col("_n") > threshold).select(key, "_n")
     head = counts.limit(MAX_HOT_LITERALS + 1).collect()
     if len(head) <= MAX_HOT_LITERALS:
         return HotKeys(key, [r[key] for r in head], None, sum(int(r["_n"]) for r in head))

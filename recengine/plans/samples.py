@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recengine import schemas as S
 from recengine.operators.labels import add_label
-from recengine.operators.movies import add_movie_features
-from recengine.operators.ordering import DEFAULT_HOT_ROWS, hot_keys
+from recengine.operators.movies import add_movie_features, format_rating_stats, rating_stat_aggregates
+from recengine.operators.ordering import DEFAULT_HOT_ROWS, hot_keys_from_counts
+from recengine.session import reliable_checkpoint
 from recengine.operators.users import add_user_features
 from recengine.sources import fixtures
 
@@ -26,17 +28,29 @@ def user_features(spark: SparkSession, sf_dir: str, keep_tiebreak: bool = False,
                   hot_threshold: int = DEFAULT_HOT_ROWS, chunk_rows: int | None = None) -> DataFrame:
     """The flagship 28-column sample over the driver tables."""
     rated = labeled(spark, sf_dir)
-    # hot users counted on the ratings' user column alone (left joins keep rows per user)
-    hot = hot_keys(rated.select("userId"), "userId", hot_threshold)
-    samples = add_movie_features(rated, fixtures.movies(spark, sf_dir))
+    hot, stats = prepare(rated, hot_threshold)
+    samples = add_movie_features(rated, fixtures.movies(spark, sf_dir), stats=stats)
     return add_user_features(samples, order=S.TESTDATA_ORDER, keep=TIEBREAK if keep_tiebreak else None,
                              hot_threshold=hot_threshold, chunk_rows=chunk_rows, hot=hot)
 
 
+def prepare(rated: DataFrame, hot_threshold: int = DEFAULT_HOT_ROWS):
+    """Rows per user (for the hot-user split) and per-movie rating statistics from ONE scan of the
+    ratings: grouping sets (userId) and (movieId), partially aggregated per task, written once.
+    The left joins to movies keep the rows per user, so counting the plain ratings is exact."""
+    g = rated.groupingSets([["userId"], ["movieId"]], "userId", "movieId").agg(
+        F.grouping_id().alias("_gid"), *rating_stat_aggregates())
+    g = reliable_checkpoint(g)
+    # grouping_id: bit set for the column NOT grouped -> (userId) set = 1, (movieId) set = 2
+    hot = hot_keys_from_counts(g.where(F.col("_gid") == 1).select("userId", "_n"), "userId", hot_threshold)
+    stats = format_rating_stats(g.where(F.col("_gid") == 2).select("movieId", "_n", "_avg", "_std"))
+    return hot, stats
+
+
 def build_samples(ratings: DataFrame, movies: DataFrame, order: list[str] | None = None,
                   hot_threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Generic form for any typed ratings/movies pair (CSV or table)."""
     rated = add_label(ratings)
-    hot = hot_keys(rated.select("userId"), "userId", hot_threshold)
-    return add_user_features(add_movie_features(rated, movies), order=order or ["timestamp"],
+    hot, stats = prepare(rated, hot_threshold)
+    return add_user_features(add_movie_features(rated, movies, stats=stats), order=order or ["timestamp"],
                              hot_threshold=hot_threshold, hot=hot)

@@ -116,3 +116,13 @@ def test_input_partitioning_changes_nothing(spark):
     a = add_user_features(add_movie_features(add_label(r), m))
     b = add_user_features(add_movie_features(add_label(r.repartition(7, "rating").sortWithinPartitions("movieId")), m))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_flagship_hot_path_on_driver_tables(spark):
+    from recengine.plans import samples as P
+    from tests.conftest import SF
+
+    plain = P.user_features(spark, SF, keep_tiebreak=True)
+    hot = P.user_features(spark, SF, keep_tiebreak=True, hot_threshold=30, chunk_rows=9)
+    assert plain.count() == hot.count() == 5700
+    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
