@@ -21,6 +21,7 @@ def main(argv=None, spark=None):
     ap.add_argument("--files", type=int, default=None, help="merge each part into N files (no shuffle)")
     ap.add_argument("--fraction", type=float, default=0.1)
     ap.add_argument("--input-format", default="csv")
+    ap.add_argument("--hot-rows", type=int, default=None, help="users above this many ratings are split")
     a = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -34,7 +35,8 @@ def main(argv=None, spark=None):
     movies = readers.read_movies(spark, a.movies, a.input_format)
     ratings = readers.read_ratings(spark, a.ratings, a.input_format)
     key = ["userId", "movieId", "timestamp"]
-    samples = train_test_split(hash_sample(build_samples(ratings, movies), key, a.fraction), key)
+    kw = {"hot_threshold": a.hot_rows} if a.hot_rows else {}
+    samples = train_test_split(hash_sample(build_samples(ratings, movies, **kw), key, a.fraction), key)
     sinks.write_train_test(samples, a.out, num_files=a.files, fmt=a.format)
     if own:
         spark.stop()
