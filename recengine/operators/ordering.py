@@ -46,7 +46,11 @@ class HotKeys:
         return self.values is not None and len(self.values) == 0
 
     def condition(self) -> "F.Column":
-        return F.col(self.key).isin(self.values)
+        """Never null: a null key is hot when the null group is (null keys form one group too)."""
+        k = F.col(self.key)
+        present = [v for v in self.values if v is not None]
+        cond = F.coalesce(k.isin(present), F.lit(False)) if present else F.lit(False)
+        return cond | k.isNull() if None in self.values else cond
 
 
 def hot_keys(df: DataFrame, key: str, threshold: int = DEFAULT_HOT_ROWS) -> HotKeys:
@@ -68,8 +72,9 @@ def split_by_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     """(normal rows, hot rows)."""
     if hot.values is not None:
         cond = hot.condition()
-        return df.where(~cond | F.col(hot.key).isNull()), df.where(cond)
-    return df.join(hot.frame, hot.key, "left_anti"), df.join(hot.frame, hot.key, "left_semi")
+        return df.where(~cond), df.where(cond)
+    on = df[hot.key].eqNullSafe(hot.frame[hot.key])
+    return df.join(hot.frame, on, "left_anti"), df.join(hot.frame, on, "left_semi")
 
 
 def group_positions(df: DataFrame, key: str, order: list[str], total_rows: int | None = None,
@@ -94,10 +99,11 @@ def group_positions(df: DataFrame, key: str, order: list[str], total_rows: int |
                .join(F.broadcast(offsets), "_p")
                .withColumn("_g", F.col("_off") + local))
     # one row per hot group
-    starts = g.groupBy(key).agg(F.min("_g").alias("_start"))
-    return (g.join(F.broadcast(starts), key)
+    starts = g.groupBy(F.col(key).alias("_sk")).agg(F.min("_g").alias("_start"))
+    # null-safe: a null key is one group as in a window partition
+    return (g.join(F.broadcast(starts), g[key].eqNullSafe(starts["_sk"]))
              .withColumn("_pos", F.col("_g") - F.col("_start"))
-             .drop("_mid", "_p", "_off", "_g", "_start"))
+             .drop("_mid", "_p", "_off", "_g", "_start", "_sk"))
 
 
 def frame_groups(df: DataFrame, key: str, order: list[str], lookback: int,

@@ -126,3 +126,12 @@ def test_flagship_hot_path_on_driver_tables(spark):
     hot = P.user_features(spark, SF, keep_tiebreak=True, hot_threshold=30, chunk_rows=9)
     assert plain.count() == hot.count() == 5700
     assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+
+
+def test_null_user_group_can_be_hot(spark):
+    rows = [(None if i % 3 == 0 else 1 + i % 4, 10 + i % 4, 0.5 + (i % 10) * 0.5, 100 + i) for i in range(240)]
+    order = ["timestamp"]
+    plain = run(spark, rows, order=order)
+    hot = run(spark, rows, order=order, hot_threshold=50, chunk_rows=30)
+    assert plain.where("userId is null").count() == 78
+    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
