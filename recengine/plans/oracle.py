@@ -251,7 +251,7 @@ from withvec"""
 
 
 def dot_sql(a: str, b: str) -> str:
-    return f"round(list_sum(list_transform(list_zip({a}, {b}), lambda t: t[1] * t[2])), 6)"
+    return f"(round(list_sum(list_transform(list_zip({a}, {b}), lambda t: t[1] * t[2])), 6) + 0.0)"
 
 
 SQL["fm_pair_dots"] = _VEC + f"""
@@ -301,14 +301,14 @@ att as (
     for i in range(1, 6)) + """] as w
   from hist)"""
 SQL["history_attention_pool"] = with_ctes(MOVIE_ATTR, USER_FEATURES, _VECS_ONLY, HIST, ATT) + f"""
-select {_KEYS}, list_transform(w, lambda x: round(x, 6)) as attention_weights,
+select {_KEYS}, list_transform(w, lambda x: round(x, 6) + 0.0) as attention_weights,
        list_transform(range(64), lambda j: round(w[1] * history_vectors[1][j + 1] + w[2] * history_vectors[2][j + 1]
                                            + w[3] * history_vectors[3][j + 1] + w[4] * history_vectors[4][j + 1]
-                                           + w[5] * history_vectors[5][j + 1], 6)) as pooled_history
+                                           + w[5] * history_vectors[5][j + 1], 6) + 0.0) as pooled_history
 from att"""
 
 SQL["similar_items"] = with_ctes(_VECS_ONLY) + """
-select id, round(list_cosine_similarity(vector, (select vector from vecs where id = 158)), 6) as similarity
+select id, round(list_cosine_similarity(vector, (select vector from vecs where id = 158)), 6) + 0.0 as similarity
 from vecs where id <> 158 order by similarity desc, id limit 20"""
 SQL["nearest_items_exact"] = with_ctes(_VECS_ONLY) + """
 select id, round(list_distance(vector, (select vector from vecs where id = 7)), 6) as distance
