@@ -35,18 +35,8 @@ def zeros(d: int) -> Column:
     return F.array_repeat(F.lit(0.0), d)
 
 
-def round_array(a, places: int = 6) -> Column:
-    return F.transform(_c(a), lambda x: F.round(x, places))
 
 
-def add_arrays(a, b) -> Column:
-    return F.zip_with(_c(a), _c(b), lambda x, y: x + y)
-
-
-def scale_array(a, s) -> Column:
-    s = _c(s) if not isinstance(s, (int, float)) else F.lit(s)
-    return F.transform(_c(a), lambda x: x * s)
-
 
 def split_flat_sorted(lists) -> Column:
     """All parts of the ``|``-joined texts in ``lists``, sorted (native sort, no comparator)."""
@@ -68,12 +58,3 @@ def rank_sorted_by_frequency(sorted_col, reversed_col) -> Column:
     ranked = F.array_sort(F.transform(F.array_distinct(s),
                                       lambda q: F.struct((-count(q)).alias("n"), q.alias("v"))))
     return F.transform(ranked, lambda k: k["v"])
-
-
-def top_by_frequency(lists) -> Column:
-    """Single-expression form of split + rank (used where the input is small)."""
-    g = F.flatten(F.transform(_c(lists), lambda z: F.split(z, r"\|")))
-    ranked = F.array_sort(F.transform(
-        F.array_distinct(g),
-        lambda q: F.struct((-F.size(F.filter(g, lambda y: y == q))).alias("n"), q.alias("v"))))
-    return F.transform(ranked, lambda k: k["v"])

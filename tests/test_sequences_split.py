@@ -57,3 +57,13 @@ def test_item2vec_repeatable_with_seed(spark):
     b = {r["word"]: r["vector"] for r in V.model_vectors(V.train_item2vec(seqs, min_count=1, seed=5)).collect()}
     assert a.keys() == b.keys() and all(a[k] == b[k] for k in a)
     assert len(next(iter(a.values()))) == 10
+
+
+def test_text_back_to_items_and_label_split(spark):
+    from recengine.operators.sequences import text_to_items
+    from recengine.sources.readers import split_label
+
+    df = spark.createDataFrame([(1, "5 7 8", 1)], "userId long, movieIdStr string, label int")
+    assert text_to_items(df).collect()[0]["movieIds"] == ["5", "7", "8"]
+    feats, lab = split_label(df)
+    assert "label" not in feats.columns and lab.columns == ["label"]
