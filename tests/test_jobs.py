@@ -35,3 +35,18 @@ def test_train_job_on_written_samples(spark):
                spark=spark)
     row = spark.read.parquet(f"{base}/out/summary").collect()[0]
     assert row["model"] == "lr" and 0.0 <= row["roc_auc"] <= 1.0 and row["log_loss"] > 0
+
+
+def test_build_vectors_job(spark):
+    import jobs.build_vectors as job
+
+    base = sinks.scratch_path(spark, "vec-job")
+    sinks.write_csv(X.ratings(spark, SF).select("userId", "movieId", "rating", "timestamp"), f"{base}/ratings")
+    job.main([f"{base}/ratings", f"{base}/out"], spark=spark)
+    lines = spark.read.text(f"{base}/out/item2vec").collect()
+    assert lines and all(len(r[0].split(":")[1].split(" ")) == 10 for r in lines)
+    buckets = spark.read.parquet(f"{base}/out/lsh_buckets")
+    assert buckets.count() == len(lines) and len(buckets.first()["buckets"]) == 3
+    from pyspark.ml.feature import BucketedRandomProjectionLSHModel
+
+    assert BucketedRandomProjectionLSHModel.load(f"{base}/out/lsh_model").getBucketLength() == 0.1
