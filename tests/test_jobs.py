@@ -50,3 +50,14 @@ def test_build_vectors_job(spark):
     from pyspark.ml.feature import BucketedRandomProjectionLSHModel
 
     assert BucketedRandomProjectionLSHModel.load(f"{base}/out/lsh_model").getBucketLength() == 0.1
+
+
+def test_onehot_job(spark):
+    import jobs.onehot_example as job
+
+    base = sinks.scratch_path(spark, "onehot-job")
+    sinks.write_csv(X.movies(spark, SF), f"{base}/movies")
+    job.main([f"{base}/movies", f"{base}/out"], spark=spark)
+    rows = spark.read.parquet(f"{base}/out").collect()
+    assert rows and all(r["movieIdVector"].numNonzeros() == 1 for r in rows)
+    assert all(r["movieIdVector"][r["movieIdNumber"]] == 1.0 for r in rows)

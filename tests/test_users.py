@@ -135,3 +135,22 @@ def test_null_user_group_can_be_hot(spark):
     hot = run(spark, rows, order=order, hot_threshold=50, chunk_rows=30)
     assert plain.where("userId is null").count() == 78
     assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+
+
+def test_all_negative_user_has_empty_history(spark):
+    rows = [(5, 10 + i % 4, 1.0, 100 + i) for i in range(6)]
+    out = run(spark, rows).collect()
+    assert len(out) == 4
+    assert all(r["userRatedMovie1"] is None and r["userGenre1"] is None for r in out)
+    assert all(r["userAvgRating"] == "1.00" and r["userRatingStddev"] == "0.00" for r in out)
+
+
+def test_equal_timestamps_broken_by_caller_column(spark):
+    r = spark.createDataFrame([(1, 10, 4.0, 5, 2), (1, 11, 4.0, 5, 1), (1, 12, 4.0, 5, 3), (1, 13, 4.0, 9, 0)],
+                              "userId long, movieId long, rating double, timestamp long, seq int")
+    m = spark.createDataFrame(MOVIES, "movieId long, title string, genres string")
+    out = {x["movieId"]: x for x in add_user_features(add_movie_features(add_label(r), m),
+                                                      order=["timestamp", "seq"]).collect()}
+    # order: 11 (seq 1), 10 (seq 2), 12 (seq 3), 13
+    assert set(out) == {12, 13}
+    assert [out[13]["userRatedMovie1"], out[13]["userRatedMovie2"], out[13]["userRatedMovie3"]] == [12, 10, 11]
