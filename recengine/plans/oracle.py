@@ -205,7 +205,7 @@ def indicator_sql(c: str, n: int) -> str:
 _NV = len(S.GENRE_VOCAB_TESTDATA)
 SQL["indicator"] = _ENC + f"""
 select {_KEYS}, list_filter(range({2 * _NV}), lambda j: list_concat({indicator_sql('movieGenre1Index', _NV)},
-                                                   {indicator_sql('userGenre1Index', _NV)})[j + 1] <> 0) as active
+                                                   {indicator_sql('userGenre1Index', _NV)})[j + 1] <> 0)::INTEGER[] as active
 from encoded"""
 SQL["crossed_bucket"] = _ENC + f"""
 select {_KEYS}, case when movieBucket is not null and ratedMovieBucket is not null
