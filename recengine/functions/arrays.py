@@ -48,13 +48,15 @@ def rank_sorted_by_frequency(sorted_col, reversed_col) -> Column:
 
     The count of ``q`` is (last index - first index + 1), both found by the native
     ``array_position`` on the sorted array and on its reverse; no per-element lambda scan.
+    Each distinct value becomes the key ``(10**9 - count)`` zero-padded to 10 digits followed by
+    the value, so one native string sort orders by count descending, then by value.
     """
     s, rs = _c(sorted_col), _c(reversed_col)
     n = F.size(s)
 
-    def count(q):
-        return n - F.array_position(rs, q) - F.array_position(s, q) + 2
+    def key(q):
+        count = n - F.array_position(rs, q) - F.array_position(s, q) + 2
+        return F.concat(F.lpad((F.lit(10 ** 9) - count).cast("string"), 10, "0"), q)
 
-    ranked = F.array_sort(F.transform(F.array_distinct(s),
-                                      lambda q: F.struct((-count(q)).alias("n"), q.alias("v"))))
-    return F.transform(ranked, lambda k: k["v"])
+    ranked = F.array_sort(F.transform(F.array_distinct(s), key))
+    return F.transform(ranked, lambda k: F.substring(k, 11, 1 << 30))
