@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recengine.llm import topk
+from recengine.llm import language, topk, toxicity
+from recengine.llm.common import crc_text
+from recengine.llm.html_text import extract_text
+from recengine.llm.mixing import mix
 from recengine.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +34,63 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
 
 
+@query
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = crc_text(F.col("doc_id")) % 4 == 2
+    model = language.fit(docs, learn=~held_out)
+    return language.predict(docs.withColumn("held_out", held_out).drop("lang"), model).drop("text")
+
+
+@query
+def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op5_mixing"] = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id, source, md5('mix:' || coalesce(doc_id::varchar, '')) as h,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+  from documents),
+s as (select source, sum(size)::bigint as source_size from d group by source),
+w as (select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
+  from s),
+o as (  -- sources by the ratio at which they reach their cap; the capped ones come first
+  select *, sum(source_size) over () as total,
+    coalesce(sum(source_size) over (order by source_size::double / weight, source nulls last
+      rows between unbounded preceding and 1 preceding), 0) as held,
+    sum(weight) over (order by source_size::double / weight desc, source desc nulls first
+      rows between unbounded preceding and current row) as free
+  from w),
+c as (select *, (3 * total - 4 * held) * weight > 4 * source_size * free as capped from o),
+l as (select (3 * max(total) - 4 * coalesce(sum(source_size) filter (where capped), 0))::double as rest,
+    greatest(coalesce(sum(weight) filter (where not capped), 0), 1)::double as free from c),
+t as (select source, source_size, case when capped then (2 * source_size)::double else weight * l.rest / (2 * l.free) end as target
+  from c, l),
+p as (
+  select d.doc_id, d.size, t.source_size, t.target, least(floor(t.target + 0.5)::bigint, 2 * t.source_size) as quota,
+    (sum(d.size) over (partition by d.source order by d.h, d.size, d.r) - d.size)::bigint as a
+  from d join t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target,
+  (greatest(0, least(quota, a + size) - a) + greatest(0, least(quota, source_size + a + size) - source_size - a))::bigint as taken
+from p
+"""
+
+
+@query
+def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = crc_text(F.col("doc_id")) % 5 == 0
+    model = toxicity.fit(docs, table(spark, sf, "labels"), learn=~held_out)
+    return toxicity.score(docs.withColumn("held_out", held_out), model).drop("text")
+
+
 @query
 def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), F.col("id") % 100 == 0)
