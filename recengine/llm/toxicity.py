@@ -1,8 +1,8 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
 Terms are lower-cased words and the character 5-grams of words (with a mark at either end), so that
-inflected forms meet.  A bounded sample of labelled rows (``fit_rows``, half of each label, by a hash
-of the id) gives the examples.  Terms that the labels depend on there (chi-square of presence) form
+inflected forms meet.  A bounded sample of labelled rows (``fit_rows``, a quarter of it toxic, by
+a hash of the id) gives the examples.  Terms that the labels depend on there (chi-square of presence) form
 the vocabulary; their document frequencies are counted over all documents.
 
 An index lists, for each term, the examples that hold it in blocks with the block's largest weight.
@@ -43,7 +43,8 @@ REMEMBERED = 200_000
 #: A text of an example has at most this many bytes; longer ones are not drawn into the sample.
 EXAMPLE_BYTES = 1 << 18
 BLOCK, NEIGHBOURS, SHRINK = 32, 15, 0.25
-CHI_SQUARE, LEAST_EXAMPLES, MOST_TERMS = 16.0, 4, 50_000
+#: A term needs this chi-square and, as chi-square grows with the sample, this share of the sample's size.
+CHI_SQUARE, CHI_SHARE, LEAST_EXAMPLES, MOST_TERMS = 16.0, 0.01, 4, 50_000
 
 
 def word_terms(word: str) -> list[str]:
@@ -179,7 +180,8 @@ def examples(docs: DataFrame, labels: DataFrame, learn: Column, text: str, key:
     rank = F.xxhash64(F.lit("toxicity"), F.col("key"))
     drawn = None
     for value in (0, 1):  # top rows by hash: the documented bound of the sample
-        part = own.where(F.col("label") == value).orderBy(rank, "key").limit(fit_rows // 2)
+        size = fit_rows // 4 if value else fit_rows - fit_rows // 4
+        part = own.where(F.col("label") == value).orderBy(rank, "key").limit(size)
         drawn = part if drawn is None else drawn.unionByName(part)
     rows = (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
             .where(F.col("text").isNotNull() & (F.octet_length("text") <= EXAMPLE_BYTES))
@@ -201,7 +203,7 @@ def vocabulary(sample: list[tuple]) -> dict[str, int]:
         c, d = n1 - a, n - n1 - b
         if a + b >= LEAST_EXAMPLES and (part := (a + b) * (c + d) * n1 * (n - n1)):
             chi = n * (a * d - b * c) ** 2 / part
-            if chi >= CHI_SQUARE:
+            if chi >= max(CHI_SQUARE, CHI_SHARE * n):
                 found.append((-chi, t))
     return {t: i for i, (_, t) in enumerate(sorted(found)[:MOST_TERMS])}
 
@@ -229,7 +231,7 @@ def document_frequencies(texts: DataFrame, terms: Terms) -> tuple[np.ndarray, in
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", key: str = "doc_id",
-        label: str = "toxic", fit_rows: int = 3000) -> ToxicityModel:
+        label: str = "toxic", fit_rows: int = 6000) -> ToxicityModel:
     """Examples from the labels where ``learn`` holds; document frequencies from all of ``docs``."""
     sample, base = examples(docs, labels, learn, text, key, label, fit_rows)
     if not sample:
