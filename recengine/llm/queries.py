@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recengine.llm import language, topk, toxicity
+from recengine.llm import language, secrets, topk, toxicity
 from recengine.llm.common import crc_text
+from recengine.llm.decontaminate import find_leaks
 from recengine.llm.html_text import extract_text
 from recengine.llm.mixing import mix
 from recengine.llm.token_counts import count_tokens
@@ -42,6 +43,11 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(docs.withColumn("held_out", held_out).drop("lang"), model).drop("text")
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
 @query
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
@@ -78,6 +84,51 @@ from p
 """
 
 
+@query
+def op6_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    base = secrets.base_only(F.col("found"))
+    return found.select(
+        "doc_id", *(secrets.count_of(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("found")).alias("spans"))
+
+
+def secrets_sql() -> str:
+    """Every rule searched in every text; positions from the lengths of matches and of what lies between them."""
+    parts = []
+    for i, rule in enumerate(secrets.BASE + secrets.MORE):
+        flag = "(?i)" if rule.any_case else ""
+        pattern = (flag + rule.pattern).replace("'", "''")
+        parts.append(f"""
+  select r, {i} as k, '{rule.kind}' as kind, unnest(list_transform(range(1, len(own) + 1), lambda i:
+      {{'a': list_sum(gap[1:i]) + coalesce(list_sum(own[1:i - 1]), 0), 'b': list_sum(gap[1:i]) + list_sum(own[1:i]),
+       'n': part[i]}})) as m
+  from (select r, list_transform(string_split_regex(t, '{pattern}'), lambda x: length(x)) as gap,
+      list_transform(regexp_extract_all(t, '{pattern}'), lambda x: length(x)) as own,
+      list_transform(regexp_extract_all(t, '{pattern}', {rule.group}), lambda x: length(x)) as part
+    from d where regexp_matches(t, '{pattern}'))
+  where len(own) > 0""")
+    least = " ".join(f"when {i} then {rule.least}" for i, rule in enumerate(secrets.BASE + secrets.MORE))
+    return f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+s as ({" union all ".join(parts)}),
+f as (select r, k, kind, m.a::bigint as a, m.b::bigint as b from s where m.n >= case k {least} end),
+g as (
+  select r, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access,
+    count(*) filter (where k = 2) as n_hex,
+    string_agg(kind || ':' || a || ':' || b, ',' order by a, k) as spans,
+    string_agg(kind || ':' || a || ':' || b, ',' order by a, k) filter (where k < {len(secrets.BASE)}) as base
+  from f group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join g using (r)
+"""
+
+
+SQL["op6_secrets"] = secrets_sql()
+
+
 @query
 def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")
