@@ -13,6 +13,7 @@ from recengine.llm.common import crc_text
 from recengine.llm.decontaminate import find_leaks
 from recengine.llm.html_text import extract_text
 from recengine.llm.mixing import mix
+from recengine.llm.ngram_join import near_duplicates
 from recengine.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,34 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+SQL["op1_ngram_join"] = r"""
+with recursive w as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+  from documents),
+d as (
+  select r, doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) end as s
+  from w),
+t as (select r, unnest(s) as shingle from d),
+p as (select x.r as a, y.r as b, count(*) as shared from t x join t y on x.shingle = y.shingle and x.r < y.r group by all),
+l as (
+  select a, b from p join d x on x.r = p.a join d y on y.r = p.b
+  where 100 * shared >= 75 * (len(x.s) + len(y.s) - shared)),
+reach(a, b) as (
+  select r, r from d
+  union
+  select reach.a, n.b from reach join (select a, b from l union all select b, a from l) n on n.a = reach.b)
+select d.doc_id, len(d.s)::bigint as n_shingles, min(o.doc_id) as component_id
+from reach join d on d.r = reach.a join d o on o.r = reach.b group by d.r, d.doc_id, d.s
+"""
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
