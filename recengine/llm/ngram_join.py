@@ -77,17 +77,17 @@ def scanned(docs: DataFrame, k: int) -> DataFrame:
         table = np.zeros(SLOTS, np.int64)
         for b in batches:
             out, slots = [], []
-            for key, text in zip(b["key"], b["text"], strict=True):
+            for key, text, look in zip(b["key"], b["text"], b["look"], strict=True):
                 s = np.unique(shingles(text, k))
                 slots.append(slot(s))
-                out.append((key, len(s), *(signature(s) if len(s) else (0, 0))))
+                out.append((key, look, len(s), *(signature(s) if len(s) else (0, 0))))
             table += np.bincount(np.concatenate(slots), minlength=SLOTS)
-            yield pd.DataFrame(out, columns=["key", "n", "s1", "s2"]).assign(slice=-1, counts=None)
+            yield pd.DataFrame(out, columns=["key", "look", "n", "s1", "s2"]).assign(slice=-1, counts=None)
         if table.any():
-            yield pd.DataFrame({"key": None, "n": 0, "s1": 0, "s2": 0, "slice": range(SLICES),
+            yield pd.DataFrame({"key": None, "look": 0, "n": 0, "s1": 0, "s2": 0, "slice": range(SLICES),
                                 "counts": [x.astype("int32").tobytes() for x in np.split(table, SLICES)]})
 
-    return docs.select("key", "text").mapInPandas(run, "key string, n long, s1 long, s2 long, slice int, counts binary")
+    return docs.mapInPandas(run, "key string, look long, n long, s1 long, s2 long, slice int, counts binary")
 
 
 def summed_counts(slices: DataFrame) -> np.ndarray:
@@ -308,7 +308,7 @@ class Join:
         scan = scratch.save(scanned(self.docs, self.k))
         table = self.docs.sparkSession.sparkContext.broadcast(
             summed_counts(scan.where("slice >= 0").select("slice", "counts")))
-        documents = scan.where("slice < 0").select("key", "n", "s1", "s2")
+        documents = scan.where("slice < 0").select("key", "look", "n", "s1", "s2")
         classes = (with_prefixes(self.docs, table, self.k, num, den).groupBy("s1", "s2")
                    .agg(F.first("n").alias("n"), F.min("look").alias("look"), F.first("prefix").alias("prefix"))
                    .withColumn("node", F.monotonically_increasing_id())
@@ -341,16 +341,41 @@ class Join:
         return documents, classes, components(scratch, links)
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: tuple[int, int] = (75, 100),
-                    n_shingles: str = "n_shingles", component: str = "component_id") -> DataFrame:
-    """(key, n_shingles, component): a row for each input row; the component is the smallest key that links reach."""
+def grouped(df: DataFrame, key: str, text: str, k: int, similarity: tuple[int, int]) -> DataFrame:
+    """(key, look, n, group): a row for each input row; look is the text's hash, group is null for the empty set."""
     num, den = similarity
     docs = df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"),
                      F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("look"))
     documents, classes, near = Join(docs, k, num, den).run()
     rows = documents.join(classes.select("s1", "s2", "node"), ["s1", "s2"], "left").join(near, "node", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "node")).withColumn("key", F.col("key").cast(df.schema[key].dataType))
-    least = rows.where("node is not null").groupBy("component").agg(F.min("key").alias("least"))
-    return rows.join(least, "component", "left").select(
+    return rows.select(F.col("key").cast(df.schema[key].dataType).alias("key"), "look", "n",
+                       F.coalesce("component", "node").alias("group"))
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: tuple[int, int] = (75, 100),
+                    n_shingles: str = "n_shingles", component: str = "component_id") -> DataFrame:
+    """(key, n_shingles, component): a row for each input row; the component is the smallest key that links reach."""
+    rows = grouped(df, key, text, k, similarity)
+    least = rows.where("group is not null").groupBy("group").agg(F.min("key").alias("least"))
+    return rows.join(least, "group", "left").select(
         F.col("key").alias(key), F.col("n").alias(n_shingles),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias(component))
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5,
+                similarity: tuple[int, int] = (75, 100)) -> DataFrame:
+    """The rows of ``df`` without near copies: of each group the row of the smallest id (null last) stays.
+
+    Rows without words have no group and all stay.
+    """
+    scratch = Scratch(df.sparkSession, "one_of_each")
+    rows = scratch.save(grouped(df, key, text, k, similarity))
+    first = rows.where("group is not null").groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), "key", "look")).alias("m"))
+    stay = scratch.save(first.select(F.col("m.key").alias("_key"), F.col("m.look").alias("_look")))
+    own = df.withColumn("_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    kept = own.join(stay, own[key].eqNullSafe(stay["_key"]) & (own["_hash"] == stay["_look"]), "left_semi")
+    again = rows.join(stay, rows["key"].eqNullSafe(stay["_key"]) & (rows["look"] == stay["_look"]), "left_semi")
+    if again.groupBy("key", "look").count().where("count > 1").limit(1).count():  # the staying row is there more than once
+        kept = kept.dropDuplicates([key, "_hash"])
+    empty = rows.where("group is null").select(F.col("look").alias("_look")).distinct()
+    return kept.unionByName(own.join(empty, own["_hash"] == empty["_look"], "left_semi")).drop("_hash")

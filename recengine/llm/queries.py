@@ -14,6 +14,7 @@ from recengine.llm.decontaminate import find_leaks
 from recengine.llm.html_text import extract_text
 from recengine.llm.mixing import mix
 from recengine.llm.ngram_join import near_duplicates
+from recengine.llm.passages import repeated_passages
 from recengine.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +159,11 @@ from d left join g using (r)
 SQL["op6_secrets"] = secrets_sql()
 
 
+@query
+def op7_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_passages(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages").select("page_id", "url", "html")).drop("html")

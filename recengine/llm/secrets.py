@@ -215,3 +215,16 @@ def base_only(found: Column) -> Column:
 
 def count_of(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
+
+
+def masked(text: Column, found: Column, mask: str = "[secret]") -> Column:
+    """The text with every span, or run of overlapping spans, replaced by ``mask``."""
+    zero = F.lit(0).cast("long")
+    end = F.aggregate(
+        found, F.struct(zero.alias("at"), F.lit("").alias("out")),
+        lambda s, m: F.struct(
+            F.greatest(s["at"], m["end"]).alias("at"),
+            F.when(m["start"] < s["at"], s["out"]).otherwise(F.concat(
+                s["out"], F.substring(text, (s["at"] + 1).cast("int"), (m["start"] - s["at"]).cast("int")), F.lit(mask))).alias("out")))
+    rest = F.substring(text, (end["at"] + 1).cast("int"), F.char_length(text))
+    return F.when(F.size(found) > 0, F.concat(end["out"], rest)).otherwise(text)
