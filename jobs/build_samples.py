@@ -1,6 +1,6 @@
 """Feature job: ratings + movies -> labelled, leak-free feature sample -> 10 % sample -> train/test.
 
-    spark-submit jobs/build_samples.py MOVIES RATINGS OUT [--format csv|parquet] [--files N]
+    spark-submit jobs/build_samples.py MOVIES RATINGS OUT [--format csv|parquet] [--files N] [--order COLS]
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ def main(argv=None, spark=None):
     ap.add_argument("ratings")
     ap.add_argument("out")
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
-    ap.add_argument("--files", type=int, default=None, help="merge each part into N files (no shuffle)")
+    ap.add_argument("--files", type=int, default=None, help="deal the finished rows of each part out to N files")
+    ap.add_argument("--order", default="timestamp", help="comma-separated order inside a user; movieId and rating break ties")
     ap.add_argument("--fraction", type=float, default=0.1)
     ap.add_argument("--input-format", default="csv")
     ap.add_argument("--hot-rows", type=int, default=None, help="users above this many ratings are split")
@@ -36,6 +37,7 @@ def main(argv=None, spark=None):
     ratings = readers.read_ratings(spark, a.ratings, a.input_format)
     key = ["userId", "movieId", "timestamp"]
     kw = {"hot_threshold": a.hot_rows} if a.hot_rows else {}
+    kw["order"] = a.order.split(",")
     samples = train_test_split(hash_sample(build_samples(ratings, movies, **kw), key, a.fraction), key)
     sinks.write_train_test(samples, a.out, num_files=a.files, fmt=a.format)
     if own:

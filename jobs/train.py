@@ -1,7 +1,7 @@
-"""Model job: train/test sample folders (as written by build_samples) -> encoded features ->
-spark.ml classifier -> held-out log loss / accuracy / ROC / PR (parquet) + saved model.
+"""Model job: train/test sample folders (as written by build_samples) -> one of the six model families ->
+held-out scores, a preview, log loss / accuracy / ROC / PR (parquet) + saved model.
 
-    spark-submit jobs/train.py SAMPLES OUT [--model mlp|lr|fm] [--vocab A,B,...]
+    spark-submit jobs/train.py SAMPLES OUT [--model FAMILY] [--format csv|parquet] [--vocab A,B,...] [--max-fit-rows N]
 """
 
 from __future__ import annotations
@@ -13,49 +13,39 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def features(df, vocab):
-    from pyspark.sql import functions as F
-
-    from recengine.operators import encoders as E
-
-    enc = E.with_vocab_indices(E.with_id_buckets(df), vocab)
-    staged = enc.select("*", E.numeric_array().alias("_num"),
-                        E.indicator("movieGenre1Index", len(vocab)).alias("_ig"),
-                        E.indicator("userGenre1Index", len(vocab)).alias("_ug"))
-    out = E.assemble(staged, ["_num", "_ig", "_ug"])
-    return out.withColumn("label", F.col("label").cast("double")), 7 + 2 * len(vocab)
-
-
 def main(argv=None, spark=None):
+    from recengine.operators.recommenders import FAMILIES, MAX_FIT_ROWS
+
     ap = argparse.ArgumentParser()
     ap.add_argument("samples")
     ap.add_argument("out")
-    ap.add_argument("--model", default="mlp", choices=["mlp", "lr", "fm"])
+    ap.add_argument("--model", default="embedding_mlp", choices=FAMILIES)
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet"], help="format of the sample folders")
     ap.add_argument("--vocab", default=None, help="comma-separated genre vocabulary (index order)")
+    ap.add_argument("--max-fit-rows", type=int, default=MAX_FIT_ROWS, help="rows used to fit; every test row is scored")
     a = ap.parse_args(argv)
 
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import FMClassifier, LogisticRegression
     from pyspark.sql import SparkSession
 
     from recengine import schemas as S
     from recengine.operators import models as MD
+    from recengine.operators import scoring as SC
+    from recengine.operators.recommenders import Recommender
+    from recengine.session import ensure_checkpoint_dir
     from recengine.sources import readers
 
     own = spark is None
     spark = spark or SparkSession.builder.appName("train").getOrCreate()
+    ensure_checkpoint_dir(spark)
     vocab = a.vocab.split(",") if a.vocab else S.GENRE_VOCAB_MOVIELENS
-    train, dim = features(readers.read_samples(spark, f"{a.samples}/split=train"), vocab)
-    test, _ = features(readers.read_samples(spark, f"{a.samples}/split=test"), vocab)
-    if a.model == "mlp":
-        est = MD.mlp([dim, 128, 128, 2])
-    elif a.model == "lr":
-        est = Pipeline(stages=[LogisticRegression(featuresCol="features", labelCol="label", maxIter=100)])
-    else:
-        est = Pipeline(stages=[FMClassifier(featuresCol="features", labelCol="label", factorSize=10, seed=MD.SEED)])
-    model = est.fit(train)
-    model.write().overwrite().save(f"{a.out}/model")
-    MD.evaluate(MD.p_one(model.transform(test)), a.model).write.mode("overwrite").parquet(f"{a.out}/summary")
+    train, test = (readers.read_samples(spark, f"{a.samples}/split={part}", fmt=a.format) for part in ("train", "test"))
+    model = Recommender(a.model, vocab, max_fit_rows=a.max_fit_rows).fit(train)
+    model.save(f"{a.out}/model")
+    scores = f"{a.out}/scores"
+    model.score(test).write.mode("overwrite").parquet(scores)
+    scored = spark.read.parquet(scores)
+    SC.scored_preview(scored, ["userId", "timestamp", "movieId", "rating"], 12).write.mode("overwrite").parquet(f"{a.out}/preview")
+    MD.evaluate(scored, a.model).write.mode("overwrite").parquet(f"{a.out}/summary")
     if own:
         spark.stop()
 

@@ -19,7 +19,8 @@ def norm(a) -> Column:
 
 
 def cosine(a, b) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """Null when either vector is zero."""
+    return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
 def l2_distance(a, b) -> Column:
@@ -36,8 +37,6 @@ def zeros(d: int) -> Column:
 
 
 
-
-
 def split_flat_sorted(lists) -> Column:
     """All parts of the ``|``-joined texts in ``lists``, sorted (native sort, no comparator)."""
     return F.array_sort(F.flatten(F.transform(_c(lists), lambda z: F.split(z, r"\|"))))

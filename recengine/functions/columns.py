@@ -42,10 +42,14 @@ def parse_number(text) -> Column:
     return F.regexp_replace(_c(text), ",", "").try_cast("double")
 
 
-def id_bucket(col, n: int) -> Column:
-    """Identity bucket: the id when it lies in [0, n), else null."""
+def id_bucket(col, n: int, on_invalid: str = "null") -> Column:
+    """Identity bucket: the id when it lies in [0, n); other ids are null, or an error with ``on_invalid="error"``."""
     c = _c(col)
-    return F.when((c >= 0) & (c < n), c)
+    fine = (c >= 0) & (c < n)
+    if on_invalid == "error":
+        wrong = F.raise_error(F.concat(F.lit(f"id outside [0, {n}): "), c.cast("string")))
+        return F.when(fine, c).when(c.isNotNull(), wrong.cast("bigint"))
+    return F.when(fine, c)
 
 
 def vocab_index(col, vocabulary: list[str]) -> Column:

@@ -5,7 +5,7 @@ transformers; nothing leaves the JVM."""
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +27,18 @@ def onehot_ids(df: DataFrame, id_col: str = "movieId", out_col: str = "movieIdVe
     return model.transform(num), model
 
 
-def with_id_buckets(df: DataFrame) -> DataFrame:
+def id_sizes(df: DataFrame) -> tuple[int, int]:
+    """(movie, user) identity column sizes that hold every id of the rows: largest id + 1."""
+    movie, user = df.agg(F.max("movieId"), F.max("userId")).first()
+    return int(movie if movie is not None else -1) + 1, int(user if user is not None else -1) + 1
+
+
+def with_id_buckets(df: DataFrame, movie_ids: int = S.MOVIE_ID_BUCKETS, user_ids: int = S.USER_ID_BUCKETS,
+                    on_invalid: str = "null") -> DataFrame:
     return df.select("*",
-                     id_bucket("movieId", S.MOVIE_ID_BUCKETS).alias("movieBucket"),
-                     id_bucket("userId", S.USER_ID_BUCKETS).alias("userBucket"),
-                     id_bucket("userRatedMovie1", S.MOVIE_ID_BUCKETS).alias("ratedMovieBucket"))
+                     id_bucket("movieId", movie_ids, on_invalid).alias("movieBucket"),
+                     id_bucket("userId", user_ids, on_invalid).alias("userBucket"),
+                     id_bucket("userRatedMovie1", movie_ids, on_invalid).alias("ratedMovieBucket"))
 
 
 def with_vocab_indices(df: DataFrame, vocabulary: list[str], cols: list[str] = GENRE_COLS) -> DataFrame:
@@ -82,5 +89,6 @@ def assemble(df: DataFrame, array_cols: list[str], out_col: str = "features") ->
     return df.withColumn(out_col, array_to_vector(F.concat(*[F.col(c) for c in array_cols])))
 
 
-def assembled_array(df: DataFrame, vec_col: str = "features", out_col: str = "features_array") -> DataFrame:
-    return df.withColumn(out_col, vector_to_array(F.col(vec_col)))
+def genre_indicators(size: int, cols: list[str] = GENRE_COLS):
+    """The 0/1 arrays of all eight genre inputs (three of the movie, five of the user), one after the other."""
+    return F.concat(*[indicator(f"{c}Index", size) for c in cols])

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recengine.operators.joins import fits_broadcast
 from recengine.session import reliable_checkpoint
 
 # A group above this many rows is split. Normal groups stay whole (one task holds at most this).
@@ -34,6 +35,12 @@ ROWS_PER_RANGE_PARTITION = 2_000_000
 _MASK33 = (1 << 33) - 1
 
 
+def total_order(order: list[str] | None, columns: list[str], ties: tuple[str, ...] = ("movieId", "rating")) -> list[str]:
+    """The order (timestamp by default) with the columns appended that break its ties."""
+    order = list(order or ["timestamp"])
+    return order + [c for c in ties if c not in order and c in columns]
+
+
 @dataclass
 class HotKeys:
     key: str
@@ -98,10 +105,11 @@ def group_positions(df: DataFrame, key: str, order: list[str], total_rows: int |
     g = (ranged.withColumn("_p", part)
                .join(F.broadcast(offsets), "_p")
                .withColumn("_g", F.col("_off") + local))
-    # one row per hot group
+    # one row per hot group: broadcast only if they are few
     starts = g.groupBy(F.col(key).alias("_sk")).agg(F.min("_g").alias("_start"))
     # null-safe: a null key is one group as in a window partition
-    return (g.join(F.broadcast(starts), g[key].eqNullSafe(starts["_sk"]))
+    starts = F.broadcast(starts) if fits_broadcast(starts, MAX_HOT_LITERALS) else starts
+    return (g.join(starts, g[key].eqNullSafe(starts["_sk"]))
              .withColumn("_pos", F.col("_g") - F.col("_start"))
              .drop("_mid", "_p", "_off", "_g", "_start", "_sk"))
 
@@ -109,8 +117,11 @@ def group_positions(df: DataFrame, key: str, order: list[str], total_rows: int |
 def frame_groups(df: DataFrame, key: str, order: list[str], lookback: int,
                  hot_threshold: int = DEFAULT_HOT_ROWS, chunk_rows: int | None = None,
                  hot: HotKeys | None = None) -> DataFrame:
-    """Adds ``_chunk`` (sub-group id) and ``_halo`` (copy only needed as look-back) for a bounded
-    row-frame window ``partitionBy(key, _chunk).orderBy(order).rowsBetween(-lookback, -1)``.
+    """Adds ``_chunk`` (sub-group id), ``_halo`` (copy only needed as look-back) and ``_pos`` for a bounded
+    row-frame window ``partitionBy(key, _chunk).orderBy(_pos, order).rowsBetween(-lookback, -1)``.
+
+    ``_pos`` is the position inside a hot group, so that rows tied in ``order`` keep the places by
+    which they were cut into chunks; it is 0 in normal groups.
 
     Normal groups get ``_chunk = 0`` and no halo rows, so the common case costs one shuffle.
     ``hot`` may be computed by the caller on a cheaper frame with the same rows per key.
@@ -118,7 +129,7 @@ def frame_groups(df: DataFrame, key: str, order: list[str], lookback: int,
     chunk_rows = chunk_rows or hot_threshold
     hot = hot if hot is not None else hot_keys(df, key, hot_threshold)
     if hot.empty:
-        return df.withColumn("_chunk", F.lit(0).cast("bigint")).withColumn("_halo", F.lit(False))
+        return df.withColumns({"_chunk": F.lit(0).cast("bigint"), "_halo": F.lit(False), "_pos": F.lit(0).cast("bigint")})
     normal, hot_rows = split_by_hot(df, hot)
     pos = group_positions(hot_rows, key, order, hot.rows)
     own = F.floor(F.col("_pos") / chunk_rows)
@@ -126,6 +137,6 @@ def frame_groups(df: DataFrame, key: str, order: list[str], lookback: int,
     exploded = (pos.withColumn("_own", own)
                    .withColumn("_chunk", F.explode(F.sequence(own, last)))
                    .withColumn("_halo", F.col("_chunk") != F.col("_own"))
-                   .drop("_own", "_pos"))
-    normal = normal.withColumn("_chunk", F.lit(0).cast("bigint")).withColumn("_halo", F.lit(False))
+                   .drop("_own"))
+    normal = normal.withColumns({"_chunk": F.lit(0).cast("bigint"), "_halo": F.lit(False), "_pos": F.lit(0).cast("bigint")})
     return normal.unionByName(exploded)

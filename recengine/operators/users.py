@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from recengine import schemas as S
 from recengine.functions.arrays import rank_sorted_by_frequency, split_flat_sorted
 from recengine.functions.columns import two_decimals
-from recengine.operators.ordering import DEFAULT_HOT_ROWS, HotKeys, frame_groups
+from recengine.operators.ordering import DEFAULT_HOT_ROWS, HotKeys, frame_groups, total_order
 
 
 def history_window(order: list[str], frame: int = S.HISTORY_FRAME, salted: bool = True):
@@ -55,14 +55,14 @@ def add_user_features(samples: DataFrame, order: list[str] | None = None, frame:
                       hot: HotKeys | None = None) -> DataFrame:
     """Samples with movie features -> the 28-column feature sample.
 
-    ``order``: full order key inside a user (timestamp first, then tie-breakers); must be unique
-    per user for deterministic history. ``keep``: extra input columns to carry (e.g. tie-breakers).
+    ``order``: order key inside a user (timestamp first); movie and rating are appended as tie-breakers, so
+    rows that still tie are equal in all that a history shows. ``keep``: extra input columns to carry (e.g. tie-breakers).
     ``hot``: hot users found by the caller (e.g. on the plain ratings, which have the same rows per
     user as the joined samples but skip the movie joins).
     """
-    order = order or ["timestamp"]
+    order = total_order(order, samples.columns)
     grouped = frame_groups(samples, "userId", order, frame, hot_threshold, chunk_rows, hot)
-    w = history_window(order, frame)
+    w = history_window(["_pos", *order], frame)
     base = [c for c in S.SAMPLE_COLUMNS if c in samples.columns]
     extra = [c for c in (keep or []) if c not in base]
     win = grouped.select(*base, *extra, "_halo", *[v.alias(k) for k, v in user_window_columns(w).items()])

@@ -17,41 +17,48 @@ from recengine.functions.arrays import cosine, dot, l2_distance, zeros
 from recengine.functions.columns import sigmoid
 from recengine.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, rows_for_width
 
+# Sequences one training task takes about.
+SEQUENCES_PER_TASK = 2_000
+# Tasks that null keys of a shuffle join are spread over.
+NULL_SALTS = 1024
+
 
 def lookup(df: DataFrame, vectors: DataFrame, key, out_col: str, dim: int,
            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
-    """Left join ``vectors`` on ``key`` (a column of ``df`` or an expression); missing -> zero vector."""
+    """Left join ``vectors`` on ``key`` (a column of ``df`` or an expression); missing -> zero vector.
+
+    In the shuffle join a null key, which matches nothing, is spread over many tasks by a salt.
+    """
     k = F.col(key) if isinstance(key, str) else key
     v = vectors.select(F.col("id").alias("_lk_id"), F.col("vector").alias("_lk_vec"))
     if small is None:
         small = fits_broadcast(vectors, rows_for_width(8 * dim + 48, max_broadcast_rows))
     if small:
-        v = F.broadcast(v)
-    out = df.join(v, k == F.col("_lk_id"), "left")
-    return out.withColumn(out_col, F.coalesce(F.col("_lk_vec"), zeros(dim))).drop("_lk_id", "_lk_vec")
+        out = df.join(F.broadcast(v), k == F.col("_lk_id"), "left")
+    else:
+        salt = F.when(k.isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS - 1)) + 1).otherwise(F.lit(0))
+        keyed = df.withColumns({"_lk_key": k, "_lk_salt": salt})
+        out = keyed.join(v.withColumn("_lk_zero", F.lit(0).cast("bigint")),
+                         (F.col("_lk_key") == F.col("_lk_id")) & (F.col("_lk_salt") == F.col("_lk_zero")), "left")
+    return (out.withColumn(out_col, F.coalesce(F.col("_lk_vec"), zeros(dim)))
+               .drop("_lk_id", "_lk_vec", "_lk_key", "_lk_salt", "_lk_zero"))
 
 
 def history_lookup(df: DataFrame, vectors: DataFrame, slot_cols: list[str], key_cols: list[str], dim: int,
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Adds ``history_vectors`` (one vector per slot, zero when missing) and ``history_mask``.
 
-    Small vector table: one broadcast join per slot, no shuffle at all. Large table: explode the
-    slots, one shuffle join on the item id (AQE splits hot items), regroup per row key (groups of
-    at most ``len(slot_cols)`` rows).
+    One left join per slot: broadcast for a small vector table, else by shuffle (AQE splits hot
+    items). Either way each row keeps its own slots, whether or not ``key_cols`` are unique or null.
     """
     mask = F.array(*[F.when(F.col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0)) for c in slot_cols])
-    if fits_broadcast(vectors, rows_for_width(8 * dim + 48, max_broadcast_rows)):
-        out = df
-        for i, c in enumerate(slot_cols):
-            out = lookup(out, vectors, c, f"_h{i}", dim, small=True)
-        hv = F.array(*[F.col(f"_h{i}") for i in range(len(slot_cols))])
-        return (out.withColumn("history_vectors", hv).withColumn("history_mask", mask)
-                   .drop(*[f"_h{i}" for i in range(len(slot_cols))]))
-    ex = df.select(*key_cols, F.posexplode(F.array(*[F.col(c) for c in slot_cols])).alias("_slot", "_item"))
-    ex = lookup(ex, vectors, "_item", "_vec", dim, small=False)
-    grouped = ex.groupBy(*key_cols).agg(F.array_sort(F.collect_list(F.struct("_slot", "_vec"))).alias("_hv"))
-    grouped = grouped.select(*key_cols, F.transform("_hv", lambda x: x["_vec"]).alias("history_vectors"))
-    return df.join(grouped, key_cols, "left").withColumn("history_mask", mask)
+    small = fits_broadcast(vectors, rows_for_width(8 * dim + 48, max_broadcast_rows))
+    out = df
+    for i, c in enumerate(slot_cols):
+        out = lookup(out, vectors, c, f"_h{i}", dim, small=small)
+    hv = F.array(*[F.col(f"_h{i}") for i in range(len(slot_cols))])
+    return (out.withColumn("history_vectors", hv).withColumn("history_mask", mask)
+               .drop(*[f"_h{i}" for i in range(len(slot_cols))]))
 
 
 def pair_dots(item, user, item_genre, user_genre, places: int = 6) -> dict[str, "F.Column"]:
@@ -76,33 +83,38 @@ def probe_vector(vectors: DataFrame, item_id):
 
 def top_k_similar(vectors: DataFrame, item_id, k: int = 20, places: int = 6) -> DataFrame:
     """k most cosine-similar items to ``item_id``, itself excluded (L4). The probe vector is read
-    once (d numbers) and inlined, so there is no join; an absent id gives an empty result."""
+    once (d numbers) and inlined, so there is no join; an absent id gives an empty result. Items are
+    ranked by the full value; null and zero vectors have no similarity and are left out."""
     probe = probe_vector(vectors, item_id)
     if probe is None:
         return vectors.where(F.lit(False)).select("id", F.lit(0.0).alias("similarity"))
-    sim = F.round(cosine("vector", probe), places)
-    return (vectors.where(F.col("id") != F.lit(item_id)).select("id", sim.alias("similarity"))
-                   .where(F.col("similarity").isNotNull())
+    best = (vectors.where((F.col("id") != F.lit(item_id)) & F.col("vector").isNotNull())
+                   .select("id", cosine("vector", probe).alias("similarity")).where(F.col("similarity").isNotNull())
                    .orderBy(F.col("similarity").desc(), F.col("id")).limit(k))
+    return best.select("id", F.round("similarity", places).alias("similarity"))
 
 
 def k_nearest(vectors: DataFrame, probe, k: int = S.LSH_NEIGHBOURS, places: int = 6) -> DataFrame:
-    """Exact k nearest by Euclidean distance to a probe (list of floats or an item id)."""
+    """Exact k nearest by Euclidean distance to a probe (list of floats or an item id).
+
+    Ranked by the full value, rounded after; null vectors and those of another length are left out."""
     p = probe if isinstance(probe, (list, tuple)) else probe_vector(vectors, probe)
     if p is None:
         return vectors.where(F.lit(False)).select("id", F.lit(0.0).alias("distance"))
     if isinstance(p, (list, tuple)):
         p = F.array(*[F.lit(float(x)) for x in p])
-    d = F.round(l2_distance("vector", p), places)
-    return vectors.select("id", d.alias("distance")).orderBy("distance", "id").limit(k)
+    near = (vectors.where(F.size("vector") == F.size(p)).select("id", l2_distance("vector", p).alias("distance"))
+                   .where(F.col("distance").isNotNull()).orderBy("distance", "id").limit(k))
+    return near.select("id", F.round("distance", places).alias("distance"))
 
 
 # --- learned vectors and LSH -----------------------------------------------------------------
 def train_item2vec(sequences: DataFrame, dim: int = S.EMBEDDING_SIZE, window: int = S.W2V_WINDOW,
                    iterations: int = S.W2V_ITERATIONS, min_count: int = 5, seed: int = 42,
-                   partitions: int = 1, col: str = "movieIds"):
-    """Skip-gram item vectors (K2). Sequences longer than maxSentenceLength are split by
-    Word2Vec itself, matching the pieces of :func:`item_sequences`."""
+                   partitions: int | None = None, col: str = "movieIds"):
+    """Skip-gram item vectors (K2), trained in ``partitions`` tasks: by default one for every
+    ``SEQUENCES_PER_TASK`` sequences, so training spreads as the data grow."""
+    partitions = partitions or max(1, -(-sequences.count() // SEQUENCES_PER_TASK))
     w2v = Word2Vec(vectorSize=dim, windowSize=window, maxIter=iterations, minCount=min_count, seed=seed,
                    numPartitions=partitions, inputCol=col, outputCol="_w2v")
     return w2v.fit(sequences.select(col))

@@ -19,7 +19,6 @@ from recengine.operators import vectors as V
 from recengine.plans import features as FT
 from recengine.plans import samples as P
 from recengine.plans import training as TR
-from recengine.schemas import LSH_PROBE_VECTOR
 from recengine.schemas import SAMPLE_COLUMNS, TESTDATA_ORDER
 from recengine.sources import fixtures as X
 from recengine.sources import readers as R
@@ -201,7 +200,7 @@ def csv_samples_sink(spark, sf):
     """The job's last step: 10 % hash sample, 80/20 split, one headered CSV folder per part."""
     sampled = B.hash_sample(P.user_features(spark, sf), SAMPLE_ROW_KEY)
     split = B.train_test_split(sampled, SAMPLE_ROW_KEY)
-    paths = K.write_train_test(split, K.scratch_path(spark, "train-test"))
+    paths = K.write_train_test(split, K.scratch_path(spark, "train-test"), num_files=4)
     train = R.read_samples(spark, paths["train"]).withColumn("split", F.lit("train"))
     test = R.read_samples(spark, paths["test"]).withColumn("split", F.lit("test"))
     return train.unionByName(test)
@@ -223,10 +222,10 @@ KEYS = FT.KEYS
 @query
 def onehot_item_id(spark, sf):
     """One-hot of movie ids (dropLast=False); emits the sparse view (size, index, value)."""
-    out, model = E.onehot_ids(X.movies(spark, sf))
-    size = int(model.categorySizes[0])
-    return out.select("movieId", F.lit(size).alias("size"), F.col("movieIdNumber").alias("index"),
-                      F.lit(1.0).alias("value"))
+    out, _ = E.onehot_ids(X.movies(spark, sf))
+    vector = F.unwrap_udt("movieIdVector")
+    return out.select("movieId", vector["size"].alias("size"), F.get(vector["indices"], 0).alias("index"),
+                      F.get(vector["values"], 0).alias("value"))
 
 
 @query
@@ -260,7 +259,7 @@ def numeric_features(spark, sf):
 @query
 def dense_features(spark, sf):
     df, _ = FT.with_vectors(spark, sf)
-    return E.assembled_array(FT.dense_input(df)).select(*KEYS, F.col("features_array").alias("features"))
+    return df.select(*KEYS, FT.dense_array().alias("features"))
 
 
 # --- vector operators (J3 J4 K11-K13 L4 L5) --------------------------------------------------
@@ -274,7 +273,16 @@ def embedding_lookup(spark, sf):
 def history_lookup(spark, sf):
     d = X.vector_dim(spark, sf)
     df = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
-    out = V.history_lookup(df, X.item_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    out = V.history_lookup(df, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    return out.select(*KEYS, "history_vectors", "history_mask")
+
+
+@query
+def history_lookup_large(spark, sf):
+    """The same lookup by shuffle joins, as for a vector table too large to broadcast."""
+    d = X.vector_dim(spark, sf)
+    df = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
+    out = V.history_lookup(df, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d, max_broadcast_rows=1)
     return out.select(*KEYS, "history_vectors", "history_mask")
 
 
@@ -295,8 +303,8 @@ def tower_dot_score(spark, sf):
 def history_attention_pool(spark, sf):
     d = X.vector_dim(spark, sf)
     base = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
-    base = V.lookup(base, X.item_vectors(spark, sf), "movieId", "item_vector", d)
-    hist = V.history_lookup(base, X.item_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    base = V.lookup(base, X.movie_vectors(spark, sf), "movieId", "item_vector", d)
+    hist = V.history_lookup(base, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
     return AT.attention_pool(hist, d).select(*KEYS, "attention_weights", "pooled_history")
 
 
@@ -359,46 +367,49 @@ def item2vec(spark, sf):
 
 @query
 def lsh_buckets(spark, sf):
-    model, df = TR.lsh_on_item2vec(spark, sf)
+    """Hash values of every vector of the embeddings table."""
+    model, df = V.lsh_model(X.item_vectors(spark, sf))
     return V.lsh_buckets(model, df)
 
 
 @query
 def lsh_nearest(spark, sf):
-    model, df = TR.lsh_on_item2vec(spark, sf)
-    return V.lsh_nearest(model, df, LSH_PROBE_VECTOR, 5)
+    """Approximate neighbours of item 7's vector; pytest measures recall against the exact ones."""
+    vectors = X.item_vectors(spark, sf)
+    model, df = V.lsh_model(vectors, bucket_length=0.5)
+    probe = vectors.where(F.col("id") == NEAREST_TO).select("vector").first()
+    return V.lsh_nearest(model, df, list(probe[0]) if probe else [0.0] * X.vector_dim(spark, sf), 5)
 
 
 @query
 def item_vector_sink(spark, sf):
-    """item2vec vectors written as `id:v1 v2 ...` text by the executors, read back."""
+    """Vectors written as `id:v1 v2 ...` text by the executors, read back and parsed."""
     path = K.scratch_path(spark, "item-vectors")
-    K.write_item_vectors(TR.item2vec_vectors(spark, sf), path)
-    return spark.read.text(path)
+    K.write_item_vectors(X.item_vectors(spark, sf), path, id_col="id")
+    parts = F.split("value", ":")
+    return spark.read.text(path).select(
+        parts[0].cast("bigint").alias("id"),
+        F.transform(F.split(parts[1], " "), lambda x: x.cast("float").cast("double")).alias("vector"))
 
 
 @query
 def dense_forward(spark, sf):
-    df, _ = FT.with_vectors(spark, sf)
-    dense = E.assembled_array(FT.dense_input(df))
-    dim = 7 + 2 * X.vector_dim(spark, sf) + 2 * len(FT.VOCAB)
-    layers = SC.rule_layers([dim, 128, 128, 1])
-    return SC.dense_forward(dense, "features_array", KEYS, layers)
+    """A dense stack with weights from a rule, in Arrow batches; the SQL twin does the same sums."""
+    df, d = FT.with_vectors(spark, sf)
+    layers = SC.small_rule_layers([FT.dense_size(d), 4, 1])
+    out = SC.dense_forward(df.select(*KEYS, FT.dense_array().alias("features")), "features", KEYS, layers)
+    return out.withColumn("score", F.round("score", 6))
 
 
 @query
 def model_sink(spark, sf):
-    """Fit a pipeline, save it, load it back and score the test rows with the loaded model."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-
-    from recengine.operators.models import p_one, save_load
+    """Fit a family, save it, load it back and score every held-out row with the loaded model."""
+    from recengine.operators.recommenders import Recommender
 
-    df, _ = TR.model_frame(spark, sf)
-    train, test = df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
-    model = Pipeline(stages=[LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)]).fit(train)
-    loaded = save_load(model, K.scratch_path(spark, "model"))
-    return p_one(loaded.transform(test)).select(*KEYS, F.round("p", 9).alias("p"))
+    train, test = TR.train_and_test(spark, sf)
+    path = K.scratch_path(spark, "model")
+    Recommender("two_tower", FT.VOCAB, max_fit_rows=TR.MAX_FIT_ROWS).fit(train).save(path)
+    return Recommender.load(spark, path).score(test).select(*KEYS, F.round("p", 9).alias("p"))
 
 
 @query
@@ -408,42 +419,43 @@ def batch_score(spark, sf):
 
 @query
 def train_embedding_mlp(spark, sf):
-    return TR.train_embedding_mlp(spark, sf)
+    return TR.train_family(spark, sf, "embedding_mlp")
 
 
 @query
 def train_ncf_concat(spark, sf):
-    return TR.train_ncf_concat(spark, sf)
+    return TR.train_family(spark, sf, "ncf_concat")
 
 
 @query
 def train_two_tower(spark, sf):
-    return TR.train_two_tower(spark, sf)
+    return TR.train_family(spark, sf, "two_tower")
 
 
 @query
 def train_deep_fm(spark, sf):
-    return TR.train_deep_fm(spark, sf)
+    return TR.train_family(spark, sf, "deep_fm")
 
 
 @query
 def train_wide_deep(spark, sf):
-    return TR.train_wide_deep(spark, sf)
+    return TR.train_family(spark, sf, "wide_deep")
 
 
 @query
 def train_interest_net(spark, sf):
-    return TR.train_interest_net(spark, sf)
+    return TR.train_family(spark, sf, "interest_net")
 
 
 @query
 def history_attention_net(spark, sf):
-    """K13 net form: 32-unit activation unit with PReLU, Arrow-batched."""
+    """K13 net form: an activation unit with PReLU, Arrow-batched; weights from a rule, as in the SQL twin."""
     d = X.vector_dim(spark, sf)
     base = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
-    base = V.lookup(base, X.item_vectors(spark, sf), "movieId", "item_vector", d)
-    hist = V.history_lookup(base, X.item_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
-    return AT.attention_net(hist, d, KEYS, SC.rule_layers([4 * d, 32, 1]))
+    base = V.lookup(base, X.movie_vectors(spark, sf), "movieId", "item_vector", d)
+    hist = V.history_lookup(base, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    out = AT.attention_net(hist, d, KEYS, SC.small_rule_layers([4 * d, 2, 1]))
+    return out.select(*KEYS, *[F.transform(c, lambda v: F.round(v, 6)).alias(c) for c in ("attention_weights", "pooled_history")])
 
 
 @query

@@ -20,29 +20,32 @@ def keyed_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, sf: str) -> DataFrame:
-    return E.with_vocab_indices(E.with_id_buckets(keyed_samples(spark, sf)), VOCAB)
+    """Identity columns as large as the ids of the ratings, so every id has its own slot."""
+    sizes = E.id_sizes(X.ratings(spark, sf))
+    return E.with_vocab_indices(E.with_id_buckets(keyed_samples(spark, sf), *sizes, on_invalid="error"), VOCAB)
 
 
-def genre_vector_key(index_col: str):
-    return F.when(F.col(index_col) >= 0, F.lit(X.GENRE_VECTOR_BASE) + F.col(index_col))
+def genre_vector_key(index_col: str, vectors: int):
+    return F.when(F.col(index_col) >= 0, F.lit(vectors - X.GENRE_VECTORS) + F.col(index_col))
 
 
 def with_vectors(spark: SparkSession, sf: str, df: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Adds item_vector, user_vector, item_genre_vector, user_genre_vector (zero when missing)."""
     df = df if df is not None else encoded(spark, sf)
     vecs = X.item_vectors(spark, sf)
-    d = X.vector_dim(spark, sf)
+    d, n = X.vector_dim(spark, sf), X.vector_count(spark, sf)
     small = V.fits_broadcast(vecs, V.rows_for_width(8 * d + 48))
-    out = V.lookup(df, vecs, "movieId", "item_vector", d, small=small)
-    out = V.lookup(out, vecs, F.col("userId") % X.USER_VECTOR_MOD, "user_vector", d, small=small)
-    out = V.lookup(out, vecs, genre_vector_key("movieGenre1Index"), "item_genre_vector", d, small=small)
-    out = V.lookup(out, vecs, genre_vector_key("userGenre1Index"), "user_genre_vector", d, small=small)
+    out = V.lookup(df, X.movie_vectors(spark, sf), "movieId", "item_vector", d)
+    out = V.lookup(out, vecs, F.pmod("userId", F.lit(max(1, n))), "user_vector", d, small=small)
+    out = V.lookup(out, vecs, genre_vector_key("movieGenre1Index", n), "item_genre_vector", d, small=small)
+    out = V.lookup(out, vecs, genre_vector_key("userGenre1Index", n), "user_genre_vector", d, small=small)
     return out, d
 
 
-def dense_input(df: DataFrame) -> DataFrame:
-    """numeric(7) + item vector + user vector + movie-genre indicator + user-genre indicator."""
-    staged = df.select("*", E.numeric_array().alias("_num"),
-                       E.indicator("movieGenre1Index", len(VOCAB)).alias("_ig"),
-                       E.indicator("userGenre1Index", len(VOCAB)).alias("_ug"))
-    return E.assemble(staged, ["_num", "item_vector", "user_vector", "_ig", "_ug"]).drop("_num", "_ig", "_ug")
+def dense_array():
+    """numeric(7) + item vector + user vector + the indicators of all eight genre inputs."""
+    return F.concat(E.numeric_array(), F.col("item_vector"), F.col("user_vector"), E.genre_indicators(len(VOCAB)))
+
+
+def dense_size(d: int) -> int:
+    return len(E.NUMERIC_FEATURES) + 2 * d + len(E.GENRE_COLS) * len(VOCAB)

@@ -24,7 +24,7 @@ movies as (
          concat_ws('|', p_type,
                    case when p_partkey % 3 >= 1 then split_part(p_name, ' ', 1) end,
                    case when p_partkey % 3 = 2 then split_part(p_name, ' ', 2) end) as genres
-  from part where p_partkey % 89 <> 0),
+  from part),
 labeled as (
   select *, case when rating >= 3.5 then 1 else 0 end as label from ratings)"""
 
@@ -153,9 +153,9 @@ def md5_bucket_sql(cols: str, n: int, salt: str) -> str:
 
 _SK = "userId, movieId, l_orderkey, l_linenumber"
 SQL["sample_fraction"] = with_ctes() + f"""
-select {_SK}, timestamp, label from labeled where {md5_bucket_sql(_SK, 1000, 'sample')} < 100"""
+select {_SK}, timestamp, label from labeled where {md5_bucket_sql(_SK, 2 ** 32, 'sample')} < {round(0.1 * 2 ** 32)}"""
 SQL["train_test_split"] = with_ctes() + f"""
-select {_SK}, label, case when {md5_bucket_sql(_SK, 1000, 'split')} < 800 then 'train' else 'test' end as split
+select {_SK}, label, case when {md5_bucket_sql(_SK, 2 ** 32, 'split')} < {round(0.8 * 2 ** 32)} then 'train' else 'test' end as split
 from labeled"""
 
 SQL["ratings_scan"] = with_ctes() + "select userId, movieId, rating, timestamp from ratings"
@@ -164,8 +164,8 @@ SQL["samples_scan"] = _UF + f"select {SAMPLE_COLS} from user_features"
 _RK = "userId, movieId, timestamp"
 SQL["csv_samples_sink"] = _UF + f"""
 select {SAMPLE_COLS},
-       case when {md5_bucket_sql(_RK, 1000, 'split')} < 800 then 'train' else 'test' end as split
-from user_features where {md5_bucket_sql(_RK, 1000, 'sample')} < 100"""
+       case when {md5_bucket_sql(_RK, 2 ** 32, 'split')} < {round(0.8 * 2 ** 32)} then 'train' else 'test' end as split
+from user_features where {md5_bucket_sql(_RK, 2 ** 32, 'sample')} < {round(0.1 * 2 ** 32)}"""
 SQL["preview"] = with_ctes() + f"""
 select userId, movieId, rating, timestamp, label, l_orderkey, l_linenumber from labeled
 order by userId, {ORDER} limit 20"""
@@ -178,15 +178,18 @@ def vocab_idx(c: str) -> str:
     return f"(coalesce(list_position({_VOCAB}, {c}), 0) - 1)::integer"
 
 
-def id_bkt(c: str, n: int) -> str:
+_MOVIES, _USERS = "(select max(movieId) + 1 from ratings)", "(select max(userId) + 1 from ratings)"
+
+
+def id_bkt(c: str, n: str) -> str:
     return f"case when {c} >= 0 and {c} < {n} then {c} end"
 
 
 _GENRE_COLS = ["movieGenre1", "movieGenre2", "movieGenre3"] + [f"userGenre{i}" for i in range(1, 6)]
 ENCODED = f"""
 encoded as (
-  select *, {id_bkt('movieId', S.MOVIE_ID_BUCKETS)} as movieBucket, {id_bkt('userId', S.USER_ID_BUCKETS)} as userBucket,
-         {id_bkt('userRatedMovie1', S.MOVIE_ID_BUCKETS)} as ratedMovieBucket,
+  select *, {id_bkt('movieId', _MOVIES)} as movieBucket, {id_bkt('userId', _USERS)} as userBucket,
+         {id_bkt('userRatedMovie1', _MOVIES)} as ratedMovieBucket,
          {", ".join(f"{vocab_idx(c)} as {c}Index" for c in _GENRE_COLS)}
   from user_features)"""
 _ENC = with_ctes(MOVIE_ATTR, USER_FEATURES, ENCODED)
@@ -229,10 +232,14 @@ select {_KEYS}, {num_sql()} as numeric,
        [{", ".join(f"coalesce(userRatedMovie{i}, 0)::bigint" for i in range(1, 6))}] as history
 from user_features"""
 
-VECS = """
-vecs as (select vec_id as id, embedding::double[] as vector from embeddings),
-dim as (select max(len(vector)) as d from vecs),
-zero as (select list_transform(range(d), lambda x: 0.0::double) as z from dim),
+_EMB = """
+emb as (select vec_id as id, embedding::double[] as vector from embeddings),
+cnt as (select count(*) as n from emb),
+vecs as (select p_partkey as id, vector from part join emb on emb.id = p_partkey % (select n from cnt)),
+dim as (select max(len(vector)) as d from emb),
+zero as (select list_transform(range(d), lambda x: 0.0::double) as z from dim)"""
+
+VECS = _EMB + """,
 withvec as (
   select e.*, coalesce(v1.vector, (select z from zero)) as item_vector,
          coalesce(v2.vector, (select z from zero)) as user_vector,
@@ -240,16 +247,39 @@ withvec as (
          coalesce(v4.vector, (select z from zero)) as user_genre_vector
   from encoded e
   left join vecs v1 on v1.id = e.movieId
-  left join vecs v2 on v2.id = e.userId % 500
-  left join vecs v3 on v3.id = case when e.movieGenre1Index >= 0 then 490 + e.movieGenre1Index end
-  left join vecs v4 on v4.id = case when e.userGenre1Index >= 0 then 490 + e.userGenre1Index end)"""
+  left join emb v2 on v2.id = e.userId % (select n from cnt)
+  left join emb v3 on v3.id = case when e.movieGenre1Index >= 0 then (select n from cnt) - 10 + e.movieGenre1Index end
+  left join emb v4 on v4.id = case when e.userGenre1Index >= 0 then (select n from cnt) - 10 + e.userGenre1Index end)"""
 _VEC = with_ctes(MOVIE_ATTR, USER_FEATURES, ENCODED, VECS)
+
+
+def dense_sql() -> str:
+    genres = ", ".join(indicator_sql(f"{c}Index", _NV) for c in _GENRE_COLS)
+    return f"flatten([{num_sql()}, item_vector, user_vector, {genres}])"
+
+
 SQL["dense_features"] = _VEC + f"""
-select {_KEYS}, list_concat({num_sql()}, item_vector, user_vector,
-                            {indicator_sql('movieGenre1Index', _NV)}, {indicator_sql('userGenre1Index', _NV)}) as features
+select {_KEYS}, {dense_sql()} as features
 from withvec"""
 
 
+def rule_weight(i: str, j: str) -> str:
+    return f"((31 * ({i}) + 17 * {j}) % 13 - 6) / 600.0::double"
+
+
+def hidden_sql(x: str, n: str, j: int) -> str:
+    """Sum of unit j of a first layer over the list x of n numbers, with its bias."""
+    return f"(list_sum(list_transform(range({n}), lambda i: {x}[i + 1] * ({rule_weight('i', str(j))}))) + 0.01)"
+
+
+_DIM = f"{7 + len(_GENRE_COLS) * _NV} + 2 * (select d from dim)"
+SQL["dense_forward"] = _VEC + f"""
+, dense as (select {_KEYS}, {dense_sql()} as x from withvec),
+units as (select *, {", ".join(f"greatest({hidden_sql('x', _DIM, j)}, 0) as h{j}" for j in range(4))} from dense)
+select {_KEYS}, round(1.0 / (1.0 + exp(-({" + ".join(f"h{j} * ({rule_weight(str(j), '0')})" for j in range(4))} + 0.01))), 6) as score
+from units"""
+
+
 def dot_sql(a: str, b: str) -> str:
     return f"(round(list_sum(list_transform(list_zip({a}, {b}), lambda t: t[1] * t[2])), 6) + 0.0)"
 
@@ -264,12 +294,9 @@ SQL["tower_dot_score"] = _VEC + f"""
 select {_KEYS}, round(1.0 / (1.0 + exp(-(1.0 * list_sum(list_transform(list_zip(user_vector, item_vector), lambda t: t[1] * t[2])) + 0.0))), 6) as score
 from withvec"""
 
-_VECS_ONLY = """
-vecs as (select vec_id as id, embedding::double[] as vector from embeddings),
-dim as (select max(len(vector)) as d from vecs),
-zero as (select list_transform(range(d), lambda x: 0.0::double) as z from dim)"""
+_VECS_ONLY = _EMB
 SQL["embedding_lookup"] = with_ctes(_VECS_ONLY) + """
-select m.movieId, coalesce(v.vector, (select z from zero)) as vector from movies m left join vecs v on v.id = m.movieId"""
+select m.movieId, coalesce(v.vector, (select z from zero)) as vector from movies m left join emb v on v.id = m.movieId"""
 
 HIST = """
 hist as (
@@ -286,6 +313,8 @@ hist as (
   left join vecs h5 on h5.id = u.userRatedMovie5 left join vecs c on c.id = u.movieId)"""
 _HIST = with_ctes(MOVIE_ATTR, USER_FEATURES, _VECS_ONLY, HIST)
 SQL["history_lookup"] = _HIST + f"select {_KEYS}, history_vectors, history_mask from hist"
+SQL["history_lookup_large"] = SQL["history_lookup"]
+SQL["item_vector_sink"] = "select vec_id as id, embedding::double[] as vector from embeddings"
 
 
 def _score_sql(h: str, d: int = 64) -> str:
@@ -307,12 +336,41 @@ select {_KEYS}, list_transform(w, lambda x: round(x, 6) + 0.0) as attention_weig
                                            + w[5] * history_vectors[5][j + 1], 6) + 0.0) as pooled_history
 from att"""
 
+
+
+def _net_sql(i: int) -> str:
+    """Weight of slot i: the activation unit of two PReLU units over [h - c, h, c, h * c]."""
+    z = [hidden_sql(f"x{i}", "4 * (select d from dim)", j) for j in range(2)]
+    act = [f"(case when {v} > 0 then {v} else 0.25 * {v} end)" for v in z]
+    out = " + ".join(f"{v} * ({rule_weight(str(j), '0')})" for j, v in enumerate(act))
+    return f"case when history_mask[{i}] = 1 then 1.0 / (1.0 + exp(-({out} + 0.01))) else 0.0 end"
+
+
+def _slot_sql(i: int) -> str:
+    h, c = f"history_vectors[{i}]", "item_vector"
+    pairs = f"list_zip({h}, {c})"
+    return (f"flatten([list_transform({pairs}, lambda t: t[1] - t[2]), {h}, {c}, "
+            f"list_transform({pairs}, lambda t: t[1] * t[2])]) as x{i}")
+
+
+ATTNET = f""",
+slots as (select *, {", ".join(_slot_sql(i) for i in range(1, 6))} from hist),
+net as (select *, [{", ".join(_net_sql(i) for i in range(1, 6))}] as w from slots)"""
+SQL["history_attention_net"] = _HIST + ATTNET + f"""
+select {_KEYS}, list_transform(w, lambda x: round(x, 6) + 0.0) as attention_weights,
+       list_transform(range((select d from dim)), lambda j: round(w[1] * history_vectors[1][j + 1] + w[2] * history_vectors[2][j + 1]
+                                           + w[3] * history_vectors[3][j + 1] + w[4] * history_vectors[4][j + 1]
+                                           + w[5] * history_vectors[5][j + 1], 6) + 0.0) as pooled_history
+from net"""
+
 SQL["similar_items"] = with_ctes(_VECS_ONLY) + """
-select id, round(list_cosine_similarity(vector, (select vector from vecs where id = 158)), 6) + 0.0 as similarity
-from vecs where id <> 158 order by similarity desc, id limit 20"""
+select id, round(s, 6) + 0.0 as similarity
+from (select id, list_cosine_similarity(vector, (select vector from emb where id = 158)) as s from emb where id <> 158)
+order by s desc, id limit 20"""
 SQL["nearest_items_exact"] = with_ctes(_VECS_ONLY) + """
-select id, round(list_distance(vector, (select vector from vecs where id = 7)), 6) as distance
-from vecs order by distance, id limit 5"""
+select id, round(d, 6) as distance
+from (select id, list_distance(vector, (select vector from emb where id = 7)) as d from emb)
+order by d, id limit 5"""
 
 # --- scoring and metrics -------------------------------------------------------------------------
 SCORED = """

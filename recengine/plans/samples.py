@@ -52,5 +52,5 @@ def build_samples(ratings: DataFrame, movies: DataFrame, order: list[str] | None
     """Generic form for any typed ratings/movies pair (CSV or table)."""
     rated = add_label(ratings)
     hot, stats = prepare(rated, hot_threshold)
-    return add_user_features(add_movie_features(rated, movies, stats=stats), order=order or ["timestamp"],
+    return add_user_features(add_movie_features(rated, movies, stats=stats), order=order,
                              hot_threshold=hot_threshold, hot=hot)

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from recengine.functions.arrays import to_double_array
 
-# Vectors of the embeddings table used for users and genres (fixture rule).
-USER_VECTOR_MOD = 500
-GENRE_VECTOR_BASE = 490
+# Vectors kept for genres: the last ones of the embeddings table (fixture rule).
+GENRE_VECTORS = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +34,11 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movies with and without a year in the title, one to three genres, and gaps (missing ids)."""
+    """Movies with and without a year in the title, one to three genres; every row of part."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     key = F.col("p_partkey")
     name_word = lambda i: F.get(F.split(F.col("p_name"), " "), i)
-    return p.where(key % 89 != 0).select(
+    return p.select(
         key.alias("movieId"),
         F.when(key % 97 == 0, F.col("p_name"))
          .otherwise(F.concat(F.col("p_name"), F.lit(" ("), (F.lit(1949) + F.col("p_size")).cast("string"),
@@ -56,6 +55,17 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("id"), to_double_array("embedding").alias("vector"))
 
 
+def vector_count(spark: SparkSession, sf_dir: str) -> int:
+    return table(spark, sf_dir, "embeddings").count()
+
+
+def movie_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, vector) for every movie: movie m has the vector of id m modulo the number of vectors."""
+    v = item_vectors(spark, sf_dir).withColumnRenamed("id", "vec_id")
+    keys = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    return keys.join(v, F.pmod("id", F.lit(max(1, vector_count(spark, sf_dir)))) == F.col("vec_id")).select("id", "vector")
+
+
 def vector_dim(spark: SparkSession, sf_dir: str) -> int:
     """Dimension of the fixture vectors (one row read from the table)."""
     row = table(spark, sf_dir, "embeddings").select(F.size("embedding").alias("d")).limit(1).collect()

@@ -30,11 +30,14 @@ def test_train_job_on_written_samples(spark):
     base = sinks.scratch_path(spark, "train-job")
     sinks.write_csv(X.movies(spark, SF), f"{base}/movies")
     sinks.write_csv(X.ratings(spark, SF).select("userId", "movieId", "rating", "timestamp"), f"{base}/ratings")
-    build.main([f"{base}/movies", f"{base}/ratings", f"{base}/samples", "--fraction", "0.5"], spark=spark)
-    train.main([f"{base}/samples", f"{base}/out", "--model", "lr", "--vocab", ",".join(S.GENRE_VOCAB_TESTDATA)],
+    build.main([f"{base}/movies", f"{base}/ratings", f"{base}/samples", "--fraction", "0.5", "--format", "parquet"],
                spark=spark)
+    train.main([f"{base}/samples", f"{base}/out", "--model", "two_tower", "--vocab", ",".join(S.GENRE_VOCAB_TESTDATA),
+                "--format", "parquet"], spark=spark)
     row = spark.read.parquet(f"{base}/out/summary").collect()[0]
-    assert row["model"] == "lr" and 0.0 <= row["roc_auc"] <= 1.0 and row["log_loss"] > 0
+    assert row["model"] == "two_tower" and 0.0 <= row["roc_auc"] <= 1.0 and 0 < row["log_loss"] < 0.75
+    assert spark.read.parquet(f"{base}/out/scores").count() == spark.read.parquet(f"{base}/samples/split=test").count()
+    assert spark.read.parquet(f"{base}/out/preview").count() == 12
 
 
 def test_build_vectors_job(spark):
@@ -42,7 +45,8 @@ def test_build_vectors_job(spark):
 
     base = sinks.scratch_path(spark, "vec-job")
     sinks.write_csv(X.ratings(spark, SF).select("userId", "movieId", "rating", "timestamp"), f"{base}/ratings")
-    job.main([f"{base}/ratings", f"{base}/out"], spark=spark)
+    job.main([f"{base}/ratings", f"{base}/out", "--similar-to", "7"], spark=spark)
+    assert spark.read.parquet(f"{base}/out/similar_items").count() in (0, 20)
     lines = spark.read.text(f"{base}/out/item2vec").collect()
     assert lines and all(len(r[0].split(":")[1].split(" ")) == 10 for r in lines)
     buckets = spark.read.parquet(f"{base}/out/lsh_buckets")

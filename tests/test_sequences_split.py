@@ -59,11 +59,40 @@ def test_item2vec_repeatable_with_seed(spark):
     assert len(next(iter(a.values()))) == 10
 
 
-def test_text_back_to_items_and_label_split(spark):
-    from recengine.operators.sequences import text_to_items
-    from recengine.sources.readers import split_label
-
-    df = spark.createDataFrame([(1, "5 7 8", 1)], "userId long, movieIdStr string, label int")
-    assert text_to_items(df).collect()[0]["movieIds"] == ["5", "7", "8"]
-    feats, lab = split_label(df)
-    assert "label" not in feats.columns and lab.columns == ["label"]
+def test_tiny_fractions_keep_rows(spark):
+    df = spark.range(200000).withColumnRenamed("id", "k")
+    assert 40 < hash_sample(df, ["k"], 0.0004).count() < 130
+    assert hash_sample(df, ["k"], 0.0).count() == 0 and hash_sample(df, ["k"], 1.0).count() == 200000
+
+
+def test_ties_are_broken_alike_on_both_paths(spark):
+    rows = [(1, 200 - i, 4.0, i // 7) for i in range(90)] + [(2, 1, 4.0, 0), (2, 10, 4.0, 0), (2, 9, 4.0, 0)]
+    r = ratings(spark, rows)
+    plain = item_sequences(r, piece_items=10)
+    hot = item_sequences(r.repartition(5), piece_items=10, hot_threshold=20)
+    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+    assert {tuple(x["movieIds"]) for x in plain.where("userId = 2").collect()} == {("1", "9", "10")}
+
+
+def test_rare_items_go_before_sequences_are_cut(spark):
+    rows = [(1, i if i % 3 else 1000 + i, 4.0, i) for i in range(60)] + [(2, i, 4.0, i) for i in range(60) if i % 3]
+    cut = item_sequences(ratings(spark, rows), piece_items=10, min_count=2).where("userId = 1").orderBy("seq_part").collect()
+    assert [len(x["movieIds"]) for x in cut] == [10, 10, 10, 10]
+    assert [m for x in cut for m in x["movieIds"]] == [str(i) for i in range(60) if i % 3]
+
+
+def test_item2vec_tasks_follow_the_rows(spark, monkeypatch):
+    from recengine.operators import vectors as V
+
+    seen = []
+
+    class Spy(V.Word2Vec):
+        def fit(self, df):
+            seen.append(self.getNumPartitions())
+            return super().fit(df)
+
+    monkeypatch.setattr(V, "Word2Vec", Spy)
+    monkeypatch.setattr(V, "SEQUENCES_PER_TASK", 10)
+    seqs = spark.createDataFrame([([str((i * k) % 13) for k in range(1, 15)],) for i in range(1, 40)], "movieIds array<string>")
+    model = V.train_item2vec(seqs, min_count=1, iterations=1)
+    assert seen == [4] and V.model_vectors(model).count() == 13
