@@ -5,7 +5,6 @@ Layout:
     functions/  Column expressions (labels, years, two-decimal text, hashes, vector math)
     operators/  DataFrame -> DataFrame building blocks (labels, movies, users, sequences, ...)
     plans/      end-to-end jobs and the named query catalogue
-    streaming/  incremental variants (the batch reference has no stream job)
 """
 
 from recengine.session import get_session, ensure_checkpoint_dir

@@ -25,7 +25,7 @@ HISTORY_FRAME = 100            # ratings looked back, current row excluded
 HISTORY_SLOTS = 5              # userRatedMovie1..5 and userGenre1..5
 MOVIE_GENRE_SLOTS = 3          # movieGenre1..3
 MIN_PRIOR_RATINGS = 1          # keep rows with userRatingCount > 1
-MOVIE_ID_BUCKETS = 1001        # identity column sizes of the models
+MOVIE_ID_BUCKETS = 1001        # identity column sizes of the models (defaults; queries take them from the data)
 USER_ID_BUCKETS = 30001
 CROSS_BUCKETS = 10000          # movieId x userRatedMovie1 hashed cross
 EMBEDDING_SIZE = 10            # item2vec vector size
@@ -36,8 +36,6 @@ LSH_TABLES = 3
 LSH_NEIGHBOURS = 5
 SAMPLE_FRACTION = 0.1
 TRAIN_SHARE = 0.8
-BATCH_SIZE = 12
-EPOCHS = 5
 # The movie genre vocabulary of the models, in index order.
 GENRE_VOCAB_MOVIELENS = ["Film-Noir", "Action", "Adventure", "Horror", "Romance", "War", "Comedy",
                          "Western", "Documentary", "Sci-Fi", "Drama", "Thriller", "Crime", "Fantasy",
