@@ -37,9 +37,9 @@ def zeros(d: int) -> Column:
 
 
 
-def split_flat_sorted(lists) -> Column:
-    """All parts of the ``|``-joined texts in ``lists``, sorted (native sort, no comparator)."""
-    return F.array_sort(F.flatten(F.transform(_c(lists), lambda z: F.split(z, r"\|"))))
+def flat_sorted(lists) -> Column:
+    """All entries of the lists, sorted (native sort, no comparator)."""
+    return F.array_sort(F.flatten(_c(lists)))
 
 
 def rank_sorted_by_frequency(sorted_col, reversed_col) -> Column:

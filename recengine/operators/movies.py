@@ -58,20 +58,31 @@ def join_movies(ratings: DataFrame, movies: DataFrame,
     return out.withColumn("releaseYear", F.coalesce(F.col("releaseYear"), F.lit(S.DEFAULT_RELEASE_YEAR)))
 
 
-def add_movie_features(labeled: DataFrame, movies: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, pin_stats: bool = True,
-                       stats: DataFrame | None = None) -> DataFrame:
-    """Labelled ratings + movie attributes + per-movie rating statistics.
+def movie_table(labeled: DataFrame, movies: DataFrame, stats: DataFrame | None = None,
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, pin: bool = True) -> DataFrame:
+    """One row per rated movie: rating statistics and attributes, so that the ratings are joined once.
 
-    The statistics are one aggregation over all ratings. With ``pin_stats`` they are written once
-    (reliable checkpoint): their real size then decides the broadcast without running the
-    aggregation a second time, and the main job reads the small written table. ``stats`` may be
-    given by the caller (e.g. from a shared grouping-sets pass).
+    With ``pin`` it is written once (reliable checkpoint): its real size then decides the broadcast
+    without running the aggregation a second time. ``stats`` may be given by the caller (e.g. from a
+    shared grouping-sets pass).
     """
-    base = join_movies(labeled, movies, max_broadcast_rows)
-    if stats is None:
-        stats = movie_rating_stats(labeled)
-        if pin_stats:
-            stats = reliable_checkpoint(stats)
-    out = join_dimension(base, stats, "movieId", "left", max_broadcast_rows)
-    return out.withColumn("movieRatingCount", F.coalesce(F.col("movieRatingCount"), F.lit(0)).cast("bigint"))
+    stats = movie_rating_stats(labeled) if stats is None else stats
+    table = join_dimension(stats, movie_attributes(movies), "movieId", "left", max_broadcast_rows)
+    table = table.withColumn("releaseYear", F.coalesce(F.col("releaseYear"), F.lit(S.DEFAULT_RELEASE_YEAR)))
+    return reliable_checkpoint(table) if pin else table
+
+
+def add_movie_features(labeled: DataFrame, movies: DataFrame,
+                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, pin_stats: bool = True,
+                       stats: DataFrame | None = None, table: DataFrame | None = None) -> DataFrame:
+    """Labelled ratings + movie attributes + per-movie rating statistics (J2): one join on movieId."""
+    table = movie_table(labeled, movies, stats, max_broadcast_rows, pin_stats) if table is None else table
+    out = join_dimension(labeled, table, "movieId", "left", max_broadcast_rows)
+    return fill_movie_columns(out)
+
+
+def fill_movie_columns(df: DataFrame) -> DataFrame:
+    """A rating without a movie gets the default year and a count of 0."""
+    fill = {"releaseYear": S.DEFAULT_RELEASE_YEAR, "movieRatingCount": 0}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)).cast(df.schema[c].dataType) for c, v in fill.items()
+                           if c in df.columns})

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recengine import schemas as S
-from recengine.functions.arrays import rank_sorted_by_frequency, split_flat_sorted
+from recengine.functions.arrays import flat_sorted, rank_sorted_by_frequency
 from recengine.functions.columns import two_decimals
+from recengine.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from recengine.operators.movies import add_movie_features, fill_movie_columns
 from recengine.operators.ordering import DEFAULT_HOT_ROWS, HotKeys, frame_groups, total_order
 
 
@@ -27,7 +29,7 @@ def user_window_columns(w) -> dict[str, "F.Column"]:
     positive = F.col("label") == 1
     return {
         "_hist": F.collect_list(F.when(positive, F.col("movieId"))).over(w),
-        "_gl": F.collect_list(F.when(positive, F.col("genres"))).over(w),
+        "_gl": F.collect_list(F.when(positive, F.col("_genres"))).over(w),
         "userRatingCount": F.count(F.lit(1)).over(w),
         "_ayear": F.avg("releaseYear").over(w),
         "_syear": F.stddev_samp("releaseYear").over(w),
@@ -52,15 +54,18 @@ def user_feature_columns(slots: int = S.HISTORY_SLOTS) -> dict[str, "F.Column"]:
 def add_user_features(samples: DataFrame, order: list[str] | None = None, frame: int = S.HISTORY_FRAME,
                       min_prior: int = S.MIN_PRIOR_RATINGS, hot_threshold: int = DEFAULT_HOT_ROWS,
                       chunk_rows: int | None = None, keep: list[str] | None = None,
-                      hot: HotKeys | None = None) -> DataFrame:
+                      hot: HotKeys | None = None, movie_columns: DataFrame | None = None) -> DataFrame:
     """Samples with movie features -> the 28-column feature sample.
 
     ``order``: order key inside a user (timestamp first); movie and rating are appended as tie-breakers, so
     rows that still tie are equal in all that a history shows. ``keep``: extra input columns to carry (e.g. tie-breakers).
     ``hot``: hot users found by the caller (e.g. on the plain ratings, which have the same rows per
-    user as the joined samples but skip the movie joins).
+    user as the joined samples but skip the movie joins). ``movie_columns``: a small per-movie table whose
+    columns are joined after the window instead of being carried through it.
     """
     order = total_order(order, samples.columns)
+    # genres are split once per rating, not for every row whose history shows them
+    samples = samples.withColumn("_genres", F.split("genres", r"\|")).drop("genres")
     grouped = frame_groups(samples, "userId", order, frame, hot_threshold, chunk_rows, hot)
     w = history_window(["_pos", *order], frame)
     base = [c for c in S.SAMPLE_COLUMNS if c in samples.columns]
@@ -69,8 +74,25 @@ def add_user_features(samples: DataFrame, order: list[str] | None = None, frame:
     # filter right above the Window: halo copies and rows with too short a history go first
     win = win.where(~F.col("_halo") & (F.col("userRatingCount") > min_prior))
     # genre ranking in steps, each array materialised once per row
-    ranked = (win.withColumn("_s", split_flat_sorted("_gl"))
+    ranked = (win.withColumn("_s", flat_sorted("_gl"))
                  .withColumn("_rs", F.reverse("_s"))
                  .withColumn("_top", rank_sorted_by_frequency("_s", "_rs")))
     feats = user_feature_columns()
+    late = [c for c in S.SAMPLE_COLUMNS if c not in feats and c not in base]
+    if movie_columns is not None:
+        ranked = fill_movie_columns(ranked.join(F.broadcast(movie_columns.select("movieId", *late)), "movieId", "left"))
     return ranked.select(*[feats[c].alias(c) if c in feats else F.col(c) for c in S.SAMPLE_COLUMNS], *extra)
+
+
+def sample_features(labeled: DataFrame, table: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    **options) -> DataFrame:
+    """Labelled ratings and the per-movie table -> the 28-column feature sample.
+
+    Where the table can be broadcast and holds each movie once, only the year and the genres go through the
+    window; titles, genre slots and statistics are joined after it. Else the ratings are joined once before.
+    """
+    repeated = table.groupBy("movieId").count().where("count > 1").limit(1).count()
+    if repeated or not fits_broadcast(table, max_broadcast_rows):
+        return add_user_features(add_movie_features(labeled, None, max_broadcast_rows, table=table), **options)
+    narrow = labeled.join(F.broadcast(table.select("movieId", "genres", "releaseYear")), "movieId", "left")
+    return add_user_features(fill_movie_columns(narrow), movie_columns=table, **options)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from recengine import schemas as S
 from recengine.operators.labels import add_label
-from recengine.operators.movies import add_movie_features, format_rating_stats, rating_stat_aggregates
+from recengine.operators.movies import add_movie_features, format_rating_stats, movie_table, rating_stat_aggregates
 from recengine.operators.ordering import DEFAULT_HOT_ROWS, hot_keys_from_counts
 from recengine.session import reliable_checkpoint
-from recengine.operators.users import add_user_features
+from recengine.operators.users import sample_features
 from recengine.sources import fixtures
 
 TIEBREAK = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
@@ -29,9 +29,9 @@ def user_features(spark: SparkSession, sf_dir: str, keep_tiebreak: bool = False,
     """The flagship 28-column sample over the driver tables."""
     rated = labeled(spark, sf_dir)
     hot, stats = prepare(rated, hot_threshold)
-    samples = add_movie_features(rated, fixtures.movies(spark, sf_dir), stats=stats)
-    return add_user_features(samples, order=S.TESTDATA_ORDER, keep=TIEBREAK if keep_tiebreak else None,
-                             hot_threshold=hot_threshold, chunk_rows=chunk_rows, hot=hot)
+    table = movie_table(rated, fixtures.movies(spark, sf_dir), stats)
+    return sample_features(rated, table, order=S.TESTDATA_ORDER, keep=TIEBREAK if keep_tiebreak else None,
+                           hot_threshold=hot_threshold, chunk_rows=chunk_rows, hot=hot)
 
 
 def prepare(rated: DataFrame, hot_threshold: int = DEFAULT_HOT_ROWS):
@@ -52,5 +52,4 @@ def build_samples(ratings: DataFrame, movies: DataFrame, order: list[str] | None
     """Generic form for any typed ratings/movies pair (CSV or table)."""
     rated = add_label(ratings)
     hot, stats = prepare(rated, hot_threshold)
-    return add_user_features(add_movie_features(rated, movies, stats=stats), order=order,
-                             hot_threshold=hot_threshold, hot=hot)
+    return sample_features(rated, movie_table(rated, movies, stats), order=order, hot_threshold=hot_threshold, hot=hot)
