@@ -62,7 +62,9 @@ def test_block_max_index_equals_brute_force():
     for _ in range(100):
         q = vector()
         brute = sorted(((round(sum(w * v.get(t, 0.0) for t, w in q.items()), 12), i) for i, v in enumerate(vectors)), key=lambda x: (-x[0], x[1]))
-        assert index.nearest(q, 7) == pytest.approx([x for x in brute if x[0] > 0][:7])
+        brute = [x for x in brute if x[0] > 0][:7]
+        got = index.nearest(q, 7)
+        assert [i for _, i in got] == [i for _, i in brute] and [x for x, _ in got] == pytest.approx([x for x, _ in brute])
 
 
 def labelled(spark, n=300):
