@@ -17,7 +17,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["rating_histogram", "movie_features", "user_features", "item_sequences", "eval_summary", "item2vec"]
+HEADLINE = ["rating_histogram", "movie_features", "user_features", "item_sequences", "eval_summary", "item2vec",
+            "csv_samples_sink", "lsh_nearest"]
 
 
 def main() -> None:
@@ -30,12 +31,14 @@ def main() -> None:
     spark = get_session(master=f"local[{cpus}]", app="recengine-bench", shuffle_partitions=int(cpus) * 2,
                         extra={"spark.ui.showConsoleProgress": "false",
                                "spark.local.dir": tempfile.mkdtemp(prefix="recengine-bench-")})
+    from recengine.plans import training
     from recengine.plans.catalog import QUERIES
 
     times = {}
     for name in names:
         runs = []
         for i in range(repeat + 1):
+            training.forget_models()  # every run fits anew
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             if i > 0:
