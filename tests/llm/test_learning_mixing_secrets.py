@@ -197,25 +197,59 @@ def test_trigram_queries():
     queries = {r.kind: secrets.trigram_query(r) for r in secrets.BASE + secrets.MORE}
     assert queries["hex"] == secrets.ANY
     assert queries["access"] == {frozenset({"aki", "kia"})}
-    assert frozenset({"sec", "ecr", "cre", "ret"}) in queries["assign"] and len(queries["assign"]) == 5
-    odd = secrets.trigram_query(secrets.Rule("x", r"(foo|ba?r)+[0-9]x?yz{2}"))
-    assert odd == secrets.ANY  # 'br' has no trigram, so no trigram is mandatory
+    assert frozenset({"sec", "ecr", "cre", "ret"}) in queries["assign"] and len(queries["assign"]) == 6  # one for each keyword
+    none = secrets.trigram_query(secrets.Rule("x", r"(foo|ba?r)+[0-9]"))
+    assert none == secrets.ANY  # 'br' has no trigram, so no trigram is mandatory
+    assert secrets.trigram_query(secrets.Rule("x", r"(foo|ba?r)+[0-9]x?yz{2}")) == {frozenset({"yzz"})}
     assert secrets.trigram_query(secrets.Rule("x", r"abc[0-9]+defg")) == {frozenset({"abc", "def", "efg"})}
 
 
-def test_pipeline(spark):
+def test_pipeline_against_brute_force(spark):
+    """Each stage, on what its predecessor kept, against a plain version of the same decision."""
     import corpus_pipeline
+    from tests.llm.test_join_passages import brute_components
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = docs.columns
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
         after = stage(spark, docs, SF)
-        assert after.columns == names, name
-        after.write.mode("overwrite").parquet(f"{spark.sparkContext.getCheckpointDir()}/pipeline-test/{name}")
-        after = spark.read.parquet(f"{spark.sparkContext.getCheckpointDir()}/pipeline-test/{name}")
-        assert 0 < after.count() <= docs.count()
-        docs = after
-    out = corpus_pipeline.run(spark, SF)
-    assert out.count() == docs.count() and {"doc_id", "taken", "target"} <= set(out.columns)
-    secret = secrets.scan(docs.select("doc_id", "text")).where(F.size("found") > 0)
-    assert secret.count() == 0
+        assert name == "mixing" or after.columns == names
+        path = f"{spark.sparkContext.getCheckpointDir()}/pipeline-test/{name}"
+        after.write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+        kept[name] = {r["doc_id"]: r for r in docs.collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    clean = [i for i in rows if labels.get(i) == 0]
+    assert sum(i in kept["toxicity"] for i in clean) >= 0.95 * len(clean)
+
+    before = [(i, r["text"]) for i, r in kept["toxicity"].items()]
+    assert set(kept["ngram_join"]) == {c for i, n, c in brute_components(before)}
+
+    items = [re.findall(r"\w+", r["text"].lower()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    for i, r in kept["ngram_join"].items():
+        text = " " + " ".join(re.findall(r"\w+", (r["text"] or "").lower())) + " "
+        if any(f" {' '.join(x)} " in text for x in items):
+            assert i not in kept["decontamination"]
+
+    assert set(kept["secrets"]) == set(kept["decontamination"]) == set(kept["mixing"])
+    for i, r in kept["decontamination"].items():
+        text = kept["secrets"][i]["text"]
+        assert not brute_base(text or "")
+        if not secrets_anywhere(r["text"] or ""):
+            assert text == r["text"]
+
+    sizes, taken = {}, {}
+    for i, r in kept["mixing"].items():
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", kept["secrets"][i]["text"] or ""))
+        assert r["size"] == n and r["taken"] <= 2 * n
+        sizes[r["source"]] = sizes.get(r["source"], 0) + n
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    for source, target in brute_targets(sizes).items():
+        assert abs(taken[source] - target) <= 0.5
+    assert corpus_pipeline.run(spark, SF).count() == len(kept["mixing"])
+
+
+def secrets_anywhere(text):
+    return bool(brute_base(text)) or any(re.search(r.pattern, text) for r in secrets.MORE)
