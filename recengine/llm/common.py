@@ -47,7 +47,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
+        self._saved: dict[int, tuple[str, DataFrame]] = {}
         self._n = 0
 
     def save(self, df: DataFrame) -> DataFrame:
@@ -55,13 +55,19 @@ class Scratch:
         path = f"{self.root}/{self._n}"
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
+        self._saved[id(out)] = (path, out)
         return out
 
     def drop(self, *frames: DataFrame) -> None:
+        """Remove saved tables; frames that weren't saved here are left alone."""
         for df in frames:
-            path = self._paths.pop(id(df), None)
+            path, _ = self._saved.pop(id(df), (None, None))
             if path:
                 jvm = self.spark.sparkContext._jvm
                 where = jvm.org.apache.hadoop.fs.Path(path)
                 where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    def keep_only(self, *frames: DataFrame) -> None:
+        """Remove every saved table but these."""
+        kept = {id(df) for df in frames}
+        self.drop(*(df for i, (_, df) in list(self._saved.items()) if i not in kept))

@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +50,8 @@ CHUNK = 8192
 BROADCAST_ROWS = 1_000_000
 LENGTHS = (1, 2, 4, 8, 16, 32)
 PARTNER = np.dtype([("node", "i8"), ("n", "i4"), ("p", "i4")])
+#: Packed partner lists above this many bytes are compressed, column by column.
+LARGE = 1024
 
 
 def need(n, m, num: int, den: int):
@@ -74,7 +77,7 @@ def scanned(docs: DataFrame, k: int) -> DataFrame:
     """One pass over the texts: a row for each document, and each task's bucket counts in slices."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros(SLOTS, np.int64)
+        table, compressor = np.zeros(SLOTS, np.int64), zstandard.ZstdCompressor()
         for b in batches:
             out, slots = [], []
             for key, text, look in zip(b["key"], b["text"], b["look"], strict=True):
@@ -84,8 +87,9 @@ def scanned(docs: DataFrame, k: int) -> DataFrame:
             table += np.bincount(np.concatenate(slots), minlength=SLOTS)
             yield pd.DataFrame(out, columns=["key", "look", "n", "s1", "s2"]).assign(slice=-1, counts=None)
         if table.any():
+            counts = [np.array([np.flatnonzero(x), x[x > 0]], np.int32) for x in np.split(table, SLICES)]
             yield pd.DataFrame({"key": None, "look": 0, "n": 0, "s1": 0, "s2": 0, "slice": range(SLICES),
-                                "counts": [x.astype("int32").tobytes() for x in np.split(table, SLICES)]})
+                                "counts": [compressor.compress(x.tobytes()) for x in counts]})
 
     return docs.mapInPandas(run, "key string, look long, n long, s1 long, s2 long, slice int, counts binary")
 
@@ -98,7 +102,8 @@ def summed_counts(slices: DataFrame) -> np.ndarray:
         for b in batches:
             for i, raw in zip(b["slice"], b["counts"], strict=True):
                 sums.setdefault(i, np.zeros(SLOTS // SLICES, np.int64))
-                sums[i] += np.frombuffer(raw, "int32")
+                at, n = np.frombuffer(zstandard.decompress(raw), "int32").reshape(2, -1)
+                sums[i][at] += n
         yield pd.DataFrame({"slice": list(sums), "counts": [x.tobytes() for x in sums.values()]})
 
     table = np.zeros((SLICES, SLOTS // SLICES), np.int64)
@@ -107,12 +112,13 @@ def summed_counts(slices: DataFrame) -> np.ndarray:
     return table.reshape(-1)
 
 
-def prefix(s: np.ndarray, table: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The rare end of a set, as long as its estimated cost asks for."""
+def prefix(s: np.ndarray, table: np.ndarray, usual: float, num: int, den: int) -> np.ndarray:
+    """The rare end of a sorted set, as long as its estimated cost asks for; ``usual`` is a bucket's mean load."""
     n = len(s)
     seen = table[slot(s)]
-    s = s[np.lexsort((s, seen))]
-    extra = np.cumsum(np.maximum(np.sort(seen) - table.mean(), 0.0))  # what is above a bucket's usual load
+    order = np.argsort(seen, kind="stable")
+    s, seen = s[order], seen[order]
+    extra = np.cumsum(np.maximum(seen - usual, 0.0))
     first = n + (-num * n) // den + 1
     best, cost = first, None
     for length in LENGTHS:
@@ -126,12 +132,13 @@ def prefix(s: np.ndarray, table: np.ndarray, num: int, den: int) -> np.ndarray:
 
 def with_prefixes(docs: DataFrame, table, k: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        usual = float(table.value.mean())
         for b in batches:
             out = []
             for text, look in zip(b["text"], b["look"], strict=True):
                 s = np.unique(shingles(text, k))
                 if len(s):
-                    out.append((*signature(s), len(s), look, prefix(s, table.value, num, den).tobytes()))
+                    out.append((*signature(s), len(s), look, prefix(s, table.value, usual, num, den).tobytes()))
             yield pd.DataFrame(out, columns=["s1", "s2", "n", "look", "prefix"])
 
     return docs.mapInPandas(run, "s1 long, s2 long, n int, look long, prefix binary")
@@ -212,7 +219,7 @@ def partners(members: DataFrame) -> DataFrame:
                 if i[0] != j[0]:
                     with_ &= chunk != chunk[x]
                 if with_.any():
-                    raw = packed[with_].tobytes()
+                    raw = pack(packed[with_])
                     out.append((node[x], n[x], p[x], raw))
                     size += len(raw)
             if size > 4 << 20:
@@ -247,7 +254,7 @@ def sharing_enough(rows: DataFrame, num: int, den: int) -> DataFrame:
                     yield found(*last, held, counts)
                     held, counts, size = [], [], 0
                 last = (node, n, p)
-                held.append(np.frombuffer(raw, PARTNER))
+                held.append(unpack(raw))
                 counts.append(np.ones(len(held[-1])))
                 size += len(held[-1])
                 if size > 1 << 20:
@@ -259,6 +266,22 @@ def sharing_enough(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.repartition("node").sortWithinPartitions("node").mapInPandas(run, "a long, b long")
 
 
+def pack(rows: np.ndarray) -> bytes:
+    """Partners as bytes: column by column, the nodes as differences, compressed if that is worth it."""
+    raw = np.diff(rows["node"], prepend=0).tobytes() + rows["n"].tobytes() + rows["p"].tobytes()
+    return b"\1" + zstandard.compress(raw) if len(raw) > LARGE else b"\0" + raw
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    data = zstandard.decompress(raw[1:]) if raw[0] else raw[1:]
+    n = len(data) // PARTNER.itemsize
+    out = np.zeros(n, PARTNER)
+    out["node"] = np.cumsum(np.frombuffer(data, "i8", n))
+    out["n"] = np.frombuffer(data, "i4", n, 8 * n)
+    out["p"] = np.frombuffer(data, "i4", n, 12 * n)
+    return out
+
+
 class Join:
     """One run of the join over (key, text, look); the key as text, so that null ids pass pandas unharmed."""
 
@@ -303,7 +326,7 @@ class Join:
         return links
 
     def run(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """(documents, classes, components of classes)."""
+        """(documents, nodes of their signatures, components of nodes)."""
         num, den, scratch = self.num, self.den, self.scratch
         scan = scratch.save(scanned(self.docs, self.k))
         table = self.docs.sparkSession.sparkContext.broadcast(
@@ -338,7 +361,10 @@ class Join:
                                  F.least("chunk", "other").alias("j"))
         more = self.verified(sharing_enough(partners(members), num, den), classes)
         links = links.unionByName(more).unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        return documents, classes, components(scratch, links)
+        near = components(scratch, links)
+        names = scratch.save(classes.select("s1", "s2", "node"))
+        scratch.keep_only(scan, names, near)
+        return documents, names, near
 
 
 def grouped(df: DataFrame, key: str, text: str, k: int, similarity: tuple[int, int]) -> DataFrame:
@@ -346,8 +372,8 @@ def grouped(df: DataFrame, key: str, text: str, k: int, similarity: tuple[int, i
     num, den = similarity
     docs = df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"),
                      F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("look"))
-    documents, classes, near = Join(docs, k, num, den).run()
-    rows = documents.join(classes.select("s1", "s2", "node"), ["s1", "s2"], "left").join(near, "node", "left")
+    documents, names, near = Join(docs, k, num, den).run()
+    rows = documents.join(names, ["s1", "s2"], "left").join(near, "node", "left")
     return rows.select(F.col("key").cast(df.schema[key].dataType).alias("key"), "look", "n",
                        F.coalesce("component", "node").alias("group"))
 

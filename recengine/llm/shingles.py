@@ -21,6 +21,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def spread(x: np.ndarray) -> np.ndarray:
+    """A cheaper bijection, for numbers that are mixed already."""
+    return (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Runs of anything but ASCII white space, with A-Z in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
@@ -36,8 +41,8 @@ def shingles(text: str | None, k: int = 5) -> np.ndarray:
     if len(h) < k:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
     out = np.zeros(n, np.uint64)
-    for i in range(k):
-        out += mixed(h[i: i + n] + np.uint64(i)) * PLACES[i]
+    for i in range(k):  # multilinear in the mixed word hashes
+        out += h[i: i + n] * PLACES[i]
     return mixed(out)
 
 
@@ -69,4 +74,6 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
         was = now
     least = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return scratch.save(least.unionByName(roots).groupBy("node").agg(F.min("component").alias("component")))
+    found = scratch.save(least.unionByName(roots).groupBy("node").agg(F.min("component").alias("component")))
+    scratch.drop(edges)
+    return found
