@@ -11,8 +11,8 @@ one class; everything after that is on classes.
    any possible partner is lengthened by l - 1 where the estimated cost (postings read, plus verification
    of the candidates that still share l) is lower; a pair then has to share correspondingly more
    prefix shingles, min over both sides of need - (n - p), before it is verified.
-3. Stars.  In every prefix shingle's list each class meets the smallest; pairs that share enough there are
-   verified, and connected.  This settles most of a large group of copies in pairs linear in its size.
+3. Stars.  In every prefix shingle's list each class meets the smallest; pairs that share a fair part of what is
+   needed there are verified, and connected.  This settles most of a large group of copies in pairs linear in its size.
 4. Counting.  In lists that still hold more than one component, shared shingles of pairs in different
    components are counted (as packed arrays for each class, not a row for each pair and shingle), and
    the pairs that share enough are verified.  Pairs inside a component need no check, so the components
@@ -49,6 +49,9 @@ CHUNK = 8192
 #: Classes whose texts are looked up by a broadcast of two numbers each; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 LENGTHS = (1, 2, 4, 8, 16, 32)
+#: A star's centre leads only part of the lists that a pair shares, so this part of what is required is enough
+#: to verify a pair there; the counting step asks for all of it, over all lists.
+STAR_PART = 4
 PARTNER = np.dtype([("node", "i8"), ("n", "i4"), ("p", "i4")])
 #: Packed partner lists above this many bytes are compressed, column by column.
 LARGE = 1024
@@ -267,13 +270,16 @@ def sharing_enough(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def pack(rows: np.ndarray) -> bytes:
-    """Partners as bytes: column by column, the nodes as differences, compressed if that is worth it."""
-    raw = np.diff(rows["node"], prepend=0).tobytes() + rows["n"].tobytes() + rows["p"].tobytes()
-    return b"\1" + zstandard.compress(raw) if len(raw) > LARGE else b"\0" + raw
+    """Partners as bytes; large lists column by column, the nodes as differences, compressed."""
+    if rows.nbytes <= LARGE:
+        return b"\0" + rows.tobytes()
+    return b"\1" + zstandard.compress(np.diff(rows["node"], prepend=0).tobytes() + rows["n"].tobytes() + rows["p"].tobytes())
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    data = zstandard.decompress(raw[1:]) if raw[0] else raw[1:]
+    if not raw[0]:
+        return np.frombuffer(raw, PARTNER, offset=1)
+    data = zstandard.decompress(raw[1:])
     n = len(data) // PARTNER.itemsize
     out = np.zeros(n, PARTNER)
     out["node"] = np.cumsum(np.frombuffer(data, "i8", n))
@@ -293,7 +299,7 @@ class Join:
         """The pairs whose whole sets are similar."""
         k, num, den = self.k, self.num, self.den
         pairs = self.scratch.save(pairs)
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = self.scratch.save(classes.select("node", "look", "s1", "s2").join(nodes, "node"))
 
         def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -345,7 +351,7 @@ class Join:
         required = F.ceil(num * left / (num + den)) - F.greatest(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
         stars = (lists.where("place > 0").groupBy(F.col("lead").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
                  .where("a <> b").join(a, "a").join(b, "b")
-                 .where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num) & (F.col("shared") >= required))
+                 .where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num) & (F.col("shared") * STAR_PART >= required))
                  .select("a", "b"))
         links = self.verified(stars, classes)
         near = components(scratch, links)
