@@ -93,26 +93,59 @@ class BlockMaxIndex:
                 at, weights = lists.setdefault(t, {}).setdefault(place // block, ([], []))
                 at.append(place % block)
                 weights.append(w)
-        self.postings = {t: {b: (np.array(a), np.array(w)) for b, (a, w) in by.items()} for t, by in lists.items()}
-        self.top = {t: (np.array(list(by)), np.array([w.max() for _, w in by.values()])) for t, by in self.postings.items()}
+        # A term's postings lie side by side in order of their blocks; ends says where each block's part ends.
+        self.postings, self.top = {}, {}
+        for t, by in lists.items():
+            at = np.concatenate([np.array(a) + b * block for b, (a, _) in by.items()])
+            weights = np.concatenate([w for _, w in by.values()])
+            ends = np.cumsum([len(a) for a, _ in by.values()])
+            self.postings[t] = (at, weights, {b: (e - len(by[b][0]), e) for b, e in zip(by, ends.tolist(), strict=True)})
+            self.top[t] = (np.array(list(by)), np.array([max(w) for _, w in by.values()]))
 
     def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The k examples of highest positive similarity as (similarity, example), ties to the smaller example."""
+        """The k examples of highest positive similarity as (similarity, example), ties to the smaller example.
+
+        The blocks of highest bound are scored one by one until k examples are found; what is left is
+        scored in one go, restricted to the blocks whose bound reaches the k-th similarity by then.
+        """
         bounds = np.zeros(self.blocks)
         terms = [(w, t) for t, w in query.items() if t in self.top]
         for w, t in terms:
             at, top = self.top[t]
             bounds[at] += w * top
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1][0] - 1e-9:
-                break
+        order = np.argsort(-bounds, kind="stable")
+
+        def add(scores: np.ndarray, first: int) -> None:
+            nonlocal best
+            at = np.flatnonzero(scores)
+            if len(at) > 4 * k:  # keep what reaches the k-th score of these, ties included, and one for ``but``
+                least = np.partition(scores[at], len(at) - k - 1)[len(at) - k - 1]
+                at = at[scores[at] >= least - 1e-9]
+            found = [(round(s, 12), self.order[p]) for s, p in zip(scores[at].tolist(), (at + first).tolist(), strict=True)]
+            best = sorted([*best, *(x for x in found if x[1] != but)], key=lambda x: (-x[0], x[1]))[:k]
+
+        done = 0
+        while done < len(order) and len(best) < k and bounds[order[done]] > 0:
+            b = int(order[done])
             scores = np.zeros(self.block)
             for w, t in terms:
-                if own := self.postings[t].get(b):
-                    scores[own[0]] += w * own[1]
-            found = [(round(float(scores[p]), 12), self.order[b * self.block + p]) for p in np.flatnonzero(scores)]
-            best = sorted([*best, *(x for x in found if x[1] != but)], key=lambda x: (-x[0], x[1]))[:k]
+                at, weights, parts = self.postings[t]
+                if b in parts:
+                    i, j = parts[b]
+                    scores[at[i:j] - b * self.block] += w * weights[i:j]
+            add(scores, b * self.block)
+            done += 1
+        rest = order[done:]
+        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= (best[-1][0] if len(best) == k else 0.0) - 1e-9)]
+        if len(rest):
+            scores = np.zeros(self.blocks * self.block)
+            for w, t in terms:
+                at, weights, _ = self.postings[t]
+                scores[at] += w * weights
+            use = np.zeros(self.blocks, bool)
+            use[rest] = True
+            add(np.where(np.repeat(use, self.block), scores, 0.0), 0)
         return best
 
 
