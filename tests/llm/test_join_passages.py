@@ -175,3 +175,26 @@ def test_leaks(spark):
 def test_leaks_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
     test_leaks(spark)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_of_frequent_lines(spark, seed):
+    rng = random.Random(seed)
+    lines = [[f"l{i}w{j}" for j in range(10)] for i in range(12)]
+    some = lambda n: [w for _ in range(n) for w in rng.choice(lines)]
+    rows = [(i, " ".join(some(rng.randint(5, 9)))) for i in range(150)]
+    rows += [(200, "be " * 400), (201, "be " * 300 + "end"), (202, rows[0][1])]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA).repartition(4)
+    expected = brute_passages(rows)
+    got = {r["doc_id"] for r in passages.repeated_passages(df, similarity=(100, 100)).collect()}
+    assert got == expected and len(expected) < len(rows)
+
+
+def test_whole_hashes_and_least_values():
+    import numpy as np
+
+    s = np.random.default_rng(3).integers(0, 3, 200).astype(np.uint64)
+    found = passages.whole_hashes(s, 5)
+    assert len({(tuple(s[i: i + 5]), found[i]) for i in range(196)}) == len(set(found)) == len({tuple(s[i: i + 5]) for i in range(196)})
+    for width in (4, 7, 46):
+        assert list(passages.least_of_each(s, width)) == [s[i: i + width].min() for i in range(201 - width)]
