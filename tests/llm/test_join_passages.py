@@ -198,3 +198,21 @@ def test_whole_hashes_and_least_values():
     assert len({(tuple(s[i: i + 5]), found[i]) for i in range(196)}) == len(set(found)) == len({tuple(s[i: i + 5]) for i in range(196)})
     for width in (4, 7, 46):
         assert list(passages.least_of_each(s, width)) == [s[i: i + width].min() for i in range(201 - width)]
+
+
+def test_passages_with_words_inserted_between_them(spark):
+    rng = random.Random(12)
+    text = lambda n: [f"v{rng.randrange(9000)}" for _ in range(n)]
+    own = [text(60) for _ in range(20)]
+    plain = [w for p in own for w in p]
+    spaced = [w for p in own for w in p + text(8)]
+    rows = [(1, " ".join(plain)), (2, " ".join(spaced)), (3, " ".join(text(300)))]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    # Similarity 1: each shared passage by itself.
+    got = {(r["doc_id"], r["first_word"], r["n_words"]) for r in passages.repeated_passages(df, similarity=(100, 100)).collect()}
+    assert {(n, a) for i, a, n in got if i == 2} == {(60, 68 * j) for j in range(20)}
+    near = [r for r in passages.repeated_passages(df).collect() if r["doc_id"] in (1, 2)]
+    held = {r["doc_id"]: set() for r in near}
+    for r in near:
+        held[r["doc_id"]] |= set(range(r["first_word"], r["first_word"] + r["n_words"]))
+    assert held[1] >= set(range(1200)) and all(set(range(68 * j, 68 * j + 60)) <= held[2] for j in range(20))
