@@ -2,7 +2,8 @@
 
 Words are runs of letters and digits, lower-cased.  At each word a fixed mask picks some of the next
 words and ignores the others, and the picked ones are hashed; so a substituted word spoils only the
-seeds that pick it.  Equal seeds of a document and a benchmark item give a diagonal (document position
+seeds that pick it.  The masks leave a seed for every two substitutions in ``window`` words; items of
+fewer words have masks of their own length that leave one for every allowed substitution.  Equal seeds of a document and a benchmark item give a diagonal (document position
 minus item position).  Along each diagonal the words are compared one by one: an item is found where
 some stretch of ``window`` words (the whole item, if it has fewer) agrees in at least ``agree`` of its
 places.  Verification compares words, so equal hashes of different words do no harm.
@@ -10,20 +11,24 @@ places.  Verification compares words, so equal hashes of different words do no h
 The seeds of the benchmark are broadcast if they are at most ``BROADCAST_SEEDS`` (counted first) and
 joined by a shuffle otherwise.
 
-Defined cases: null and empty texts and items with fewer words than a mask spans are never found;
-rows of equal id are compared one by one and reported once; equal stretches are reported at the first;
-repeated items are reported by id; an empty table gives an empty result; other columns are ignored.
+Defined cases: null and empty texts and items of fewer than ``least_words`` words (by default as many as the
+shortest mask spans) are never found; rows of equal id are compared one by one and reported once; equal
+stretches are reported at the first; repeated items are reported by id, items without an id with a null
+id; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recengine.llm.common import Scratch
 
 #: Fixed masks: 1 picks the word, 0 ignores it.
-MASKS = ("1101110101", "1110010111")
+MASKS = ("1101110101", "1110010111", "1111011")
 #: Seeds that may be broadcast; a seed has three numbers.
 BROADCAST_SEEDS = 1_000_000
 WINDOW, AGREE = 13, 0.8
@@ -35,32 +40,50 @@ def word_codes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def short_masks(n: int, agree: float = AGREE) -> tuple[str, ...]:
+    """Masks for items of n words: all but as many blocks as words may differ, so that some mask picks none of those."""
+    misses = n - math.ceil(n * agree - 1e-9)
+    cuts = [n * i // (misses + 2) for i in range(misses + 3)] if n > misses + 1 else list(range(n + 1))
+    out = {}
+    for left_out in combinations(range(len(cuts) - 1), misses):
+        picks = "".join(("0" if i in left_out else "1") * (cuts[i + 1] - cuts[i]) for i in range(len(cuts) - 1))
+        out[picks.strip("0")] = None
+    return tuple(m for m in out if m)
+
+
 def seeds(codes: str, masks: tuple[str, ...]) -> Column:
     """array<struct<seed, at>> of all masks over the array column ``codes``, which must be a plain column."""
-    def of(k: int, mask: str) -> Column:
+    def of(mask: str) -> Column:
         picked = [i for i, c in enumerate(mask) if c == "1"]
         last = F.size(codes) - len(mask)
         return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-            F.xxhash64(F.lit(k), *(F.get(F.col(codes), i + p) for p in picked)).alias("seed"), i.alias("at"))))
+            F.xxhash64(F.lit(mask), *(F.get(F.col(codes), i + p) for p in picked)).alias("seed"), i.alias("at"))))
 
     none = F.array().cast("array<struct<seed:bigint,at:int>>")
-    return F.concat(*(F.coalesce(of(k, mask), none) for k, mask in enumerate(masks)))
+    return F.concat(*(F.coalesce(of(mask), none) for mask in masks))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
                item_text: str = "text", masks: tuple[str, ...] = MASKS, window: int = WINDOW,
-               agree: float = AGREE) -> DataFrame:
+               agree: float = AGREE, least_words: int | None = None) -> DataFrame:
     """(key, item, item_words, equal_words, first_word): one row for each document id and item found in it.
 
     ``first_word`` is where in the document the item (or the part of it that fits) would begin;
     ``equal_words`` counts the agreeing places along that diagonal.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
-    items = scratch.save(benchmark.where(F.col(item).isNotNull()).select(
-        F.col(item).alias("item"), word_codes(F.col(item_text)).alias("item_codes"))
-        .where(F.size("item_codes") >= min(map(len, masks))).distinct())
-    marks = scratch.save(items.select("item", F.explode(seeds("item_codes", masks)).alias("s"))
+    least = min(map(len, masks)) if least_words is None else max(1, least_words)
+    items = scratch.save(benchmark.select(F.col(item).alias("item"), word_codes(F.col(item_text)).alias("item_codes"))
+                         .where(F.size("item_codes") >= least).distinct())
+    # Masks by the items' lengths: those of fewer words than the window (so a few lengths at most) have their own.
+    lengths = [r["n"] for r in items.select(F.least(F.size("item_codes"), F.lit(window)).alias("n")).distinct().orderBy("n").collect()]
+    of_length = {n: short_masks(n, agree) if n < window else masks for n in lengths}
+    own = F.array().cast("array<struct<seed:bigint,at:int>>")
+    for n, some in of_length.items():
+        own = F.when(F.least(F.size("item_codes"), F.lit(window)) == n, seeds("item_codes", some)).otherwise(own)
+    marks = scratch.save(items.select("item", F.explode(own).alias("s"))
                          .select("item", "s.seed", F.col("s.at").alias("item_at")).distinct())
+    masks = tuple(dict.fromkeys(m for some in of_length.values() for m in some)) or masks
     small = marks.count() <= BROADCAST_SEEDS
     words = docs.select(F.col(key).alias("key"), word_codes(F.col(text)).alias("codes"))
     hits = (words.select("key", F.explode(seeds("codes", masks)).alias("s")).select("key", "s.seed", "s.at")
@@ -70,7 +93,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
     # Along the diagonal: equal[j] says whether word j of the item is word shift + j of the document.
     near = (words.join(hits, words["key"].eqNullSafe(hits["key"])).drop(hits["key"])
-            .join(items, "item").where(F.size("codes") > 0))
+            .join(items.withColumnRenamed("item", "_item"), F.col("item").eqNullSafe(F.col("_item"))).where(F.size("codes") > 0))
     same = F.transform("item_codes", lambda c, j: F.when(
         F.col("shift") + j >= 0, F.get("codes", F.col("shift") + j) == c).otherwise(F.lit(False)))
     near = near.select("key", "item", "shift", F.transform(same, lambda e: F.coalesce(e, F.lit(False)).cast("int")).alias("equal"))

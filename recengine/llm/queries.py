@@ -75,7 +75,7 @@ def op3_language(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    return find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    return find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"), least_words=1)
 
 
 @query

@@ -216,3 +216,41 @@ def test_passages_with_words_inserted_between_them(spark):
     for r in near:
         held[r["doc_id"]] |= set(range(r["first_word"], r["first_word"] + r["n_words"]))
     assert held[1] >= set(range(1200)) and all(set(range(68 * j, 68 * j + 60)) <= held[2] for j in range(20))
+
+
+def test_masks_leave_a_seed_for_every_allowed_substitution():
+    from itertools import combinations
+    from math import ceil
+
+    for n in range(1, 14):
+        masks = decontaminate.short_masks(n) if n < 13 else decontaminate.MASKS
+        for wrong in combinations(range(n), n - ceil(n * 0.8 - 1e-9)):
+            assert any(all(m[i] == "0" or at + i not in wrong for i in range(len(m)))
+                       for m in masks for at in range(n - len(m) + 1)), (n, wrong)
+
+
+def test_leaks_with_many_substitutions_equal_brute_force(spark):
+    rng = random.Random(21)
+    text = lambda n: [f"v{rng.randrange(900)}" for _ in range(n)]
+    items = [(None if n == 8 else n, text(n)) for n in (1, 4, 5, 6, 8, 9, 10, 12, 13, 15, 20, 30)]
+    docs = []
+    for i in range(120):
+        own = list(items[i % len(items)][1])
+        for j in (range(i % 5, len(own), 5) if i % 2 else rng.sample(range(len(own)), len(own) // 5)):
+            own[j] = f"x{j}"
+        docs.append((i, text(rng.randint(0, 20)) + own + text(rng.randint(0, 20))))
+
+    def held(doc, item):
+        size = min(len(item), 13)
+        need = -(-size * 8 // 10)
+        for shift in range(-len(item), len(doc)):
+            same = [0 <= shift + j < len(doc) and doc[shift + j] == w for j, w in enumerate(item)]
+            if any(sum(same[a: a + size]) >= need for a in range(len(item) - size + 1)):
+                return True
+        return False
+
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    got = [(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(df, marks, least_words=1).collect()]
+    expected = {(d, i) for d, t in docs for i, w in items if held(t, w)}
+    assert set(got) == expected and len(got) == len(expected) and any(i is None for _, i in got)
