@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from recengine.llm.common import Scratch
 
 #: Fixed masks: 1 picks the word, 0 ignores it.
-MASKS = ("1101110101", "1110010111", "1111011")
+MASKS = ("1111011", "111001011")
 #: Seeds that may be broadcast; a seed has three numbers.
 BROADCAST_SEEDS = 1_000_000
 WINDOW, AGREE = 13, 0.8
@@ -57,7 +57,7 @@ def seeds(codes: str, masks: tuple[str, ...]) -> Column:
         picked = [i for i, c in enumerate(mask) if c == "1"]
         last = F.size(codes) - len(mask)
         return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-            F.xxhash64(F.lit(mask), *(F.get(F.col(codes), i + p) for p in picked)).alias("seed"), i.alias("at"))))
+            F.xxhash64(F.lit(int(mask, 2)), *(F.get(F.col(codes), i + p) for p in picked)).alias("seed"), i.alias("at"))))
 
     none = F.array().cast("array<struct<seed:bigint,at:int>>")
     return F.concat(*(F.coalesce(of(mask), none) for mask in masks))
