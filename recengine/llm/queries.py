@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from recengine.llm import language, secrets, topk, toxicity
 from recengine.llm.common import crc_text
 from recengine.llm.decontaminate import find_leaks
+from recengine.llm.exact_dedup import exact_copies
 from recengine.llm.html_text import extract_text
+from recengine.llm.lexical_search import rank_documents
 from recengine.llm.mixing import mix
 from recengine.llm.ngram_join import near_duplicates
 from recengine.llm.passages import repeated_passages
 from recengine.llm.token_counts import count_tokens
+from recengine.llm.vector_codes import vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -194,3 +197,90 @@ s as (
 t as (select *, row_number() over (partition by qr order by score desc, vec_id) as n from s)
 select query_id, n::integer as rank, vec_id, score from t where n <= 10
 """
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_copies(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+SQL["op11_exact_dedup"] = """
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents)
+select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t)::bigint as group_size,
+  row_number() over (partition by t order by doc_id desc nulls last, r desc) = 1 as kept, sha256(t) as text_sha256
+from d
+"""
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every round as tables: the key distance * entries + index has its least value at the nearest entry, lower index on ties."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} as materialized (
+  select x.r, x.part, any_value(x.v) as v, min((x.q - 2 * list_inner_product(x.v, b.v) + b.q)::hugeint * {entries} + b.entry) as k
+  from x join b{i} b on b.part = x.part group by x.r, x.part)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} as (
+  select part, k % {entries} as entry, u.place, floor(sum(u.y) / count(*)) as y
+  from a{i}, (select unnest(range(1, len(v) + 1)) as place, unnest(v) as y) u group by all),
+n{i} as (select part, entry, list(y order by place) as v from m{i} group by all),
+b{i + 1} as materialized (
+  select b.part, b.entry, coalesce(n.v, b.v) as v, list_inner_product(coalesce(n.v, b.v), coalesce(n.v, b.v)) as q
+  from b{i} b left join n{i} n on n.part = b.part and n.entry = b.entry)""")
+    return f"""
+with e as (
+  select row_number() over () as r, vec_id, label, list_transform(embedding, lambda z: floor(1024 * z::double)) as v
+  from embeddings
+  where embedding is not null and len(embedding) > 0 and len(embedding) % {parts} = 0
+    and len(list_filter(embedding, lambda z: z is null or not isfinite(z::double))) = 0),
+x as materialized (
+  select r, vec_id, label, part::integer as part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] as v,
+    list_inner_product(v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}], v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}]) as q
+  from e, range({parts}) p(part)),
+f as (select r, row_number() over (order by vec_id nulls last, v) - 1 as entry from e),
+b0 as materialized (select x.part, f.entry, x.v, x.q from x join f using (r) where f.entry < {entries}),{",".join(steps)},
+c as (select sha256(string_agg(array_to_string(list_transform(v, lambda z: z::bigint::varchar), ','), ',' order by part, entry)) as h from b{rounds}),
+s as (
+  select r, string_agg(printf('%02x', (k % {entries})::integer), '' order by part) as code, sum(k // {entries})::bigint as error
+  from a{rounds} group by r)
+select e.vec_id, s.code, s.error, sum(s.error) over (partition by e.label)::bigint as label_error, c.h as codebooks_sha256
+from s join e using (r), c
+"""
+
+
+SQL["op12_vector_codes"] = vector_codes_sql()
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return rank_documents(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").select("item_id", "text"))
+
+
+SQL["op13_lexical_search"] = r"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as words
+  from documents),
+i as (
+  select row_number() over () as i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+n as (select count(*) filter (where len(words) > 0)::bigint as n, sum(len(words))::bigint as l from d),
+t as (select r, term, count(*)::bigint as tf from (select r, unnest(words) as term from d) where term in (select term from i) group by all),
+w as (
+  select term, floor(1000 * ln((2 * any_value(n.n) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from t, n group by term),
+s as (
+  select i.i, any_value(i.item_id) as item_id, t.r, any_value(d.doc_id) as doc_id,
+    sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (75 + (25 * len(d.words) * n.n) // n.l))))::bigint as score
+  from i join t using (term) join w using (term) join d on d.r = t.r, n group by i.i, t.r),
+o as (select *, row_number() over (partition by i order by score desc, doc_id nulls last, r) as rank from s where score > 0)
+select item_id, rank::integer as rank, doc_id, score from o where rank <= 20
+"""

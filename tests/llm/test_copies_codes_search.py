@@ -1,0 +1,260 @@
+"""Exact copies, vector codes and lexical search against plain versions, and their defined cases."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from recengine.llm import exact_dedup, lexical_search, vector_codes
+from recengine.llm.exact_dedup import exact_copies, lowered, without_copies
+from recengine.llm.lexical_search import rank_documents
+from recengine.llm.vector_codes import from_bytes, to_bytes, train
+from recengine.llm.vector_codes import vector_codes as codes_of
+
+# --- exact copies --------------------------------------------------------------------------------
+
+
+def doc_rows(seed=1, n=300):
+    rng = random.Random(seed)
+    texts = ["hot text"] * 5 + [None, "", " ", "Hot text", "hot text ", "x" * 50_000, "ä", "ä"] + [f"t{i}" for i in range(60)]
+    return [(rng.choice([None, *range(150)]), rng.choice(texts), rng.random(), "kept") for _ in range(n)]
+
+
+DOCS = "doc_id long, text string, row double, winner string"  # names that the operator uses inside
+
+
+def plain_copies(rows):
+    groups = defaultdict(list)
+    for k, t, *_ in rows:
+        groups[t or ""].append(k)
+    out = []
+    for t, keys in groups.items():
+        best = max((k for k in keys if k is not None), default=None)
+        once = True
+        for k in keys:
+            stays = once and k == best
+            once = once and not stays
+            out.append((k, best, len(keys), stays, hashlib.sha256(t.encode()).hexdigest()))
+    return out
+
+
+def in_order(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+@pytest.mark.parametrize("share", [1 / 1024, 0.02, 0.9])
+def test_copies_equal_plain_grouping(spark, share):
+    rows = doc_rows()
+    got = exact_copies(spark.createDataFrame(rows, DOCS).repartition(7), share=share)
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert in_order(got.collect()) == in_order(plain_copies(rows))
+
+
+def test_counters_never_miss_a_frequent_value():
+    rng = random.Random(3)
+    values = [rng.choice("ab") if rng.random() < 0.5 else str(rng.random()) for _ in range(4000)]
+    counters = {}
+    for at in range(0, len(values), 37):
+        for k, n in Counter(values[at: at + 37]).items():
+            counters[k] = counters.get(k, 0) + n
+        counters = lowered(counters, 8)
+        assert len(counters) <= 8
+    true = Counter(values)
+    assert all(counters.get(k, 0) >= true[k] - len(values) / 9 for k in true)
+
+
+def test_frequent_digests_are_settled_before_the_shuffle(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i % 500}") for i in range(3000)]
+    run = exact_dedup.Dedup(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", share=0.1)
+    assert [r["size"] for r in run.frequent.collect()] == [1000]
+    hot, rest = run.split()
+    assert (hot.count(), rest.count()) == (1000, 2000)
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_rows_that_stay(spark, monkeypatch, most):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", most)
+    rows = doc_rows(2)
+    df = spark.createDataFrame(rows, DOCS).withColumnRenamed("row", "_digest")
+    out = without_copies(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] is not None, r["doc_id"], r["text"] or "") if r["doc_id"] is not None else (False, -1, r["text"] or "")
+                  for r in out.collect()) == sorted(
+        (k is not None, -1 if k is None else k, t) for k, t in {(max((k for k, u, *_ in rows if (u or "") == t and k is not None), default=None), t)
+                                                             for t in {u or "" for _, u, *_ in rows}})
+    assert without_copies(df.limit(0)).count() == 0 and exact_copies(df.limit(0)).count() == 0
+
+
+# --- vector codes --------------------------------------------------------------------------------
+
+
+def plain_codes(vectors, parts=4, entries=256, rounds=4):
+    """(codes, errors, books) by full scans in Python integers; vectors are (sort key, list)."""
+    width = len(vectors[0][1]) // parts
+    cut = [[v[p * width:(p + 1) * width] for p in range(parts)] for _, v in vectors]
+    first = [cut[i] for i in sorted(range(len(vectors)), key=lambda i: vectors[i])[:entries]]
+    books = [[list(f[p]) for f in first] for p in range(parts)]
+
+    def assign():
+        return [[min((sum((a - b) ** 2 for a, b in zip(x[p], e)), j) for j, e in enumerate(books[p])) for p in range(parts)] for x in cut]
+
+    for _ in range(rounds):
+        near = assign()
+        for p in range(parts):
+            for j in range(len(books[p])):
+                own = [x[p] for x, n in zip(cut, near) if n[p][1] == j]
+                if own:
+                    books[p][j] = [sum(c) // len(own) for c in zip(*own)]
+    near = assign()
+    return ["".join(f"{j:02x}" for _, j in n) for n in near], [sum(d for d, _ in n) for n in near], books
+
+
+def vector_rows(kind, n=90, dim=8, seed=5):
+    rng = random.Random(seed)
+    scale = {"ties": 0.002, "usual": 1.0, "wide": 1e12, "huge": 1e35}[kind]
+    rows = [(rng.choice([None, *range(40)]), [float(np.float32(rng.uniform(-1, 1) * scale)) for _ in range(dim)], rng.choice([None, 1, 2]))
+            for _ in range(n)]
+    return rows + rows[:5]
+
+
+BAD = [(1, None, 1), (2, [], 1), (3, [1.0] * 7 + [None], 1), (4, [float("nan")] * 8, 1), (5, [float("inf")] * 8, 1), (6, [1.0] * 4, 1),
+       (7, [1.0] * 6, 1)]
+
+
+@pytest.mark.parametrize("kind", ["ties", "usual", "wide", "huge"])
+def test_codes_equal_full_scans(spark, monkeypatch, kind):
+    monkeypatch.setattr(vector_codes, "BLOCK", 16)
+    rows = vector_rows(kind)
+    df = spark.createDataFrame(rows + BAD, "vec_id long, embedding array<float>, label int").repartition(3)
+    got = codes_of(df, entries=12).collect()
+    whole = [[int(math.floor(1024 * x)) for x in v] for _, v, _ in rows]
+    ints = [((i is None, i or 0, v), v) for (i, _, _), v in zip(rows, whole)]
+    codes, errors, books = plain_codes(ints, entries=12)
+    top = 2 ** 63 - 1
+    of = Counter()
+    for (_, _, label), e in zip(rows, errors):
+        of[label] += min(e, top)
+    digest = hashlib.sha256(",".join(str(y) for p in books for e in p for y in e).encode()).hexdigest()
+    assert in_order(got) == in_order((i, c, min(e, top), min(of[label], top), digest) for (i, _, label), c, e in zip(rows, codes, errors))
+
+
+def test_fixed_entries_are_not_compared_again(spark, monkeypatch):
+    seen = []
+    plain = vector_codes.distances
+    monkeypatch.setattr(vector_codes, "distances", lambda x, e: seen.append((len(x), len(e))) or plain(x, e))
+    x, entries = np.array([[0], [1], [10], [20]]), np.array([[0], [10], [20]])
+    code, far = vector_codes.assigned(x, entries, np.ones(3, bool), None, None)
+    entries = np.array([[0], [11], [20]])
+    seen.clear()
+    code2, far2 = vector_codes.assigned(x, entries, np.array([False, True, False]), code, far)
+    assert seen == [(1, 3), (3, 1)] and code2.tolist() == [0, 0, 1, 2] and far2.tolist() == [0, 1, 1, 0]
+    moved_nearer = np.array([[0], [1], [20]])
+    assert vector_codes.assigned(x, moved_nearer, np.array([False, True, False]), code, far)[0].tolist() == [0, 1, 1, 2]
+
+
+def test_small_tables_of_vectors(spark):
+    kind = "vec_id long, embedding array<float>, label int"
+    assert codes_of(spark.createDataFrame([], kind)).count() == 0
+    assert codes_of(spark.createDataFrame(BAD[:5], kind)).columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    one = codes_of(spark.createDataFrame([(None, [1.0, 2.0, 3.0, 4.0], None)], kind)).collect()
+    assert [(r["code"], r["error"], r["label_error"]) for r in one] == [("00000000", 0, 0)]
+    assert train(spark.createDataFrame(vector_rows("usual"), kind), rounds=0).books.shape == (4, 95, 2)
+    for x in ([1, -2], [2 ** 40, -5], [2 ** 62, 0], [2 ** 70, -3], []):
+        assert from_bytes(to_bytes(np.array(x, object if x and max(x) > 2 ** 63 else "int64"))).tolist() == x
+
+
+# --- lexical search ------------------------------------------------------------------------------
+
+
+def plain_terms(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def plain_ranks(docs, items, k=20):
+    terms = [plain_terms(t) for _, t in docs]
+    n, total = sum(bool(t) for t in terms), sum(map(len, terms))
+    holding = Counter(w for t in terms for w in set(t))
+    out = []
+    for item, text in items:
+        scores = []
+        for at, ((key, _), own) in enumerate(zip(docs, terms)):
+            tf = Counter(own)
+            score = 0
+            for w in plain_terms(text):
+                if tf[w]:
+                    weight = math.floor(1000 * math.log((2 * n + 2) / (2 * holding[w] + 1)))
+                    score += weight * (10 ** 9 * tf[w] // (1000 * tf[w] + 12 * (75 + 25 * len(own) * n // total)))
+            if score > 0:
+                scores.append((-score, key is None, key or 0, at))
+        out += [(item, r + 1, None if e else key, -s) for r, (s, e, key, _) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+WORDS = ["Alpha", "beta", "gämma", "ÄÖ", "x1", "中文", "é", "7", "q", "ıI", "z z"]
+
+
+def corpus(seed, n, words=WORDS):
+    rng = random.Random(seed)
+    docs = [(rng.choice([None, *range(n)]), rng.choice([" ", "-", "_\n", "\x00", "'"]).join(rng.choices(words, k=rng.choice([0, 1, 3, 10, 60]))))
+            for _ in range(n)]
+    return docs + [(n, None), (n + 1, ""), (n + 2, " -- "), (n + 3, "beta " * 5000)] + docs[:9]
+
+
+ITEMS = [(1, "alpha BETA beta"), (1, "alpha BETA beta"), (None, "中文 q"), (4, None), (5, "--"), (6, "unknown"), (7, " ".join(WORDS) * 3)]
+
+
+@pytest.mark.parametrize("block,slice_terms", [(8192, 400_000), (16, 400_000), (16, 6)])
+def test_ranks_equal_plain_scores(spark, monkeypatch, block, slice_terms):
+    monkeypatch.setattr(lexical_search, "BLOCK", block)
+    monkeypatch.setattr(lexical_search, "SLICE_TERMS", slice_terms)
+    monkeypatch.setattr(lexical_search, "FIRST", 4)
+    docs = corpus(4, 120)
+    df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, score int")
+    items = spark.createDataFrame([(*i, "x") for i in ITEMS], "item_id int, text string, row string")
+    got = rank_documents(df.coalesce(2), items, k=7)
+    assert got.dtypes == [("item_id", "int"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]
+    assert in_order(got.collect()) == in_order(plain_ranks(docs, ITEMS, 7))
+
+
+def test_items_of_many_terms(spark, monkeypatch):
+    monkeypatch.setattr(lexical_search, "BLOCK", 32)
+    words = [f"w{i}" for i in range(300)]
+    docs, items = corpus(6, 100, words), [(1, " ".join(words)), (2, " ".join(words[:70]) + " w3 w3"), (3, "w1")]
+    got = rank_documents(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert in_order(got.collect()) == in_order(plain_ranks(docs, items))
+
+
+def test_search_without_documents_or_items(spark):
+    docs, items = "doc_id long, text string", "item_id long, text string"
+    some = spark.createDataFrame([(1, "a")], docs)
+    assert rank_documents(some.limit(0), spark.createDataFrame([(1, "a")], items)).count() == 0
+    assert rank_documents(some, spark.createDataFrame([], items)).count() == 0
+    assert rank_documents(spark.createDataFrame([(1, None)], docs), spark.createDataFrame([(1, "a")], items)).count() == 0
+
+
+def test_masks_below_the_kth_score_are_not_scored(spark, monkeypatch):
+    scored = []
+    plain = lexical_search.Block.score
+    monkeypatch.setattr(lexical_search.Block, "score", lambda self, own, w, docs: scored.append(len(docs)) or plain(self, own, w, docs))
+    docs = [(i, "rare common" if i < 40 else "common filler") for i in range(3000)]
+    known = {b"rare": 0, b"common": 1}
+
+    class Shared:
+        value = known
+
+    import pandas as pd
+    frame = pd.DataFrame({"key": range(3000), "empty": False, "row": range(3000), "text": [t for _, t in docs]})
+
+    class Frame:
+        def mapInPandas(self, run, schema):  # the scan's own function on one batch
+            return next(run(iter([frame])))
+
+    block = lexical_search.Block(next(lexical_search.scanned(Frame(), Shared).itertuples()), 3000, 6000)
+    best = lexical_search.Best(20)
+    lexical_search.search(block, np.array([0, 1]), np.array([9000, 600]), best)
+    assert sum(scored) == lexical_search.FIRST and best.held[2].tolist() == list(range(20))
