@@ -11,12 +11,15 @@ one class; everything after that is on classes.
    any possible partner is lengthened by l - 1 where the estimated cost (postings read, plus verification
    of the candidates that still share l) is lower; a pair then has to share correspondingly more
    prefix shingles, min over both sides of need - (n - p), before it is verified.
-3. Stars.  In every prefix shingle's list each class meets the smallest; pairs that share a fair part of what is
-   needed there are verified, and connected.  This settles most of a large group of copies in pairs linear in its size.
-4. Counting.  In lists that still hold more than one component, shared shingles of pairs in different
-   components are counted (as packed arrays for each class, not a row for each pair and shingle), and
-   the pairs that share enough are verified.  Pairs inside a component need no check, so the components
-   are those of all links.  Long lists are cut into chunks that meet in pairs of chunks.
+3. Stars.  Classes are numbered by how common their prefix shingles are: in a group of near copies the copy with the
+   fewest changes of its own comes first.  In every prefix shingle's list each class meets the first; pairs that
+   share a fair part of what is needed there are verified, and connected.
+4. Rounds.  In lists that still hold more than one component, shared shingles of pairs in different
+   components are counted (as packed arrays for each class, not a row for each pair and shingle).  Every class
+   verifies only its few best candidates, by their share of what is required; links connect components, and
+   candidates that have come into one component need no check any more.  The classes that have candidates left go
+   into the next round, with four times as many each, until none has; so the components are those of all links.
+   Long lists are cut into chunks that meet in pairs of chunks.
 5. Verification compares whole sets, made again from the texts of the classes concerned.
 
 Hash equality stands for shingle equality: for two sets of 10**4 shingles a false match has probability
@@ -31,6 +34,7 @@ table; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -50,8 +54,10 @@ CHUNK = 8192
 BROADCAST_ROWS = 1_000_000
 LENGTHS = (1, 2, 4, 8, 16, 32)
 #: A star's centre leads only part of the lists that a pair shares, so this part of what is required is enough
-#: to verify a pair there; the counting step asks for all of it, over all lists.
+#: to verify a pair there; the rounds ask for all of it, over all lists.
 STAR_PART = 4
+#: Candidates that a class verifies in the first round; four times as many in each round that follows.
+FEW = 4
 PARTNER = np.dtype([("node", "i8"), ("n", "i4"), ("p", "i4")])
 #: Packed partner lists above this many bytes are compressed, column by column.
 LARGE = 1024
@@ -115,8 +121,11 @@ def summed_counts(slices: DataFrame) -> np.ndarray:
     return table.reshape(-1)
 
 
-def prefix(s: np.ndarray, table: np.ndarray, usual: float, num: int, den: int) -> np.ndarray:
-    """The rare end of a sorted set, as long as its estimated cost asks for; ``usual`` is a bucket's mean load."""
+def prefix(s: np.ndarray, table: np.ndarray, usual: float, num: int, den: int) -> tuple[np.ndarray, float]:
+    """The rare end of a sorted set, as long as its estimated cost asks for, and how common its first shingles are.
+
+    ``usual`` is a bucket's mean load.
+    """
     n = len(s)
     seen = table[slot(s)]
     order = np.argsort(seen, kind="stable")
@@ -130,7 +139,7 @@ def prefix(s: np.ndarray, table: np.ndarray, usual: float, num: int, den: int) -
         own = read + n * read / length
         if cost is None or own < cost:
             best, cost = p, own
-    return s[:best]
+    return s[:best], float(seen[:first].mean())
 
 
 def with_prefixes(docs: DataFrame, table, k: int, num: int, den: int) -> DataFrame:
@@ -141,10 +150,11 @@ def with_prefixes(docs: DataFrame, table, k: int, num: int, den: int) -> DataFra
             for text, look in zip(b["text"], b["look"], strict=True):
                 s = np.unique(shingles(text, k))
                 if len(s):
-                    out.append((*signature(s), len(s), look, prefix(s, table.value, usual, num, den).tobytes()))
-            yield pd.DataFrame(out, columns=["s1", "s2", "n", "look", "prefix"])
+                    own, common = prefix(s, table.value, usual, num, den)
+                    out.append((*signature(s), len(s), look, own.tobytes(), common))
+            yield pd.DataFrame(out, columns=["s1", "s2", "n", "look", "prefix", "common"])
 
-    return docs.mapInPandas(run, "s1 long, s2 long, n int, look long, prefix binary")
+    return docs.mapInPandas(run, "s1 long, s2 long, n int, look long, prefix binary, common double")
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -190,14 +200,14 @@ def shared_lists(posts: DataFrame) -> DataFrame:
 
 
 def partners(members: DataFrame) -> DataFrame:
-    """(node, with): for each row of a list, its packed partners of other components and smaller number."""
+    """(node, with): for each open row of a list, its packed partners of other components and smaller number."""
 
     def lists(batches):
         last, held = None, []
         for b in batches:
             key = b[["token", "i", "j"]].to_numpy()
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(b)]
-            cols = [b[c].to_numpy() for c in ("node", "component", "n", "p", "chunk", "i", "j")]
+            cols = [b[c].to_numpy() for c in ("node", "component", "n", "p", "chunk", "i", "j", "open")]
             for a, z in zip(cuts, cuts[1:], strict=False):
                 if a == z:
                     continue
@@ -212,12 +222,12 @@ def partners(members: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, size = [], 0
-        for node, component, n, p, chunk, i, j in lists(batches):
+        for node, component, n, p, chunk, i, j, open_ in lists(batches):
             if len(node) < 2 or (component == component[0]).all():
                 continue
             packed = np.zeros(len(node), PARTNER)
             packed["node"], packed["n"], packed["p"] = node, n, p
-            for x in range(len(node)):
+            for x in np.flatnonzero(open_):
                 with_ = (node < node[x]) & (component != component[x])
                 if i[0] != j[0]:
                     with_ &= chunk != chunk[x]
@@ -235,38 +245,54 @@ def partners(members: DataFrame) -> DataFrame:
             .mapInPandas(run, "node long, n int, p int, raw binary"))
 
 
-def sharing_enough(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) whose shared prefix shingles, counted over all lists, are enough."""
+def sharing_enough(rows: DataFrame, few: int, num: int, den: int) -> DataFrame:
+    """(a, b, share, last): of each class b its ``few`` best candidates a whose shared prefix shingles are enough.
+
+    Shared shingles are counted over all lists; ``share`` is their part of what is required, and candidates come by
+    descending share, then by number, from where the class stopped in the round before (was_share, was_node) on.
+    ``last`` marks the last one taken of a class that has more.
+    """
 
     def counted(held: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         own, many = np.concatenate(held), np.concatenate(counts)
         node, first, at = np.unique(own["node"], return_index=True, return_inverse=True)
         return own[first], np.bincount(at, many).astype(np.int64)
 
-    def found(node: int, n: int, p: int, held: list, counts: list) -> pd.DataFrame:
+    def found(node: int, n: int, p: int, was_share: float, was_node: int, held: list, counts: list) -> pd.DataFrame:
         own, many = counted(held, counts)
         small, large = np.minimum(own["n"], n).astype(np.int64), np.maximum(own["n"], n).astype(np.int64)
-        fine = (den * small >= num * large) & (many >= enough(n, p, own["n"].astype(np.int64), own["p"].astype(np.int64), num, den))
-        return pd.DataFrame({"a": own["node"][fine], "b": node})
+        required = enough(n, p, own["n"].astype(np.int64), own["p"].astype(np.int64), num, den)
+        share = many / np.maximum(required, 1)
+        fine = (den * small >= num * large) & (many >= required)
+        fine &= (share < was_share) | ((share == was_share) & (own["node"] > was_node))
+        at = np.flatnonzero(fine)
+        best = at[np.lexsort((own["node"][at], -share[at]))][:few]
+        last = np.zeros(len(best), bool)
+        last[-1:] = len(at) > few
+        return pd.DataFrame({"a": own["node"][best], "b": node, "share": share[best], "last": last})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, held, counts, size = None, [], [], 0
+        last, held, counts, size, out = None, [], [], 0, []
         for b in batches:
-            for node, n, p, raw in zip(b["node"], b["n"], b["p"], b["raw"], strict=True):
+            for node, n, p, was_share, was_node, raw in zip(
+                    b["node"], b["n"], b["p"], b["was_share"], b["was_node"], b["raw"], strict=True):
                 if last is not None and node != last[0]:
-                    yield found(*last, held, counts)
+                    out.append(found(*last, held, counts))
                     held, counts, size = [], [], 0
-                last = (node, n, p)
+                last = (node, n, p, was_share, was_node)
                 held.append(unpack(raw))
                 counts.append(np.ones(len(held[-1])))
                 size += len(held[-1])
                 if size > 1 << 20:
                     own, many = counted(held, counts)
                     held, counts, size = [own], [many], 0
+            if out:
+                yield pd.concat(out)
+                out = []
         if last is not None:
             yield found(*last, held, counts)
 
-    return rows.repartition("node").sortWithinPartitions("node").mapInPandas(run, "a long, b long")
+    return rows.repartition("node").sortWithinPartitions("node").mapInPandas(run, "a long, b long, share double, last boolean")
 
 
 def pack(rows: np.ndarray) -> bytes:
@@ -294,13 +320,16 @@ class Join:
     def __init__(self, docs: DataFrame, k: int, num: int, den: int):
         self.docs, self.k, self.num, self.den = docs, k, num, den
         self.scratch = Scratch(docs.sparkSession, "ngram_join")
+        self.sets: list[DataFrame] = []
+        self.pairs: list[DataFrame] = []  # what was verified in each step
 
-    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs whose whole sets are similar."""
-        k, num, den = self.k, self.num, self.den
-        pairs = self.scratch.save(pairs)
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = self.scratch.save(classes.select("node", "look", "s1", "s2").join(nodes, "node"))
+    def sets_of(self, nodes: DataFrame, classes: DataFrame) -> None:
+        """Adds the sets of those nodes that aren't held yet; the texts are read only if there are any."""
+        wanted = nodes
+        for held in self.sets:
+            wanted = wanted.join(held.select("node"), "node", "left_anti")
+        wanted = self.scratch.save(classes.select("node", "look", "s1", "s2").join(wanted, "node"))
+        many, k = wanted.count(), self.k
 
         def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -311,12 +340,22 @@ class Join:
                         out.append((node, s.tobytes()))
                 yield pd.DataFrame(out, columns=["node", "own"])
 
-        few = wanted.count() <= BROADCAST_ROWS
-        own = (self.docs.join(F.broadcast(wanted) if few else wanted, "look").select("node", "text", "s1", "s2")
-               .mapInPandas(sets, "node long, own binary").groupBy("node").agg(F.first("own").alias("own")))
-        own = self.scratch.save(own)
-        both = (pairs.join(own.withColumnRenamed("node", "a").withColumnRenamed("own", "x"), "a")
-                .join(own.withColumnRenamed("node", "b").withColumnRenamed("own", "y"), "b"))
+        if many:
+            own = (self.docs.join(F.broadcast(wanted) if many <= BROADCAST_ROWS else wanted, "look").select("node", "text", "s1", "s2")
+                   .mapInPandas(sets, "node long, own binary").groupBy("node").agg(F.first("own").alias("own")))
+            self.sets.append(self.scratch.save(own))
+        self.scratch.drop(wanted)
+
+    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs of a saved table whose whole sets are similar."""
+        num, den = self.num, self.den
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        self.sets_of(nodes, classes)
+        if not self.sets:
+            return pairs.limit(0)
+        own = reduce(DataFrame.unionByName, self.sets)
+        own = own.join(nodes, "node", "left_semi") if len(self.sets) > 1 else own
+        both = (pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b"))
 
         def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -327,9 +366,25 @@ class Join:
                     fine.append(den * shared >= num * (len(x) + len(y) - shared))
                 yield b.loc[fine, ["a", "b"]]
 
-        links = self.scratch.save(both.mapInPandas(check, "a long, b long"))
-        self.scratch.drop(own, wanted, pairs)
-        return links
+        return self.scratch.save(both.mapInPandas(check, "a long, b long"))
+
+    def members(self, lists: DataFrame, sizes: DataFrame, near: DataFrame, stopped: DataFrame | None) -> DataFrame:
+        """The rows of the lists with their components; after the first round only lists of classes that have stopped."""
+        if stopped is not None:
+            again = stopped.select("node", F.lit(True).alias("open"))
+            tokens = lists.join(again, "node").select("token").distinct()
+            lists = lists.join(tokens, "token", "left_semi").join(again, "node", "left")
+        else:
+            lists = lists.withColumn("open", F.lit(True))
+        part = F.floor(F.col("place") / CHUNK)
+        rows = lists.select("token", "node", part.alias("chunk"), F.coalesce("open", F.lit(False)).alias("open")).join(
+            sizes, "node").join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        long = lists.where(F.col("place") >= CHUNK).groupBy("token").agg(F.max(part).alias("last"))
+        # A row of chunk c meets the rows of every chunk of its list: as (c, j) for j <= c and (i, c) for i > c.
+        rows = rows.join(long, "token", "left").withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("last", F.lit(0).cast("long")))))
+        return rows.select("token", "node", "n", "p", "component", "chunk", "open", F.greatest("chunk", "other").alias("i"),
+                           F.least("chunk", "other").alias("j"))
 
     def run(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(documents, nodes of their signatures, components of nodes)."""
@@ -339,7 +394,9 @@ class Join:
             summed_counts(scan.where("slice >= 0").select("slice", "counts")))
         documents = scan.where("slice < 0").select("key", "look", "n", "s1", "s2")
         classes = (with_prefixes(self.docs, table, self.k, num, den).groupBy("s1", "s2")
-                   .agg(F.first("n").alias("n"), F.min("look").alias("look"), F.first("prefix").alias("prefix"))
+                   .agg(F.first("n").alias("n"), F.min("look").alias("look"), F.first("prefix").alias("prefix"), F.first("common").alias("common")))
+        order = [F.desc("common"), F.col("s1"), F.col("s2")]
+        classes = (classes.repartitionByRange(*order).sortWithinPartitions(*order).drop("common")
                    .withColumn("node", F.monotonically_increasing_id())
                    .withColumn("p", (F.length("prefix") / 8).cast("int")))
         classes = scratch.save(classes)
@@ -353,21 +410,24 @@ class Join:
                  .where("a <> b").join(a, "a").join(b, "b")
                  .where((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num) & (F.col("shared") * STAR_PART >= required))
                  .select("a", "b"))
-        links = self.verified(stars, classes)
-        near = components(scratch, links)
-
-        part = F.floor(F.col("place") / CHUNK)
-        members = lists.select("token", "node", part.alias("chunk")).join(sizes, "node").join(
-            near, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        long = lists.where(F.col("place") >= CHUNK).groupBy("token").agg(F.max(part).alias("last"))
-        # A row of chunk c meets the rows of every chunk of its list: as (c, j) for j <= c and (i, c) for i > c.
-        members = members.join(long, "token", "left").withColumn(
-            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("last", F.lit(0).cast("long")))))
-        members = members.select("token", "node", "n", "p", "component", "chunk", F.greatest("chunk", "other").alias("i"),
-                                 F.least("chunk", "other").alias("j"))
-        more = self.verified(sharing_enough(partners(members), num, den), classes)
-        links = links.unionByName(more).unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        near = components(scratch, links)
+        self.pairs.append(scratch.save(stars))
+        near = components(scratch, self.verified(self.pairs[-1], classes))
+        stopped, few = None, FEW
+        while True:
+            rows = partners(self.members(lists, sizes, near, stopped))
+            if stopped is None:
+                rows = rows.withColumns({"was_share": F.lit(float("inf")), "was_node": F.lit(-1).cast("long")})
+            else:
+                rows = rows.join(stopped, "node")
+            found = scratch.save(sharing_enough(rows, few, num, den))
+            self.pairs.append(found)
+            more = self.verified(found.select("a", "b"), classes)
+            links = more.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            near = components(scratch, links)
+            stopped = found.where("last").select(F.col("b").alias("node"), F.col("share").alias("was_share"), F.col("a").alias("was_node"))
+            few *= 4
+            if not stopped.limit(1).count():
+                break
         names = scratch.save(classes.select("s1", "s2", "node"))
         scratch.keep_only(scan, names, near)
         return documents, names, near
@@ -379,19 +439,24 @@ def grouped(df: DataFrame, key: str, text: str, k: int, similarity: tuple[int, i
     docs = df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"),
                      F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("look"))
     documents, names, near = Join(docs, k, num, den).run()
-    rows = documents.join(names, ["s1", "s2"], "left").join(near, "node", "left")
-    return rows.select(F.col("key").cast(df.schema[key].dataType).alias("key"), "look", "n",
-                       F.coalesce("component", "node").alias("group"))
+    names = names.join(near, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("group"))
+    rows = documents.where("n > 0").join(names, ["s1", "s2"])  # the many rows of one text are split by adaptive execution
+    rows = rows.unionByName(documents.where("n = 0").withColumn("group", F.lit(None).cast("long")))
+    return rows.select(F.col("key").cast(df.schema[key].dataType).alias("key"), "look", "n", "group")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: tuple[int, int] = (75, 100),
                     n_shingles: str = "n_shingles", component: str = "component_id") -> DataFrame:
     """(key, n_shingles, component): a row for each input row; the component is the smallest key that links reach."""
-    rows = grouped(df, key, text, k, similarity)
-    least = rows.where("group is not null").groupBy("group").agg(F.min("key").alias("least"))
-    return rows.join(least, "group", "left").select(
-        F.col("key").alias(key), F.col("n").alias(n_shingles),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias(component))
+    scratch = Scratch(df.sparkSession, "near_duplicates")
+    rows = scratch.save(grouped(df, key, text, k, similarity))
+    least = rows.where("n > 0").groupBy("group").agg(F.min("key").alias("least"), F.count("*").alias("rows"))
+    least = scratch.save(least.where("rows > 1").select("group", "least"))
+    if least.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        least = F.broadcast(least)
+    met = rows.where("n > 0").join(least, "group", "left").select(
+        F.col("key").alias(key), F.col("n").alias(n_shingles), F.coalesce("least", "key").alias(component))
+    return met.unionByName(rows.where("n = 0").select(F.col("key").alias(key), F.col("n").alias(n_shingles), F.col("key").alias(component)))
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5,

@@ -67,6 +67,42 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     assert got == brute_components(rows)
 
 
+def near_copies(copies, words, most, seed=9):
+    """Texts of one base with 1 to ``most`` changed words each."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for c in range(copies):
+        own = list(base)
+        for _ in range(rng.randint(1, most)):
+            own[rng.randrange(words)] = f"c{c}x{rng.randrange(10 ** 9)}"
+        out.append((c, " ".join(own)))
+    return out
+
+
+def test_pairs_of_a_large_group_grow_with_it(spark):
+    verified = {}
+    for copies in (500, 2000):
+        rows = near_copies(copies, 120, 3)
+        run = ngram_join.Join(spark.createDataFrame(rows, "key string, text string").selectExpr("*", "xxhash64(text) look"), 5, 75, 100)
+        keep = run.scratch.keep_only
+        run.scratch.keep_only = lambda *frames: None
+        _, _, near = run.run()
+        assert near.select("component").distinct().count() == 1 and near.count() > 0.98 * copies
+        verified[copies] = sum(p.count() for p in run.pairs)
+        keep()
+    assert verified[2000] < 6 * verified[500] and verified[2000] < 12 * 2000, verified
+
+
+@pytest.mark.parametrize("words,most,copies", [(60, 2, 150), (120, 3, 120), (40, 1, 60)])
+def test_group_of_near_copies_equals_brute_force(spark, monkeypatch, words, most, copies):
+    monkeypatch.setattr(ngram_join, "FEW", 1)  # many rounds
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)  # joins by shuffle
+    rows = near_copies(copies, words, most)
+    got = ngram_join.near_duplicates(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
+
+
 def test_one_of_each(spark):
     texts = corpus(5, n_groups=6)
     rows = [(i, t) for i, t in enumerate(texts)] + [(500, ""), (500, ""), (None, None), (0, texts[0]), (0, texts[0])]
