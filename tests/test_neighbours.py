@@ -1,0 +1,72 @@
+"""Approximate neighbours: recall at the registered parameters, chunks of large buckets, defined cases."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from recengine.operators import neighbours as N
+from recengine.operators import vectors as V
+from recengine.plans.catalog import QUERIES
+from recengine.sources import fixtures as X
+from tests.conftest import SF
+
+SF_LARGE = "/root/testdata/sf0.01"
+KIND = "id long, vector array<double>"
+
+
+def exact(rows, k=5):
+    out = {}
+    for i, v in rows:
+        out[i] = sorted((round(float(np.linalg.norm(np.subtract(v, w))), 9), j) for j, w in rows if j != i)[:k]
+    return out
+
+
+@pytest.mark.parametrize("sf", [SF, SF_LARGE])
+def test_recall_of_the_registered_parameters(spark, sf):
+    rows = [(r["id"], r["vector"]) for r in X.item_vectors(spark, sf).collect()]
+    got = {}
+    for r in QUERIES["lsh_neighbours"](spark, sf).collect():
+        got.setdefault(r["id"], {})[r["rank"]] = (r["neighbour"], r["distance"])
+    want = exact(rows)
+    hits = sum(len({j for _, j in want[i]} & {j for j, _ in got[i].values()}) for i in want)
+    assert hits >= 0.9 * 5 * len(rows)
+    of = dict(rows)
+    for i in list(got)[:50]:
+        assert sorted(got[i]) == list(range(1, len(got[i]) + 1)) and len(got[i]) == 5
+        for j, d in got[i].values():
+            assert abs(d - np.linalg.norm(np.subtract(of[i], of[j]))) < 1e-6
+
+
+def test_recall_of_the_registered_probe(spark):
+    v = X.item_vectors(spark, SF)
+    model, df = V.lsh_model(v, bucket_length=2.0, tables=8)  # as registered
+    hits = 0
+    for probe in (7, 20, 33):
+        row = v.where(F.col("id") == probe).first()
+        near = {r["id"] for r in V.lsh_nearest(model, df, list(row["vector"]), 5).collect()}
+        hits += len(near & {r["id"] for r in V.k_nearest(v, probe, 5).collect()})
+    assert hits >= 0.9 * 15
+
+
+def test_chunks_of_large_buckets_meet_pair_by_pair(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(150)]
+    df = spark.createDataFrame(rows, KIND).repartition(3)
+    whole = N.lsh_neighbours(df, tables=1, projections=1, bucket_length=1e9)  # two buckets hold everything
+    cut = N.lsh_neighbours(df, tables=1, projections=1, bucket_length=1e9, chunk=16)
+    assert sorted(whole.collect()) == sorted(cut.collect())
+    items = N.bucketed(N.usable(df)[0], 6, 1, 1, 1e9)
+    sizes = [r["n"] for r in N.chunk_pairs(items, 16).select(F.size("items").alias("n")).collect()]
+    assert max(sizes) < 3 * 16 and len(sizes) > 20
+
+
+def test_neighbours_defined_cases(spark):
+    bad = [(None, [1.0, 1.0]), (90, None), (91, []), (92, [1.0, None]), (93, [float("nan"), 1.0]), (94, [float("inf"), 1.0]), (95, [1.0])]
+    good = [(1, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [0.0, 3.0]), (3, [4.0, 0.0]), (4, [0.0, 0.0])]
+    df = spark.createDataFrame(bad + good, KIND)
+    got = N.lsh_neighbours(df, k=2, bucket_length=1e9, tables=64).collect()
+    assert sorted((r["id"], r["rank"], r["neighbour"], r["distance"]) for r in got) == [
+        (1, 1, 1, 0.0), (1, 1, 1, 0.0), (1, 2, 4, 0.0), (1, 2, 4, 0.0), (2, 1, 1, 3.0), (2, 2, 1, 3.0), (3, 1, 1, 4.0), (3, 2, 1, 4.0),
+        (4, 1, 1, 0.0), (4, 2, 1, 0.0)]
+    assert N.lsh_neighbours(df.limit(0)).count() == 0 and N.lsh_neighbours(df.where("id > 89")).count() == 0
+    assert N.lsh_neighbours(df.where("id = 2")).count() == 0
