@@ -16,6 +16,7 @@ from recengine import schemas as S
 from recengine.functions.arrays import cosine, dot, l2_distance, zeros
 from recengine.functions.columns import sigmoid
 from recengine.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, rows_for_width
+from recengine.session import reliable_checkpoint
 
 # Sequences one training task takes about.
 SEQUENCES_PER_TASK = 2_000
@@ -44,21 +45,29 @@ def lookup(df: DataFrame, vectors: DataFrame, key, out_col: str, dim: int,
                .drop("_lk_id", "_lk_vec", "_lk_key", "_lk_salt", "_lk_zero"))
 
 
-def history_lookup(df: DataFrame, vectors: DataFrame, slot_cols: list[str], key_cols: list[str], dim: int,
+def history_lookup(df: DataFrame, vectors: DataFrame, slot_cols: list[str], dim: int,
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Adds ``history_vectors`` (one vector per slot, zero when missing) and ``history_mask``.
 
-    One left join per slot: broadcast for a small vector table, else by shuffle (AQE splits hot
-    items). Either way each row keeps its own slots, whether or not ``key_cols`` are unique or null.
+    A small vector table is broadcast, one join per slot. Else the rows are numbered and pinned, and narrow
+    records (row, slot, id) are shuffled once by id to meet the vectors (AQE splits hot items); what they find is
+    gathered by row. Either way each row keeps its own slots, whatever its other columns. Ids of ``vectors`` are unique.
     """
     mask = F.array(*[F.when(F.col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0)) for c in slot_cols])
     small = fits_broadcast(vectors, rows_for_width(8 * dim + 48, max_broadcast_rows))
-    out = df
-    for i, c in enumerate(slot_cols):
-        out = lookup(out, vectors, c, f"_h{i}", dim, small=small)
-    hv = F.array(*[F.col(f"_h{i}") for i in range(len(slot_cols))])
-    return (out.withColumn("history_vectors", hv).withColumn("history_mask", mask)
-               .drop(*[f"_h{i}" for i in range(len(slot_cols))]))
+    if small:
+        out = df
+        for i, c in enumerate(slot_cols):
+            out = lookup(out, vectors, c, f"_h{i}", dim, small=True)
+        hv = F.array(*[F.col(f"_h{i}") for i in range(len(slot_cols))])
+        return out.withColumn("history_vectors", hv).withColumn("history_mask", mask).drop(*[f"_h{i}" for i in range(len(slot_cols))])
+    rows = reliable_checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
+    records = rows.select("_row", F.posexplode(F.array(*[F.col(c).cast("bigint") for c in slot_cols])).alias("_slot", "_id")).where("_id is not null")
+    met = records.join(vectors.select(F.col("id").cast("bigint").alias("_id"), "vector"), "_id")
+    met = met.groupBy("_row").agg(F.collect_list(F.struct("_slot", "vector")).alias("_met"))
+    of_slot = lambda i: F.get(F.filter("_met", lambda x: x["_slot"] == i), 0)["vector"]
+    hv = F.transform(F.sequence(F.lit(0), F.lit(len(slot_cols) - 1)), lambda i: F.coalesce(of_slot(i), zeros(dim)))
+    return rows.join(met, "_row", "left").withColumn("history_vectors", hv).withColumn("history_mask", mask).drop("_row", "_met")
 
 
 def pair_dots(item, user, item_genre, user_genre, places: int = 6) -> dict[str, "F.Column"]:

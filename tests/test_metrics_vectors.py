@@ -73,8 +73,8 @@ def test_lookup_zero_vector_and_topk(spark):
 def test_history_lookup_paths_agree(spark):
     vec = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "id long, vector array<double>")
     df = spark.createDataFrame([(1, 3, None), (2, None, 4)], "k long, a long, b long")
-    small = V.history_lookup(df, vec, ["a", "b"], ["k"], 2).orderBy("k").collect()
-    large = V.history_lookup(df, vec, ["a", "b"], ["k"], 2, max_broadcast_rows=1).orderBy("k").collect()
+    small = V.history_lookup(df, vec, ["a", "b"], 2).orderBy("k").collect()
+    large = V.history_lookup(df, vec, ["a", "b"], 2, max_broadcast_rows=1).orderBy("k").collect()
     assert [(r["history_vectors"], r["history_mask"]) for r in small] == \
            [(r["history_vectors"], r["history_mask"]) for r in large]
     assert small[0]["history_vectors"] == [[3.0, 1.0], [0.0, 0.0]] and small[0]["history_mask"] == [1, 0]
