@@ -23,18 +23,27 @@ def main(argv=None, spark=None):
     ap.add_argument("--fraction", type=float, default=0.1)
     ap.add_argument("--input-format", default="csv")
     ap.add_argument("--hot-rows", type=int, default=None, help="users above this many ratings are split")
+    ap.add_argument("--quarantine", default=None, help="folder for bad CSV lines; without it bad cells are null")
     a = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
+    from recengine import schemas
     from recengine.operators.split import hash_sample, train_test_split
     from recengine.plans.samples import build_samples
     from recengine.sources import readers, sinks
 
     own = spark is None
     spark = spark or SparkSession.builder.appName("build_samples").getOrCreate()
-    movies = readers.read_movies(spark, a.movies, a.input_format)
-    ratings = readers.read_ratings(spark, a.ratings, a.input_format)
+    if a.quarantine and a.input_format == "csv":
+        (movies, few), (ratings, many) = (readers.read_quarantined(spark, path, schema, f"{a.quarantine}/{name}") for name, path, schema in (
+            ("movies", a.movies, schemas.MOVIES), ("ratings", a.ratings, schemas.RATINGS)))
+        counts = few.withColumn("table", F.lit("movies")).unionByName(many.withColumn("table", F.lit("ratings")))
+        counts.write.mode("overwrite").parquet(f"{a.quarantine}/counts")
+    else:
+        movies = readers.read_movies(spark, a.movies, a.input_format)
+        ratings = readers.read_ratings(spark, a.ratings, a.input_format)
     key = ["userId", "movieId", "timestamp"]
     kw = {"hot_threshold": a.hot_rows} if a.hot_rows else {}
     kw["order"] = a.order.split(",")

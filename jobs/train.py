@@ -22,7 +22,7 @@ def main(argv=None, spark=None):
     ap.add_argument("--model", default="embedding_mlp", choices=FAMILIES)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"], help="format of the sample folders")
     ap.add_argument("--vocab", default=None, help="comma-separated genre vocabulary (index order)")
-    ap.add_argument("--max-fit-rows", type=int, default=MAX_FIT_ROWS, help="rows used to fit; every test row is scored")
+    ap.add_argument("--max-fit-rows", type=int, default=MAX_FIT_ROWS, help="rows that fit the networks of the stacked families; every test row is scored")
     a = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -30,7 +30,7 @@ def main(argv=None, spark=None):
     from recengine import schemas as S
     from recengine.operators import models as MD
     from recengine.operators import scoring as SC
-    from recengine.operators.recommenders import Recommender
+    from recengine.plans.training import new_model
     from recengine.session import ensure_checkpoint_dir
     from recengine.sources import readers
 
@@ -39,7 +39,7 @@ def main(argv=None, spark=None):
     ensure_checkpoint_dir(spark)
     vocab = a.vocab.split(",") if a.vocab else S.GENRE_VOCAB_MOVIELENS
     train, test = (readers.read_samples(spark, f"{a.samples}/split={part}", fmt=a.format) for part in ("train", "test"))
-    model = Recommender(a.model, vocab, max_fit_rows=a.max_fit_rows).fit(train)
+    model = new_model(a.model, vocab, a.max_fit_rows).fit(train)
     model.save(f"{a.out}/model")
     scores = f"{a.out}/scores"
     model.score(test).write.mode("overwrite").parquet(scores)
