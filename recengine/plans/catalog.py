@@ -12,6 +12,7 @@ from recengine.operators import encoders as E
 from recengine.operators import labels as L
 from recengine.operators import metrics as MT
 from recengine.operators import movies as M
+from recengine.operators import neighbours as N
 from recengine.operators import scoring as SC
 from recengine.operators import sequences as Q
 from recengine.operators import split as B
@@ -19,6 +20,7 @@ from recengine.operators import vectors as V
 from recengine.plans import features as FT
 from recengine.plans import samples as P
 from recengine.plans import training as TR
+from recengine.schemas import RATINGS as S_RATINGS
 from recengine.schemas import SAMPLE_COLUMNS, TESTDATA_ORDER
 from recengine.sources import fixtures as X
 from recengine.sources import readers as R
@@ -184,6 +186,32 @@ def movies_scan(spark, sf):
     return R.read_movies(spark, path)
 
 
+def _spoiled(spark, sf):
+    """Rating lines as a file would have them, some of them spoiled by a rule over the line's keys."""
+    r = X.ratings(spark, sf)
+    rating = F.when(F.col("l_orderkey") % 97 == 0, F.lit("good")).otherwise(F.col("rating").cast("string"))
+    time = F.when(F.col("l_orderkey") % 89 == 0, F.lit("1e")).otherwise(F.col("timestamp").cast("string"))
+    more = F.when(F.col("l_orderkey") % 83 == 0, F.lit(",7")).otherwise(F.lit(""))
+    return r.select(F.concat(F.concat_ws(",", "userId", "movieId", rating, time), more).alias("value"))
+
+
+@query
+def ratings_quarantine(spark, sf):
+    """Bad lines of a rating file, with what is wrong in each."""
+    path, quarantine = K.scratch_path(spark, "spoiled-csv"), K.scratch_path(spark, "quarantine")
+    _spoiled(spark, sf).write.text(path)
+    R.read_quarantined(spark, path, S_RATINGS, quarantine)
+    return spark.read.parquet(quarantine).select("line", "reason")
+
+
+@query
+def ratings_quarantine_counts(spark, sf):
+    """Lines by what is wrong in them; good lines under a null reason."""
+    path = K.scratch_path(spark, "spoiled-csv")
+    _spoiled(spark, sf).write.text(path)
+    return R.read_quarantined(spark, path, S_RATINGS, K.scratch_path(spark, "quarantine"))[1]
+
+
 @query
 def samples_scan(spark, sf):
     """Feature sample written as headered CSV and read back as the models read it."""
@@ -273,7 +301,7 @@ def embedding_lookup(spark, sf):
 def history_lookup(spark, sf):
     d = X.vector_dim(spark, sf)
     df = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
-    out = V.history_lookup(df, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    out = V.history_lookup(df, X.movie_vectors(spark, sf), E.HISTORY_COLS, d)
     return out.select(*KEYS, "history_vectors", "history_mask")
 
 
@@ -282,7 +310,7 @@ def history_lookup_large(spark, sf):
     """The same lookup by shuffle joins, as for a vector table too large to broadcast."""
     d = X.vector_dim(spark, sf)
     df = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
-    out = V.history_lookup(df, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d, max_broadcast_rows=1)
+    out = V.history_lookup(df, X.movie_vectors(spark, sf), E.HISTORY_COLS, d, max_broadcast_rows=1)
     return out.select(*KEYS, "history_vectors", "history_mask")
 
 
@@ -304,7 +332,7 @@ def history_attention_pool(spark, sf):
     d = X.vector_dim(spark, sf)
     base = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
     base = V.lookup(base, X.movie_vectors(spark, sf), "movieId", "item_vector", d)
-    hist = V.history_lookup(base, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
+    hist = V.history_lookup(base, X.movie_vectors(spark, sf), E.HISTORY_COLS, d)
     return AT.attention_pool(hist, d).select(*KEYS, "attention_weights", "pooled_history")
 
 
@@ -374,13 +402,19 @@ def lsh_buckets(spark, sf):
 
 @query
 def lsh_nearest(spark, sf):
-    """Approximate neighbours of item 7's vector; pytest measures recall against the exact ones."""
+    """Approximate neighbours of item 7's vector; pytest measures the recall of this setting against the exact ones."""
     vectors = X.item_vectors(spark, sf)
-    model, df = V.lsh_model(vectors, bucket_length=0.5)
+    model, df = V.lsh_model(vectors, bucket_length=2.0, tables=8)
     probe = vectors.where(F.col("id") == NEAREST_TO).select("vector").first()
     return V.lsh_nearest(model, df, list(probe[0]) if probe else [0.0] * X.vector_dim(spark, sf), 5)
 
 
+@query
+def lsh_neighbours(spark, sf):
+    """Five approximate neighbours of every item (K4, batch form); pytest measures the recall of these parameters."""
+    return N.lsh_neighbours(X.item_vectors(spark, sf))
+
+
 @query
 def item_vector_sink(spark, sf):
     """Vectors written as `id:v1 v2 ...` text by the executors, read back and parsed."""
@@ -396,7 +430,7 @@ def item_vector_sink(spark, sf):
 def dense_forward(spark, sf):
     """A dense stack with weights from a rule, in Arrow batches; the SQL twin does the same sums."""
     df, d = FT.with_vectors(spark, sf)
-    layers = SC.small_rule_layers([FT.dense_size(d), 4, 1])
+    layers = SC.small_rule_layers([FT.dense_size(d), 128, 128, 1])
     out = SC.dense_forward(df.select(*KEYS, FT.dense_array().alias("features")), "features", KEYS, layers)
     return out.withColumn("score", F.round("score", 6))
 
@@ -453,12 +487,12 @@ def history_attention_net(spark, sf):
     d = X.vector_dim(spark, sf)
     base = FT.keyed_samples(spark, sf).select(*KEYS, *E.HISTORY_COLS)
     base = V.lookup(base, X.movie_vectors(spark, sf), "movieId", "item_vector", d)
-    hist = V.history_lookup(base, X.movie_vectors(spark, sf), E.HISTORY_COLS, KEYS, d)
-    out = AT.attention_net(hist, d, KEYS, SC.small_rule_layers([4 * d, 2, 1]))
+    hist = V.history_lookup(base, X.movie_vectors(spark, sf), E.HISTORY_COLS, d)
+    out = AT.attention_net(hist, d, KEYS, SC.small_rule_layers([4 * d, 32, 1]))
     return out.select(*KEYS, *[F.transform(c, lambda v: F.round(v, 6)).alias(c) for c in ("attention_weights", "pooled_history")])
 
 
 @query
 def similar_items_model(spark, sf):
     """L4 on the learned vectors: findSynonyms of item 158 (empty when absent from the vocabulary)."""
-    return V.synonyms(TR.item2vec_model(spark, sf), str(SIMILAR_TO), 20)
+    return TR.item2vec_model(spark, sf).synonyms(str(SIMILAR_TO), 20)

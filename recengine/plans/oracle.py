@@ -8,6 +8,7 @@ Column names equal the Spark query's names.
 from __future__ import annotations
 
 from recengine import schemas as S
+from recengine.operators import neighbours as N
 
 ORDER = "timestamp, l_orderkey, l_linenumber, movieId, l_suppkey, l_extendedprice"
 
@@ -159,6 +160,17 @@ select {_SK}, label, case when {md5_bucket_sql(_SK, 2 ** 32, 'split')} < {round(
 from labeled"""
 
 SQL["ratings_scan"] = with_ctes() + "select userId, movieId, rating, timestamp from ratings"
+_SPOILED = """
+spoiled as (
+  select concat(userId, ',', movieId, ',', case when l_orderkey % 97 = 0 then 'good' else rating::varchar end, ',',
+                case when l_orderkey % 89 = 0 then '1e' else timestamp::varchar end, case when l_orderkey % 83 = 0 then ',7' else '' end) as line,
+         case when l_orderkey % 83 = 0 then 'number of cells'
+              when l_orderkey % 97 = 0 and l_orderkey % 89 = 0 then 'not a value: rating, timestamp'
+              when l_orderkey % 97 = 0 then 'not a value: rating'
+              when l_orderkey % 89 = 0 then 'not a value: timestamp' end as reason
+  from ratings)"""
+SQL["ratings_quarantine"] = with_ctes(_SPOILED) + "select line, reason from spoiled where reason is not null"
+SQL["ratings_quarantine_counts"] = with_ctes(_SPOILED) + "select reason, count(*)::bigint as lines from spoiled group by reason"
 SQL["movies_scan"] = with_ctes() + "select movieId, title, genres from movies"
 SQL["samples_scan"] = _UF + f"select {SAMPLE_COLS} from user_features"
 _RK = "userId, movieId, timestamp"
@@ -233,11 +245,11 @@ select {_KEYS}, {num_sql()} as numeric,
 from user_features"""
 
 _EMB = """
-emb as (select vec_id as id, embedding::double[] as vector from embeddings),
-cnt as (select count(*) as n from emb),
-vecs as (select p_partkey as id, vector from part join emb on emb.id = p_partkey % (select n from cnt)),
-dim as (select max(len(vector)) as d from emb),
-zero as (select list_transform(range(d), lambda x: 0.0::double) as z from dim)"""
+emb as materialized (select vec_id as id, embedding::double[] as vector from embeddings),
+cnt as materialized (select count(*) as n from emb),
+vecs as materialized (select p.id, vector from (select p_partkey as id, p_partkey % n as k from part, cnt) p join emb on emb.id = p.k),
+dim as materialized (select max(len(vector)) as d from emb),
+zero as materialized (select list_transform(range(d), lambda x: 0.0::double) as z from dim)"""
 
 VECS = _EMB + """,
 withvec as (
@@ -263,21 +275,46 @@ select {_KEYS}, {dense_sql()} as features
 from withvec"""
 
 
-def rule_weight(i: str, j: str) -> str:
-    return f"((31 * ({i}) + 17 * {j}) % 13 - 6) / 600.0::double"
+#: The rule's weights repeat after this many units: unit j and unit j + 13 of a layer are equal, so SQL needs one of each.
+_PERIOD = 13
+
+
+def rule_weight(i: int, j: int) -> float:
+    return ((31 * i + 17 * j) % 13 - 6) / 600.0
+
+
+def numbers(values) -> str:
+    return "[" + ", ".join(f"{float(v)!r}::double" for v in values) + "]"
+
 
+def times(units: int, j: int) -> int:
+    """How many of a layer's units are equal to unit j, j below the period."""
+    return len(range(j, units, _PERIOD))
 
-def hidden_sql(x: str, n: str, j: int) -> str:
-    """Sum of unit j of a first layer over the list x of n numbers, with its bias."""
-    return f"(list_sum(list_transform(range({n}), lambda i: {x}[i + 1] * ({rule_weight('i', str(j))}))) + 0.01)"
+
+def next_layer(h: str, units: int, j: int) -> str:
+    """Input of unit j behind a layer of ``units`` units, whose different ones are in the list h."""
+    return "(" + " + ".join(f"{times(units, r)} * {rule_weight(r, j)!r} * {h}[{r + 1}]" for r in range(min(units, _PERIOD))) + " + 0.01)"
+
+
+_DIM = 7 + len(_GENRE_COLS) * _NV  # inputs that aren't vectors; the vectors stand between the numbers and the indicators
+
+
+def first_layer(j: int) -> str:
+    """Input of unit j over the dense inputs x, whatever the vectors' length: the weight list is made by the rule."""
+    return f"(list_inner_product(x, w[{j + 1}]) + 0.01)"
 
 
-_DIM = f"{7 + len(_GENRE_COLS) * _NV} + 2 * (select d from dim)"
 SQL["dense_forward"] = _VEC + f"""
-, dense as (select {_KEYS}, {dense_sql()} as x from withvec),
-units as (select *, {", ".join(f"greatest({hidden_sql('x', _DIM, j)}, 0) as h{j}" for j in range(4))} from dense)
-select {_KEYS}, round(1.0 / (1.0 + exp(-({" + ".join(f"h{j} * ({rule_weight(str(j), '0')})" for j in range(4))} + 0.01))), 6) as score
-from units"""
+, dense as materialized (select {_KEYS}, {dense_sql()} as x from withvec),
+w as materialized (
+  select list(w order by j) as w
+  from (select j, list(((31 * i + 17 * j) % 13 - 6) / 600.0::double order by i) as w
+        from (select unnest(range({_DIM} + 2 * d)) as i from dim), range({_PERIOD}) u(j) group by j)),
+one as (select {_KEYS}, [{", ".join(f"greatest({first_layer(j)}, 0)" for j in range(_PERIOD))}] as h from dense, w),
+two as (select {_KEYS}, [{", ".join(f"greatest({next_layer('h', 128, j)}, 0)" for j in range(_PERIOD))}] as h from one)
+select {_KEYS}, round(1.0 / (1.0 + exp(-{next_layer('h', 128, 0)})), 6) as score
+from two"""
 
 
 def dot_sql(a: str, b: str) -> str:
@@ -298,70 +335,66 @@ _VECS_ONLY = _EMB
 SQL["embedding_lookup"] = with_ctes(_VECS_ONLY) + """
 select m.movieId, coalesce(v.vector, (select z from zero)) as vector from movies m left join emb v on v.id = m.movieId"""
 
+# Rows of five slots are joined as narrow (row, slot, id) records; what a slot adds comes from numbers per item.
 HIST = """
-hist as (
-  select u.*, [coalesce(h1.vector, (select z from zero)), coalesce(h2.vector, (select z from zero)),
-               coalesce(h3.vector, (select z from zero)), coalesce(h4.vector, (select z from zero)),
-               coalesce(h5.vector, (select z from zero))] as history_vectors,
-         [(userRatedMovie1 is not null)::integer, (userRatedMovie2 is not null)::integer,
-          (userRatedMovie3 is not null)::integer, (userRatedMovie4 is not null)::integer,
-          (userRatedMovie5 is not null)::integer] as history_mask,
-         coalesce(c.vector, (select z from zero)) as item_vector
-  from user_features u
-  left join vecs h1 on h1.id = u.userRatedMovie1 left join vecs h2 on h2.id = u.userRatedMovie2
-  left join vecs h3 on h3.id = u.userRatedMovie3 left join vecs h4 on h4.id = u.userRatedMovie4
-  left join vecs h5 on h5.id = u.userRatedMovie5 left join vecs c on c.id = u.movieId)"""
+uf as materialized (select row_number() over () as r, * from user_features),
+vec as materialized (select id, vector from vecs),
+slot as materialized (
+  select r, movieId, unnest([1, 2, 3, 4, 5]) as s,
+         unnest([userRatedMovie1, userRatedMovie2, userRatedMovie3, userRatedMovie4, userRatedMovie5]) as id
+  from uf)"""
 _HIST = with_ctes(MOVIE_ATTR, USER_FEATURES, _VECS_ONLY, HIST)
-SQL["history_lookup"] = _HIST + f"select {_KEYS}, history_vectors, history_mask from hist"
+SQL["history_lookup"] = _HIST + f"""
+, found as (select r, s, slot.id is not null as there, coalesce(vector, z) as h from slot left join vec on vec.id = slot.id, zero),
+lists as (select r, list(h order by s) as history_vectors, list(there::integer order by s) as history_mask from found group by r)
+select {_KEYS}, history_vectors, history_mask from uf join lists using (r)"""
 SQL["history_lookup_large"] = SQL["history_lookup"]
 SQL["item_vector_sink"] = "select vec_id as id, embedding::double[] as vector from embeddings"
 
 
-def _score_sql(h: str, d: int = 64) -> str:
-    coef = lambda k: f"((({k} * {d}) + j) % 7 - 3) / 50.0"
-    return (f"(list_sum(list_transform(range({d}), lambda j: {coef(0)} * ({h}[j + 1] - item_vector[j + 1]) + "
-            f"{coef(1)} * {h}[j + 1] + {coef(2)} * item_vector[j + 1] + {coef(3)} * {h}[j + 1] * item_vector[j + 1])) + 0.1)")
-
-
-ATT = """
-att as (
-  select *, [""" + ", ".join(
-    f"case when history_mask[{i}] = 1 then 1.0 / (1.0 + exp(-{_score_sql(f'history_vectors[{i}]')})) else 0.0 end"
-    for i in range(1, 6)) + """] as w
-  from hist)"""
-SQL["history_attention_pool"] = with_ctes(MOVIE_ATTR, USER_FEATURES, _VECS_ONLY, HIST, ATT) + f"""
+def pooled_sql(weight: str) -> str:
+    """Weights of the present slots by an expression over a, b (lists of numbers of the slot's and the row's item), h and c."""
+    return f""",
+zeros as (select list_transform(range({_PERIOD}), lambda x: 0.0::double) as z from range(1)),
+own as materialized (
+  select r, s, slot.id is not null as there, coalesce(h.vector, zero.z) as h, coalesce(h.a, zeros.z) as a, coalesce(c.vector, zero.z) as c,
+    coalesce(c.b, zeros.z) as b
+  from slot left join item h on h.id = slot.id left join item c on c.id = slot.movieId, zero, zeros),
+weighed as (select r, s, h, case when there then 1.0 / (1.0 + exp(-({weight}))) else 0.0 end as w from own),
+lists as (select r, list(h order by s) as h, list(w order by s) as w from weighed group by r)
 select {_KEYS}, list_transform(w, lambda x: round(x, 6) + 0.0) as attention_weights,
-       list_transform(range(64), lambda j: round(w[1] * history_vectors[1][j + 1] + w[2] * history_vectors[2][j + 1]
-                                           + w[3] * history_vectors[3][j + 1] + w[4] * history_vectors[4][j + 1]
-                                           + w[5] * history_vectors[5][j + 1], 6) + 0.0) as pooled_history
-from att"""
-
-
-
-def _net_sql(i: int) -> str:
-    """Weight of slot i: the activation unit of two PReLU units over [h - c, h, c, h * c]."""
-    z = [hidden_sql(f"x{i}", "4 * (select d from dim)", j) for j in range(2)]
-    act = [f"(case when {v} > 0 then {v} else 0.25 * {v} end)" for v in z]
-    out = " + ".join(f"{v} * ({rule_weight(str(j), '0')})" for j, v in enumerate(act))
-    return f"case when history_mask[{i}] = 1 then 1.0 / (1.0 + exp(-({out} + 0.01))) else 0.0 end"
-
-
-def _slot_sql(i: int) -> str:
-    h, c = f"history_vectors[{i}]", "item_vector"
-    pairs = f"list_zip({h}, {c})"
-    return (f"flatten([list_transform({pairs}, lambda t: t[1] - t[2]), {h}, {c}, "
-            f"list_transform({pairs}, lambda t: t[1] * t[2])]) as x{i}")
-
-
-ATTNET = f""",
-slots as (select *, {", ".join(_slot_sql(i) for i in range(1, 6))} from hist),
-net as (select *, [{", ".join(_net_sql(i) for i in range(1, 6))}] as w from slots)"""
-SQL["history_attention_net"] = _HIST + ATTNET + f"""
-select {_KEYS}, list_transform(w, lambda x: round(x, 6) + 0.0) as attention_weights,
-       list_transform(range((select d from dim)), lambda j: round(w[1] * history_vectors[1][j + 1] + w[2] * history_vectors[2][j + 1]
-                                           + w[3] * history_vectors[3][j + 1] + w[4] * history_vectors[4][j + 1]
-                                           + w[5] * history_vectors[5][j + 1], 6) + 0.0) as pooled_history
-from net"""
+       list_transform(list_zip(h[1], h[2], h[3], h[4], h[5]), lambda t: round(
+         w[1] * t[1] + w[2] * t[2] + w[3] * t[3] + w[4] * t[4] + w[5] * t[5], 6) + 0.0) as pooled_history
+from uf join lists using (r)"""
+
+
+# The rule unit: <k0, h - c> + <k1, h> + <k2, c> + <k3, h * c> + 0.1, taken apart into a part of h, one of c and the product.
+_POOL = [f"list_transform(range(d), lambda j: (({k} * d + j) % 7 - 3) / 50.0::double)" for k in range(4)]
+SQL["history_attention_pool"] = _HIST + f"""
+, k as (select {", ".join(f"{x} as k{i}" for i, x in enumerate(_POOL))} from dim),
+item as materialized (
+  select id, vector, [list_inner_product(k0, vector) + list_inner_product(k1, vector)] as a,
+    [list_inner_product(k2, vector) - list_inner_product(k0, vector)] as b from vec, k),
+k3 as (select k3 as k from k)""" + pooled_sql(
+    "a[1] + b[1] + list_inner_product(list_transform(list_zip(h, (select k from k3)), lambda t: t[1] * t[2]), c) + 0.1")
+
+
+def _unit_weights(block: int, j: int) -> str:
+    """Weights of unit j over block 0 (h - c), 1 (h), 2 (c) or 3 (h * c) of its input."""
+    return f"list_transform(range(d), lambda i: ((31 * ({block} * d + i) + 17 * {j}) % 13 - 6) / 600.0::double)"
+
+
+_Z = [f"(a[{j + 1}] + b[{j + 1}] + list_inner_product(hc, (select k from u)[{j + 1}]) + 0.01)" for j in range(_PERIOD)]
+_NET = " + ".join(f"{times(32, j)} * {rule_weight(j, 0)!r} * (case when {z} > 0 then {z} else 0.25 * {z} end)" for j, z in enumerate(_Z))
+SQL["history_attention_net"] = _HIST + f"""
+, u as materialized (select [{", ".join(_unit_weights(3, j) for j in range(_PERIOD))}] as k from dim),
+item as materialized (
+  select id, vector,
+    [{", ".join(f"list_inner_product({_unit_weights(0, j)}, vector) + list_inner_product({_unit_weights(1, j)}, vector)" for j in range(_PERIOD))}] as a,
+    [{", ".join(f"list_inner_product({_unit_weights(2, j)}, vector) - list_inner_product({_unit_weights(0, j)}, vector)" for j in range(_PERIOD))}] as b
+  from vec, dim)""" + pooled_sql(_NET).replace(
+    "weighed as (select r, s, h,", "products as (select *, list_transform(list_zip(h, c), lambda t: t[1] * t[2]) as hc from own),\nweighed as (select r, s, h,"
+).replace("from own),\nlists", "from products),\nlists")
 
 SQL["similar_items"] = with_ctes(_VECS_ONLY) + """
 select id, round(s, 6) + 0.0 as similarity
@@ -372,6 +405,26 @@ select id, round(d, 6) as distance
 from (select id, list_distance(vector, (select vector from emb where id = 7)) as d from emb)
 order by d, id limit 5"""
 
+# The buckets of every table by the same rule (md5 of table_projection_place), then all pairs that share one.
+SQL["lsh_neighbours"] = f"""
+with e as (
+  select row_number() over () as r, vec_id as id, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+dim as (select len(v) as d from e group by 1 order by count(*) desc, 1 limit 1),
+a as (
+  select t, m, list((('0x' || substr(md5(concat_ws('_', t, m, j)), 1, 4))::bigint - 32768) * (sqrt(3) / 32768) order by j) as a
+  from range({N.TABLES}) t(t), range({N.PROJECTIONS}) m(m), (select unnest(range(d)) as j from dim) group by t, m),
+h as materialized (
+  select e.r, a.t, string_agg(floor(list_inner_product(e.v, a.a) / {N.BUCKET_LENGTH})::bigint::varchar, ',' order by a.m) as bucket
+  from e join dim on len(e.v) = d, a group by e.r, a.t),
+p as (select distinct x.r, y.r as other from h x join h y on x.t = y.t and x.bucket = y.bucket and x.r <> y.r),
+n as (
+  select x.id, y.id as neighbour, list_distance(x.v, y.v) as distance,
+    row_number() over (partition by p.r order by list_distance(x.v, y.v), y.id, p.other) as rank
+  from p join e x on x.r = p.r join e y on y.r = p.other)
+select id, rank::integer as rank, neighbour, round(distance, 6) as distance from n where rank <= {S.LSH_NEIGHBOURS}
+"""
+
 # --- scoring and metrics -------------------------------------------------------------------------
 SCORED = """
 scored as (
