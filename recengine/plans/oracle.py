@@ -385,7 +385,7 @@ def _unit_weights(block: int, j: int) -> str:
 
 
 _Z = [f"(a[{j + 1}] + b[{j + 1}] + list_inner_product(hc, (select k from u)[{j + 1}]) + 0.01)" for j in range(_PERIOD)]
-_NET = " + ".join(f"{times(32, j)} * {rule_weight(j, 0)!r} * (case when {z} > 0 then {z} else 0.25 * {z} end)" for j, z in enumerate(_Z))
+_NET = " + ".join(f"{times(32, j)} * {rule_weight(j, 0)!r} * (case when {z} > 0 then {z} else 0.25 * {z} end)" for j, z in enumerate(_Z)) + " + 0.01"
 SQL["history_attention_net"] = _HIST + f"""
 , u as materialized (select [{", ".join(_unit_weights(3, j) for j in range(_PERIOD))}] as k from dim),
 item as materialized (
