@@ -9,12 +9,14 @@ some stretch of ``window`` words (the whole item, if it has fewer) agrees in at
 places.  Verification compares words, so equal hashes of different words do no harm.
 
 The seeds of the benchmark are broadcast if they are at most ``BROADCAST_SEEDS`` (counted first) and
-joined by a shuffle otherwise.
+joined by a shuffle otherwise.  A document's seeds, its diagonals and what is found go by a hash of its whole text, so
+copies are looked up once and rows without an id are rows of their own; equal hashes of different
+texts cost a comparison and lose nothing.
 
 Defined cases: null and empty texts and items of fewer than ``least_words`` words (by default as many as the
-shortest mask spans) are never found; rows of equal id are compared one by one and reported once; equal
-stretches are reported at the first; repeated items are reported by id, items without an id with a null
-id; an empty table gives an empty result; other columns are ignored.
+shortest mask spans) are never found; rows of equal id and text are reported once, those of equal id and other
+text for themselves; equal stretches are reported at the first; repeated items are reported by id, items
+without an id with a null id; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,7 +68,7 @@ def seeds(codes: str, masks: tuple[str, ...]) -> Column:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
                item_text: str = "text", masks: tuple[str, ...] = MASKS, window: int = WINDOW,
                agree: float = AGREE, least_words: int | None = None) -> DataFrame:
-    """(key, item, item_words, equal_words, first_word): one row for each document id and item found in it.
+    """(key, item, item_words, equal_words, first_word, text_hash): one row for each document id, text and item found in it.
 
     ``first_word`` is where in the document the item (or the part of it that fits) would begin;
     ``equal_words`` counts the agreeing places along that diagonal.
@@ -85,32 +87,36 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                          .select("item", "s.seed", F.col("s.at").alias("item_at")).distinct())
     masks = tuple(dict.fromkeys(m for some in of_length.values() for m in some)) or masks
     small = marks.count() <= BROADCAST_SEEDS
-    words = docs.select(F.col(key).alias("key"), word_codes(F.col(text)).alias("codes"))
-    hits = (words.select("key", F.explode(seeds("codes", masks)).alias("s")).select("key", "s.seed", "s.at")
+    words = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("look"), word_codes(F.col(text)).alias("codes"))
+    hits = (words.select("look", F.explode(seeds("codes", masks)).alias("s")).select("look", "s.seed", "s.at")
             .join(F.broadcast(marks) if small else marks, "seed")
-            .select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
+            .select("look", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
     hits = scratch.save(hits)
 
     # Along the diagonal: equal[j] says whether word j of the item is word shift + j of the document.
-    near = (words.join(hits, words["key"].eqNullSafe(hits["key"])).drop(hits["key"])
+    near = (words.join(hits, "look")
             .join(items.withColumnRenamed("item", "_item"), F.col("item").eqNullSafe(F.col("_item"))).where(F.size("codes") > 0))
     same = F.transform("item_codes", lambda c, j: F.when(
         F.col("shift") + j >= 0, F.get("codes", F.col("shift") + j) == c).otherwise(F.lit(False)))
-    near = near.select("key", "item", "shift", F.transform(same, lambda e: F.coalesce(e, F.lit(False)).cast("int")).alias("equal"))
+    near = near.select("key", "look", "item", "shift", F.transform(same, lambda e: F.coalesce(e, F.lit(False)).cast("int")).alias("equal"))
     n = F.size("equal")
     size = F.least(n, F.lit(window))
     need = F.ceil(size * F.lit(agree) - F.lit(1e-9))
     best = F.array_max(F.transform(F.sequence(F.lit(1), n - size + 1), lambda a: F.aggregate(
         F.slice("equal", a, size), F.lit(0), lambda s, e: s + e)))
     total = F.aggregate("equal", F.lit(0), lambda s, e: s + e)
-    found = near.select("key", "item", "shift", n.alias("item_words"), total.alias("equal_words"), best.alias("best"), need.alias("need"))
-    found = found.where(F.col("best") >= F.col("need")).groupBy("key", "item").agg(F.max(F.struct(
+    found = near.select("key", "look", "item", "shift", n.alias("item_words"), total.alias("equal_words"), best.alias("best"), need.alias("need"))
+    found = found.where(F.col("best") >= F.col("need")).groupBy("key", "look", "item").agg(F.max(F.struct(
         "equal_words", (-F.col("shift")).alias("back"), "item_words")).alias("m"))
     return found.select(F.col("key").alias(key), F.col("item").alias(item), F.col("m.item_words").alias("item_words"),
-                        F.col("m.equal_words").alias("equal_words"), F.greatest(F.lit(0), -F.col("m.back")).alias("first_word"))
+                        F.col("m.equal_words").alias("equal_words"), F.greatest(F.lit(0), -F.col("m.back")).alias("first_word"),
+                        F.col("look").alias("text_hash"))
 
 
-def without_leaks(docs: DataFrame, leaks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows whose id has no leak; rows without an id are dropped only if a row without an id leaks."""
-    ids = leaks.select(F.col(key).alias("_leak")).distinct()
-    return docs.join(ids, docs[key].eqNullSafe(ids["_leak"]), "left_anti")
+def without_leaks(docs: DataFrame, leaks: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in whose text no item was found; ``leaks`` is what ``find_leaks`` gave for them."""
+    scratch = Scratch(docs.sparkSession, "leaks")
+    found = scratch.save(leaks.select(F.col(key).alias("leak"), "text_hash").distinct())
+    few = found.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS
+    same = docs[key].eqNullSafe(found["leak"]) & (F.xxhash64(docs[text]) == found["text_hash"])
+    return docs.join(F.broadcast(found) if few else found, same, "left_anti")

@@ -8,8 +8,9 @@ giving all), and the softmax is calibrated by one temperature on the part of the
 Only the fit is bounded; document frequencies and predictions cover every row and whole texts.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; without a row to learn
-from every text is ``und``; with one language that language has score 1; repeated rows give repeated
-results; an empty table gives an empty table; result columns replace input columns of the same name.
+from every text is ``und``; with one language that language has score 1; of more than
+``MOST_LANGUAGES`` languages those of most rows are learned (ties by name), and other texts get the likeliest of
+them; repeated rows give repeated results; an empty table gives an empty table; result columns replace input columns of the same name.
 """
 
 from __future__ import annotations
@@ -28,15 +29,14 @@ BITS = 15
 PLACES = 1 << BITS
 #: Characters that are hashed at a time, so that memory stays bounded for texts of any length.
 PIECE = 1 << 20
-#: A model has places x languages weights, so the languages it can learn are bounded.
+#: A model has places x languages weights, so it learns at most this many languages, those of most rows first.
 MOST_LANGUAGES = 512
 UND = "und"
 
 
-def counts(text: str) -> np.ndarray:
-    """How often each place occurs among the text's 1-, 2- and 3-grams."""
-    out = np.zeros(PLACES)
-    text = text.lower()
+def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(places, counts): how often each place occurs among the text's 1-, 2- and 3-grams, places ascending."""
+    text, pieces = text.lower(), []
     for at in range(0, len(text), PIECE):
         c = np.frombuffer(text[max(0, at - 2): at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         fresh = min(at, 2)  # leading characters seen before; a gram counts where it ends
@@ -47,8 +47,12 @@ def counts(text: str) -> np.ndarray:
             gram = c if n == 0 else gram[:-1] * np.uint64(0x1F123BB5) + c[n:]
             mixed = (gram + np.uint64(n + 1)) * np.uint64(0x9E3779B97F4A7C15)
             found.append((mixed >> np.uint64(64 - BITS)).astype(np.int64)[max(0, fresh - n):])
-        out += np.bincount(np.concatenate(found), minlength=PLACES)
-    return out
+        pieces.append(np.concatenate(found))
+    if sum(map(len, pieces)) < PLACES // 8:
+        return np.unique(np.concatenate([np.zeros(0, np.int64), *pieces]), return_counts=True)
+    table = sum(np.bincount(x, minlength=PLACES) for x in pieces)
+    at = np.flatnonzero(table)
+    return at, table[at]
 
 
 def has_letter(text: str | None) -> bool:
@@ -57,20 +61,34 @@ def has_letter(text: str | None) -> bool:
 
 @dataclass
 class LanguageModel:
+    """Weights of the places that have any (``rows`` says where a place's are, -1: it has none), and intercepts."""
+
     languages: list[str]
     idf: np.ndarray
-    weights: np.ndarray  # places + 1 rows (the last for the intercept), a column for each language
+    rows: np.ndarray
+    weights: np.ndarray  # a row for each place with weights, a column for each language
+    intercepts: np.ndarray
     temperature: float = 1.0
 
-    def logits(self, x: np.ndarray) -> np.ndarray:
-        v = x * self.idf
+    @classmethod
+    def of(cls, languages: list[str], idf: np.ndarray, dense: np.ndarray) -> LanguageModel:
+        """From places + 1 rows of weights, the last for the intercepts."""
+        used = np.flatnonzero(dense[:-1].any(axis=1))
+        rows = np.full(PLACES, -1, np.int32)
+        rows[used] = np.arange(len(used))
+        return cls(languages, idf, rows, dense[used], dense[-1])
+
+    def logits(self, places: np.ndarray, many: np.ndarray) -> np.ndarray:
+        v = many * self.idf[places]
         norm = np.sqrt(v @ v)
-        return (v @ self.weights[:-1]) / (norm or 1.0) + self.weights[-1]
+        row = self.rows[places]
+        here = row >= 0
+        return (v[here] @ self.weights[row[here]]) / (norm or 1.0) + self.intercepts
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not has_letter(text):
             return UND, 0.0
-        p = softmax(self.logits(counts(text)) / self.temperature)
+        p = softmax(self.logits(*counts(text)) / self.temperature)
         best = int(p.argmax())
         return self.languages[best], float(min(1.0, p[best]))
 
@@ -124,7 +142,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         df, n = np.zeros(PLACES, np.int64), 0
         for b in batches:
             for t in b["text"]:
-                df += counts(t) > 0
+                df[counts(t)[0]] += 1
                 n += 1
         at = np.flatnonzero(df)
         yield pd.DataFrame({"place": np.append(at, PLACES), "n": np.append(df[at], n)})
@@ -142,10 +160,10 @@ def sample_features(rows: DataFrame, idf: np.ndarray) -> pd.DataFrame:
         for b in batches:
             out = []
             for text, lang, rank in zip(b["text"], b["lang"], b["rank"], strict=True):
-                v = counts(text) * idf
-                at = np.flatnonzero(v)
-                norm = np.sqrt((v[at] ** 2).sum()) or 1.0
-                out.append((lang, rank, at.astype("int32").tobytes(), (v[at] / norm).astype("float32").tobytes()))
+                at, many = counts(text)
+                v = many * idf[at]
+                norm = np.sqrt((v ** 2).sum()) or 1.0
+                out.append((lang, rank, at.astype("int32").tobytes(), (v / norm).astype("float32").tobytes()))
             yield pd.DataFrame(out, columns=["lang", "rank", "places", "values"])
 
     return rows.mapInPandas(vectors, "lang string, rank long, places binary, values binary").toPandas()
@@ -157,11 +175,10 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
     rows = (docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull())
             .select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"),
                     F.xxhash64(F.lit("language"), F.col(key)).alias("rank")))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    most = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = {r["lang"]: r["count"] for r in sorted(most, key=lambda r: r["lang"])}
     if not sizes:
-        return LanguageModel([], np.zeros(PLACES), np.zeros((PLACES + 1, 0)))
+        return LanguageModel.of([], np.zeros(PLACES), np.zeros((PLACES + 1, 0)))
     df, n = document_frequencies(rows.select("text"))
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
     each = max(1, fit_rows // len(sizes))
@@ -177,9 +194,10 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
              at[r.lang]) for r in sample.itertuples()]
     order = np.random.default_rng(0).permutation(len(data))
     held, used = order[: len(order) // 5], order[len(order) // 5:]
-    model = LanguageModel(languages, idf, ftrl([data[i] for i in used], len(languages)))
+    dense = ftrl([data[i] for i in used], len(languages))
+    model = LanguageModel.of(languages, idf, dense)
     if len(held) and len(languages) > 1:
-        z = np.array([data[i][1] @ model.weights[data[i][0]] for i in held])
+        z = np.array([data[i][1] @ dense[data[i][0]] for i in held])
         model.temperature = calibrated(z, np.array([data[i][2] for i in held]))
     return model
 

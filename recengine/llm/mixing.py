@@ -10,7 +10,9 @@ number next to N / golden ratio that has no common factor with N: golden-ratio p
 1 / N that meet every cell once.  Any stretch of slots thus holds the sources in proportion, and every
 source gets all of its slots.  Slots are ranked per source; a source's documents, shuffled by a hash
 of seed and id and repeated ``cap`` times, are cut into blocks of equal words; slot number r of a
-source takes its block r.  The last block of a source ends at its target.
+source takes its block r.  The last block of a source ends at its target.  A row gets the first slot that
+serves words of it and the number of its pieces in slots, so a reader can deal the mix out in the
+schedule's order.
 
 Every rank and running sum is made in two levels (chunk, then row within chunk), so a source with a
 third of all rows is spread over all tasks.
@@ -112,9 +114,10 @@ def schedule(scratch: Scratch, sources: DataFrame, block: int) -> DataFrame:
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", share: Fraction = Fraction(3, 2),
         cap: int = 2, weights: tuple[int, ...] = WEIGHTS, block: int = 4096, seed: str = "mix") -> DataFrame:
-    """Append size, source_size, target and taken: the words that the mix takes of each row, repeats counted."""
+    """Append size, source_size, target, taken (the words that the mix takes of each row, repeats counted), first_slot (the
+    first slot of the schedule with words of the row, null if none) and slots (its pieces in slots)."""
     scratch = Scratch(df.sparkSession, "mix")
-    results = ("size", "source_size", "target", "taken")
+    results = ("size", "source_size", "target", "taken", "first_slot", "slots")
     key = fresh_name(df, "_row")
     rows = df.select(*(c for c in df.columns if c.lower() not in results or c in (doc_id, source) or c == text))
     kept = [c for c in rows.columns if c != text and c.lower() not in results]
@@ -139,8 +142,9 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
              .withColumn("rank", F.explode(F.sequence(F.floor(F.col("a") / block), F.floor((F.col("b") - 1) / block))))
              .select("_row", "sid", "rank", (F.least("b", (F.col("rank") + 1) * block) - F.greatest(
                  "a", F.col("rank") * block)).alias("words")))
-    taken = piece.join(schedule(scratch, sources, block).select("sid", "rank"), ["sid", "rank"]).groupBy("_row").agg(
-        F.sum("words").alias("taken"))
+    taken = piece.join(schedule(scratch, sources, block), ["sid", "rank"]).groupBy("_row").agg(
+        F.sum("words").alias("taken"), F.min("t").alias("first_slot"), F.count("*").alias("slots"))
     out = own.select("_row", "source_size", "target").join(taken, "_row", "left").withColumnRenamed("_row", key)
     return rows.join(out, key).select(*kept, "size", "source_size", "target",
-                                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+                                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot",
+                                      F.coalesce("slots", F.lit(0)).cast("long").alias("slots"))

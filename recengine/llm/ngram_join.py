@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recengine.llm.common import Scratch
+from recengine.llm.common import Scratch, fresh_name
 from recengine.llm.shingles import components, shingles
 
 BITS, SLICES = 19, 64
@@ -468,11 +468,16 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", k: int =
     scratch = Scratch(df.sparkSession, "one_of_each")
     rows = scratch.save(grouped(df, key, text, k, similarity))
     first = rows.where("group is not null").groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), "key", "look")).alias("m"))
-    stay = scratch.save(first.select(F.col("m.key").alias("_key"), F.col("m.look").alias("_look")))
-    own = df.withColumn("_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    kept = own.join(stay, own[key].eqNullSafe(stay["_key"]) & (own["_hash"] == stay["_look"]), "left_semi")
-    again = rows.join(stay, rows["key"].eqNullSafe(stay["_key"]) & (rows["look"] == stay["_look"]), "left_semi")
+    stay = scratch.save(first.select(F.col("m.key").alias("stay_key"), F.col("m.look").alias("stay_look")))
+    look = fresh_name(df, "_look")
+    own = df.withColumn(look, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    few = stay.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    right = (F.broadcast(stay) if few else stay).alias("s")
+    met = lambda x, k, h: x[k].eqNullSafe(F.col("s.stay_key")) & (x[h] == F.col("s.stay_look"))
+    kept = own.join(right, met(own, key, look), "left_semi")
+    again = rows.join(right, met(rows, "key", "look"), "left_semi")
     if again.groupBy("key", "look").count().where("count > 1").limit(1).count():  # the staying row is there more than once
-        kept = kept.dropDuplicates([key, "_hash"])
-    empty = rows.where("group is null").select(F.col("look").alias("_look")).distinct()
-    return kept.unionByName(own.join(empty, own["_hash"] == empty["_look"], "left_semi")).drop("_hash")
+        kept = kept.dropDuplicates([key, look])
+    empty = rows.where("group is null").select(F.col("look").alias("empty_look")).distinct()  # of texts without words
+    few = empty.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return kept.unionByName(own.join(F.broadcast(empty) if few else empty, own[look] == F.col("empty_look"), "left_semi")).drop(look)

@@ -84,7 +84,7 @@ def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "first_slot", "slots")
 
 
 SQL["op5_mixing"] = r"""
@@ -107,13 +107,28 @@ l as (select (3 * max(total) - 4 * coalesce(sum(source_size) filter (where cappe
     greatest(coalesce(sum(weight) filter (where not capped), 0), 1)::double as free from c),
 t as (select source, source_size, case when capped then (2 * source_size)::double else weight * l.rest / (2 * l.free) end as target
   from c, l),
+q as (
+  select *, row_number() over (order by source nulls last) - 1 as sid, least(floor(target + 0.5)::bigint, 2 * source_size) as quota from t),
 p as (
-  select d.doc_id, d.size, t.source_size, t.target, least(floor(t.target + 0.5)::bigint, 2 * t.source_size) as quota,
+  select d.r, d.doc_id, d.size, q.sid, q.source_size, q.target, q.quota,
     (sum(d.size) over (partition by d.source order by d.h, d.size, d.r) - d.size)::bigint as a
-  from d join t on d.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-  (greatest(0, least(quota, a + size) - a) + greatest(0, least(quota, source_size + a + size) - source_size - a))::bigint as taken
-from p
+  from d join q on d.source is not distinct from q.source),
+cells as (select sid, sum(ceil(quota / 4096)::bigint) over (order by sid) - ceil(quota / 4096)::bigint as cell0, ceil(quota / 4096)::bigint as n from q),
+m as (select sum(n)::bigint as n from cells),
+step as (select min(s) as step from m, (select unnest(range(
+    greatest(1, round(n * (sqrt(5) - 1) / 2)::bigint), greatest(1, round(n * (sqrt(5) - 1) / 2)::bigint) + 1000)) as s from m) where gcd(s, n) = 1),
+slot as (  -- golden-ratio points over the cells; a source's slots ranked
+  select t, sid, row_number() over (partition by sid order by t) - 1 as rank
+  from (select t, (t::hugeint * step % n)::bigint as cell from (select unnest(range(n)) as t from m), m, step) g
+    join cells on g.cell >= cells.cell0 and g.cell < cells.cell0 + cells.n),
+pieces as (
+  select p.r, p.sid, least(b, (rank + 1) * 4096) - greatest(a, rank * 4096) as words, rank
+  from (select r, sid, a + pass * source_size as a, least(a + pass * source_size + size, quota) as b
+        from p, range(2) x(pass) where size > 0) p, unnest(range((a // 4096)::bigint, ((b - 1) // 4096)::bigint + 1)) u(rank)
+  where a < b),
+k as (select r, sum(words)::bigint as taken, min(t) as first_slot, count(*) as slots from pieces p join slot s on s.sid = p.sid and s.rank = p.rank group by r)
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken, first_slot::bigint as first_slot, coalesce(slots, 0)::bigint as slots
+from p left join k using (r)
 """
 
 

@@ -2,8 +2,9 @@
 
 Each rule is a regular expression.  From its syntax tree a Boolean query over trigrams is derived that
 every match must satisfy: an OR of ANDs.  Texts are indexed by the trigrams that occur in any rule's
-query; the postings (trigram, document) are intersected per AND by counting, and only the documents
-that satisfy a rule's query are searched with its expression.  A rule without a mandatory trigram (a
+query; the postings (trigram, text) are intersected per AND by counting, and only the texts
+that satisfy a rule's query are searched with its expression.  A text goes by a hash of the whole of it; equal hashes of
+different texts share their candidate rules, which costs a search and loses nothing.  A rule without a mandatory trigram (a
 character class only, such as hexadecimal runs) is searched in every text.
 
 Positions come from SQL functions alone: ``split`` gives the text between the matches and
@@ -13,8 +14,8 @@ dropped after matching, as it has used up its text.
 
 Base kinds are assign, access and hex; the rules of ``MORE`` add spans and change none of these.
 Defined cases: null text is empty; texts are searched whole; two rules may report overlapping spans;
-spans of equal start are ordered by kind as listed; rows with equal or null ids share postings and are
-verified row by row; repeated rows give repeated results; an empty table gives an empty table; other
+spans of equal start are ordered by kind as listed; rows of equal texts share postings and are
+verified row by row, whatever their ids; repeated rows give repeated results; an empty table gives an empty table; other
 columns pass, and result columns replace input columns of the same name.
 """
 
@@ -29,10 +30,12 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recengine.llm.common import fresh_name, with_results
+from recengine.llm.common import Scratch, fresh_name, with_results
 
 #: A set of strings that grows beyond this is no longer followed exactly.
 MOST_STRINGS = 96
+#: Texts with candidate rules that are broadcast at most (a hash and a few numbers each); more are joined by a shuffle.
+BROADCAST_TEXTS = 500_000
 
 
 @dataclass(frozen=True)
@@ -166,14 +169,14 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
     return F.when(F.regexp_like(text, F.lit(rule.java)), found).otherwise(none)
 
 
-def candidates(docs: DataFrame, rules: tuple[Rule, ...], key: str, text: str) -> DataFrame:
-    """(key, rules): for each id the rules whose query its texts satisfy, from intersected postings."""
+def candidates(docs: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame:
+    """(look, rules): for each text, by its hash, the rules whose query it satisfies, from intersected postings."""
     clauses = [(r, c, sorted(clause)) for r, rule in enumerate(rules)
                for c, clause in enumerate(sorted(trigram_query(rule), key=sorted)) if clause]
     grams = sorted({g for _, _, clause in clauses for g in clause})
     present = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(g)), F.lit(i)) for i, g in enumerate(grams))))
-    postings = (docs.select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("low"))
-                .select("key", F.explode(present).alias("gram")).distinct())
+    postings = (docs.select(F.xxhash64(F.col(text)).alias("look"), F.lower(F.col(text)).alias("low")).where("low <> ''")
+                .select("look", F.explode(present).alias("gram")).distinct())
     by_gram: dict[int, list[tuple[int, int, int]]] = {}
     for r, c, clause in clauses:
         for g in clause:
@@ -181,27 +184,28 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], key: str, text: str) ->
     # The ANDs that a trigram takes part in: a constant of the rules, not a table.
     uses = F.create_map(*(x for g, own in by_gram.items() for x in (
         F.lit(g), F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(c).alias("clause"), F.lit(n).alias("n")) for r, c, n in own)))))
-    met = (postings.select("key", F.explode(F.element_at(uses, F.col("gram"))).alias("u")).select("key", "u.*")
-           .groupBy("key", "rule", "clause", "n").agg(F.count("*").alias("have")).where(F.col("have") == F.col("n")))
-    return met.groupBy("key").agg(F.collect_set("rule").alias("rules"))
+    met = (postings.select("look", F.explode(F.element_at(uses, F.col("gram"))).alias("u")).select("look", "u.*")
+           .groupBy("look", "rule", "clause", "n").agg(F.count("*").alias("have")).where(F.col("have") == F.col("n")))
+    return met.groupBy("look").agg(F.collect_set("rule").alias("rules"))
 
 
-def scan(df: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
-    """Append found: array<struct<start, order, end, kind>> by start, then kind as listed."""
+def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = BASE + MORE, found: str = "found") -> DataFrame:
+    """Append ``found``: array<struct<start, order, end, kind>> by start, then kind as listed."""
     indexed = [i for i, r in enumerate(rules) if trigram_query(r) != ANY]
-    k, t, mark = fresh_name(df, "_key"), fresh_name(df, "_text"), fresh_name(df, "_rules")
+    k, t, mark = fresh_name(df, "_look"), fresh_name(df, "_text"), fresh_name(df, "_rules")
+    out = df.withColumn(t, F.coalesce(F.col(text), F.lit("")))
     if indexed:
-        near = candidates(df, rules, key, text).select(F.col("key").alias(k), F.col("rules").alias(mark))
-        out = df.join(near, df[key].eqNullSafe(near[k]), "left").drop(k)
+        near = Scratch(df.sparkSession, "secrets").save(candidates(df, rules, text)).select(F.col("look").alias(k), F.col("rules").alias(mark))
+        few = near.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS
+        out = out.join(F.broadcast(near) if few else near, F.xxhash64(F.col(t)) == F.col(k), "left").drop(k)
     else:
-        out = df.withColumn(mark, F.lit(None).cast("array<int>"))
-    out = out.withColumn(t, F.coalesce(F.col(text), F.lit("")))
+        out = out.withColumn(mark, F.lit(None).cast("array<int>"))
     none = F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string>>")
     parts = []
     for i, rule in enumerate(rules):
         own = spans(F.col(t), rule, i)
         parts.append(F.when(F.array_contains(F.col(mark), i), own).otherwise(none) if i in indexed else own)
-    return with_results(out, {"found": F.array_sort(F.concat(*parts))}).drop(t, mark)
+    return with_results(out, {found: F.array_sort(F.concat(*parts))}).drop(t, mark)
 
 
 def joined(found: Column) -> Column:

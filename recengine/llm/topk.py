@@ -8,10 +8,14 @@ histogram places the k-th value in one bin, which is the next round's interval,
 single score.  A last round keeps what reaches that value and breaks ties by the smaller id.
 
 Scores are integer inner products of components floor(scale * x), x as double.  They are exact: the
-products run in double precision where every sum is below 2**53 and in Python integers beyond.
+products run in double precision where every sum is below 2**53 and in Python integers beyond.  A score
+beyond 62 bits counts as the largest (or least) number of 62 bits; such scores are ties.
+
+Query blocks are broadcast.  More than ``BROADCAST_BYTES`` of them are cut into slices of about that size, which are
+searched one after the other, so what a task holds does not grow with the queries and no key joins all blocks.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components, and rows without
-an id take no part; vectors of different lengths have no score; a query never meets its own row, but
+an id take no part, nor do those not finite once scaled; vectors of different lengths have no score; a query never meets its own row, but
 meets other rows of the same id; an empty table gives an empty result; columns other than id and
 vector are ignored, whatever their names.
 """
@@ -26,18 +30,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recengine.llm.common import Scratch
+from recengine.llm.vector_codes import from_bytes, to_bytes
 
 #: Rows of a vector block and of a query block; bits that one round's histogram adds.
 VECTOR_BLOCK, QUERY_BLOCK, ROUND_BITS = 4096, 512, 11
-#: Query blocks up to this many bytes are broadcast; larger sets are joined without it.
+#: Bytes of query blocks that are broadcast at a time, about.
 BROADCAST_BYTES = 32 << 20
-EXACT_DOUBLE = 2 ** 53
+EXACT_DOUBLE, REACH = 2 ** 53, 2 ** 62 - 1
 
-PACKED = "dim int, n int, wide boolean, ids binary, rows binary, data binary, top double, squares double"
+PACKED = "dim int, n int, ids binary, rows binary, data binary, top double, squares double"
 
 
 def packed(vectors: DataFrame, size: int) -> DataFrame:
-    """Blocks of at most ``size`` rows of (row, id, v); components are integers held as 4 or 8 bytes."""
+    """Blocks of at most ``size`` rows of (row, id, v); components are integers, held as few bytes each as they need."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -46,22 +51,18 @@ def packed(vectors: DataFrame, size: int) -> DataFrame:
                 for at in range(0, len(own), size):
                     part = own.iloc[at: at + size]
                     data = np.stack(part["v"].to_numpy()).astype("float64")
-                    top = float(np.abs(data).max())
-                    if top >= 2 ** 62:
-                        raise ValueError("a vector component times the scale is beyond 62 bits")
-                    wide = top >= 2 ** 31
+                    top, squares = float(np.abs(data).max()), float((data * data).sum(axis=1).max())
+                    if top >= EXACT_DOUBLE:
+                        data = np.array([[int(y) for y in x] for x in data], object)
                     yield pd.DataFrame([{
-                        "dim": int(dim), "n": len(part), "wide": wide,
-                        "ids": part["id"].to_numpy("int64").tobytes(), "rows": part["row"].to_numpy("int64").tobytes(),
-                        "data": data.astype("int64" if wide else "int32").tobytes(), "top": top,
-                        "squares": float((data * data).sum(axis=1).max())}])
+                        "dim": int(dim), "n": len(part), "ids": part["id"].to_numpy("int64").tobytes(),
+                        "rows": part["row"].to_numpy("int64").tobytes(), "data": to_bytes(data), "top": top, "squares": squares}])
 
     return vectors.mapInPandas(pack, PACKED)
 
 
 def block(r, prefix: str = "") -> np.ndarray:
-    kind = "int64" if getattr(r, prefix + "wide") else "int32"
-    return np.frombuffer(getattr(r, prefix + "data"), kind).reshape(getattr(r, prefix + "n"), r.dim)
+    return from_bytes(getattr(r, prefix + "data")).reshape(getattr(r, prefix + "n"), r.dim)
 
 
 def numbers(raw: bytes) -> np.ndarray:
@@ -75,9 +76,7 @@ def scored(r) -> np.ndarray:
         s = (q.astype("float64") @ v.astype("float64").T).astype("int64")
     else:
         exact = q.astype(object) @ v.astype(object).T
-        if max(abs(int(exact.max())), abs(int(exact.min()))) >= 2 ** 62:
-            raise ValueError("a score is beyond 62 bits")
-        s = exact.astype("int64")
+        s = np.clip(exact, -REACH, REACH).astype("int64")
     s[numbers(r.q_rows)[:, None] == numbers(r.rows)[None, :]] = np.iinfo("int64").min
     return s
 
@@ -123,11 +122,13 @@ def kept(k: int):
 
 def integer_vectors(df: DataFrame, id_col: str, vector: str, scale: float) -> DataFrame:
     """(id, v) of the rows that take part; v has doubles with integer values."""
-    x = F.transform(F.col("x"), lambda e: e.cast("double"))
+    x = F.transform(F.col("x"), lambda e: e.cast("double") * scale)
+    # Beyond 2**53 a double is whole already; floor() would cut it to 64 bits.
+    whole = F.transform("x", lambda e: F.when(F.abs(e) < EXACT_DOUBLE, F.floor(e).cast("double")).otherwise(e))
     fine = F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
     return (df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("x"))
             .where(F.col("id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0)).withColumn("x", x).where(fine)
-            .select("id", F.transform("x", lambda e: F.floor(e * scale).cast("double")).alias("v")))
+            .select("id", whole.alias("v")))
 
 
 def top_k(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding",
@@ -136,24 +137,34 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
 
     ``is_query`` is a condition on the column ``id``.
     """
-    spark = df.sparkSession
-    scratch = Scratch(spark, "topk")
+    scratch = Scratch(df.sparkSession, "topk")
     rows = scratch.save(integer_vectors(df, id_col, vector, scale).withColumn("row", F.monotonically_increasing_id()))
     blocks = scratch.save(packed(rows, VECTOR_BLOCK))
     asked = scratch.save(packed(rows.where(is_query).repartition(F.pmod("row", F.lit(64))), QUERY_BLOCK)
                          .withColumn("block", F.monotonically_increasing_id()))
     scratch.drop(rows)
-
+    size = asked.agg(F.sum(F.length("data") + F.length("rows") * 3)).first()[0] or 0
+    slices = max(1, -(-size // BROADCAST_BYTES))
+    out = None
+    for i in range(slices):
+        found = selected(scratch, blocks, asked.where(F.pmod(F.xxhash64("block"), F.lit(slices)) == i), k)
+        found = found if slices == 1 else scratch.save(found)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def selected(scratch: Scratch, blocks: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The search of one slice of query blocks, which is broadcast."""
     # All scores are within the product of the largest norms (Cauchy and Schwarz).
-    most = blocks.agg(F.max("squares")).first()[0], asked.agg(F.max("squares"), F.sum(F.length("data"))).first()
-    reach = int((most[0] or 0.0) ** 0.5 * (most[1][0] or 0.0) ** 0.5) + 2
+    squares = [x.agg(F.max("squares")).first()[0] or 0.0 for x in (blocks, asked)]
+    reach = min(REACH - 2, int(min(1e19, squares[0] ** 0.5 * squares[1] ** 0.5))) + 2
     bits = max(0, (2 * reach).bit_length() - ROUND_BITS)
     state = asked.select("block", F.transform(F.sequence(F.lit(1), "n"), lambda _: F.lit(-reach).cast("long")).alias("low"))
 
     def met(state: DataFrame, bits: int) -> DataFrame:
         q = asked.join(state, "block").select(
-            "dim", "low", F.lit(bits).alias("bits"), *(F.col(c).alias(f"q_{c}") for c in ("n", "wide", "ids", "rows", "data", "top")))
-        return blocks.join(F.broadcast(q) if (most[1][1] or 0) <= BROADCAST_BYTES else q, "dim")
+            "dim", "low", F.lit(bits).alias("bits"), *(F.col(c).alias(f"q_{c}") for c in ("n", "ids", "rows", "data", "top")))
+        return blocks.join(F.broadcast(q), "dim")
 
     place = asked.select("block", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: i)).alias("at", "i"))
     where = scratch.save(rows_of(asked).join(place.drop("i"), ["block", "at"]))

@@ -78,74 +78,70 @@ class Terms:
         return out
 
 
+def spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The places of all ranges [start, end), one range after the other."""
+    lengths = ends - starts
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
 class BlockMaxIndex:
-    """Postings by term in blocks of examples, with each block's largest weight."""
+    """Postings by term in blocks of examples, with each block's largest weight.
+
+    An entry is a term's part of one block: its block, its largest weight and where its postings lie; entries lie by term.
+    """
 
     def __init__(self, vectors: list[dict[int, float]], block: int = BLOCK):
         # Examples with the same strongest terms share blocks, which keeps the bounds tight.
         lead = [max(v, key=lambda t: (v[t], -t)) if v else -1 for v in vectors]
         self.order = sorted(range(len(vectors)), key=lambda i: (lead[i], i))
-        self.vectors, self.block = vectors, block
+        self.block = block
         self.blocks = -(-len(vectors) // block)
-        lists: dict[int, dict[int, tuple[list[int], list[float]]]] = {}
-        for place, i in enumerate(self.order):
-            for t, w in vectors[i].items():
-                at, weights = lists.setdefault(t, {}).setdefault(place // block, ([], []))
-                at.append(place % block)
-                weights.append(w)
-        # A term's postings lie side by side in order of their blocks; ends says where each block's part ends.
-        self.postings, self.top = {}, {}
-        for t, by in lists.items():
-            at = np.concatenate([np.array(a) + b * block for b, (a, _) in by.items()])
-            weights = np.concatenate([w for _, w in by.values()])
-            ends = np.cumsum([len(a) for a, _ in by.values()])
-            self.postings[t] = (at, weights, {b: (e - len(by[b][0]), e) for b, e in zip(by, ends.tolist(), strict=True)})
-            self.top[t] = (np.array(list(by)), np.array([max(w) for _, w in by.values()]))
+        found = [(t, place, w) for place, i in enumerate(self.order) for t, w in vectors[i].items()]
+        term, self.at, self.weights = (np.array(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        by = np.lexsort((self.at, term))
+        term, self.at, self.weights = term[by], self.at[by], self.weights[by]
+        part = np.stack([term, self.at // block])
+        self.starts = np.flatnonzero(np.append(True, (part[:, 1:] != part[:, :-1]).any(axis=0))) if len(term) else np.zeros(0, int)
+        self.ends = np.append(self.starts[1:], len(term))[: len(self.starts)]
+        self.entry_block = part[1, self.starts]
+        self.top = np.maximum.reduceat(self.weights, self.starts) if len(term) else np.zeros(0)
+        terms, first = np.unique(term[self.starts], return_index=True)
+        last = np.append(first[1:], len(self.starts))
+        self.entries = {t: (a, z) for t, a, z in zip(terms.tolist(), first.tolist(), last.tolist(), strict=True)}
+        self.scored = 0  # postings looked at, for tests
 
     def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[float, int]]:
         """The k examples of highest positive similarity as (similarity, example), ties to the smaller example.
 
-        The blocks of highest bound are scored one by one until k examples are found; what is left is
-        scored in one go, restricted to the blocks whose bound reaches the k-th similarity by then.
+        Blocks come by falling bound, some at a time, twice as many each time; only their postings are read. The
+        search ends once the next bound is below the k-th similarity.
         """
-        bounds = np.zeros(self.blocks)
-        terms = [(w, t) for t, w in query.items() if t in self.top]
-        for w, t in terms:
-            at, top = self.top[t]
-            bounds[at] += w * top
-        best: list[tuple[float, int]] = []
+        own = [(w, *self.entries[t]) for t, w in query.items() if t in self.entries]
+        if not own:
+            return []
+        weight, first, last = (np.array(x) for x in zip(*own, strict=True))
+        entry, weight = spans(first, last), np.repeat(weight, last - first)
+        block = self.entry_block[entry]
+        bounds = np.bincount(block, weight * self.top[entry], self.blocks)
         order = np.argsort(-bounds, kind="stable")
-
-        def add(scores: np.ndarray, first: int) -> None:
-            nonlocal best
+        best: list[tuple[float, int]] = []
+        done, step = 0, 2
+        while done < len(order) and bounds[order[done]] > 0 and (len(best) < k or bounds[order[done]] >= best[-1][0] - 1e-9):
+            use = np.zeros(self.blocks, bool)
+            use[order[done: done + step]] = True
+            here = use[block]
+            a, z = self.starts[entry[here]], self.ends[entry[here]]
+            posting = spans(a, z)
+            self.scored += len(posting)
+            scores = np.bincount(self.at[posting], np.repeat(weight[here], z - a) * self.weights[posting])
             at = np.flatnonzero(scores)
             if len(at) > 4 * k:  # keep what reaches the k-th score of these, ties included, and one for ``but``
                 least = np.partition(scores[at], len(at) - k - 1)[len(at) - k - 1]
                 at = at[scores[at] >= least - 1e-9]
-            found = [(round(s, 12), self.order[p]) for s, p in zip(scores[at].tolist(), (at + first).tolist(), strict=True)]
+            found = [(round(s, 12), self.order[p]) for s, p in zip(scores[at].tolist(), at.tolist(), strict=True)]
             best = sorted([*best, *(x for x in found if x[1] != but)], key=lambda x: (-x[0], x[1]))[:k]
-
-        done = 0
-        while done < len(order) and len(best) < k and bounds[order[done]] > 0:
-            b = int(order[done])
-            scores = np.zeros(self.block)
-            for w, t in terms:
-                at, weights, parts = self.postings[t]
-                if b in parts:
-                    i, j = parts[b]
-                    scores[at[i:j] - b * self.block] += w * weights[i:j]
-            add(scores, b * self.block)
-            done += 1
-        rest = order[done:]
-        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= (best[-1][0] if len(best) == k else 0.0) - 1e-9)]
-        if len(rest):
-            scores = np.zeros(self.blocks * self.block)
-            for w, t in terms:
-                at, weights, _ = self.postings[t]
-                scores[at] += w * weights
-            use = np.zeros(self.blocks, bool)
-            use[rest] = True
-            add(np.where(np.repeat(use, self.block), scores, 0.0), 0)
+            done, step = done + step, 2 * step
         return best
 
 

@@ -208,6 +208,18 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(df, marks.limit(0)).collect() == []
 
 
+def test_rows_without_id_are_kept_unless_they_leak(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    docs = [(None, f"so {item} so"), (None, "clean text"), (None, f"so {item} so"), (None, None), (4, f"and {item}"), (4, "clean"), (None, "clean text")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, text_hash string")
+    found = decontaminate.find_leaks(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(str(r["doc_id"]) for r in found.collect()) == ["4", "None"]
+    clean = decontaminate.without_leaks(df, found)
+    assert clean.columns == df.columns
+    assert sorted(str((r["doc_id"], r["text"])) for r in clean.collect()) == sorted(map(str, [
+        (None, "clean text"), (None, "clean text"), (None, None), (4, "clean")]))
+
+
 def test_leaks_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
     test_leaks(spark)

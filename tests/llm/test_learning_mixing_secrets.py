@@ -1,9 +1,11 @@
 """Language, toxicity, mixing, secrets and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -22,14 +24,68 @@ def test_crc_of_ids(spark):
     assert got == [zlib.crc32(str(i).encode()) for i in ids]
 
 
+def plain_places(text):
+    """Hash places of all 1- to 3-grams, one by one."""
+    text, out, mask = text.lower(), {}, (1 << 64) - 1
+    for n in (1, 2, 3):
+        for i in range(len(text) - n + 1):
+            gram = 0
+            for c in text[i:i + n]:
+                gram = (gram * 0x1F123BB5 + ord(c)) & mask
+            place = ((gram + n) * 0x9E3779B97F4A7C15 & mask) >> (64 - language.BITS)
+            out[place] = out.get(place, 0) + 1
+    return out
+
+
 def test_ngram_counts_by_pieces(monkeypatch):
     text = "Ähnliche Sätze über 日本 x" * 9
-    whole = language.counts(text)
     n = len(text.lower())
-    assert whole.sum() == n + (n - 1) + (n - 2)
+    places, many = language.counts(text)
+    assert many.sum() == n + (n - 1) + (n - 2) and dict(zip(places.tolist(), many.tolist())) == plain_places(text)
+    long = text * 200  # counted in a table
+    assert dict(zip(*(x.tolist() for x in language.counts(long)))) == plain_places(long)
     monkeypatch.setattr(language, "PIECE", 7)
-    assert (language.counts(text) == whole).all()
-    assert language.counts("").sum() == 0 and language.counts("a").sum() == 1
+    assert dict(zip(*(x.tolist() for x in language.counts(text)))) == plain_places(text)
+    assert language.counts("")[1].sum() == 0 and language.counts("a")[1].sum() == 1
+
+
+def plain_language(model, text):
+    """The prediction of a text from a full table of weights."""
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    v = {t: n * float(model.idf[t]) for t, n in plain_places(text).items()}
+    norm = sum(x * x for x in v.values()) ** 0.5
+    z = []
+    for k in range(len(model.languages)):
+        dense = {t: float(model.weights[model.rows[t], k]) for t in v if model.rows[t] >= 0}
+        z.append((sum(v[t] * w for t, w in dense.items()) / norm + float(model.intercepts[k])) / model.temperature)
+    e = [math.exp(x - max(z)) for x in z]
+    return model.languages[e.index(max(e))], max(e) / sum(e)
+
+
+def test_language_equals_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    held = crc_text(F.col("doc_id")) % 4 == 2
+    model = language.fit(docs, ~held)
+    learned = [r for r in docs.where(~held).collect() if r["text"] is not None and r["lang"] is not None]
+    seen = np.zeros(language.PLACES)
+    for r in learned:
+        for t in plain_places(r["text"]):
+            seen[t] += 1
+    assert np.allclose(model.idf, np.log((1 + len(learned)) / (1 + seen)) + 1)
+    for r in language.predict(docs, model).collect():
+        name, score = plain_language(model, r["text"])
+        assert r["lang_pred"] == name and abs(r["score"] - score) < 1e-9
+
+
+def test_more_languages_than_a_model_learns(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    rows = [(i, f"{'abcd'[i % 4] * 5} text", f"l{i % 4}") for i in range(40)] + [(100, "zzz", "l0"), (101, "yyy", "l2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True))
+    assert model.languages == ["l0", "l1", "l2"]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, model).collect()}
+    assert all(got[i] == f"l{i % 4}" for i in range(40) if i % 4 < 3) and {got[3]} <= set(model.languages)
 
 
 def test_language_held_out_accuracy(spark):
@@ -39,7 +95,8 @@ def test_language_held_out_accuracy(spark):
     model = language.fit(docs.unionByName(odd), ~held)
     again = language.fit(docs.unionByName(odd), ~held)
     assert (model.weights == again.weights).all() and model.temperature == again.temperature
-    assert (model.weights == 0).mean() > 0.5  # the penalties keep most weights at zero
+    # the penalties keep most weights at zero
+    assert (model.weights != 0).sum() < 0.5 * (language.PLACES + 1) * len(model.languages)
     rows = language.predict(docs.withColumn("score", F.lit("clash")), model).where(held).collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.9
     assert all(0 <= r["score"] <= 1 for r in rows)
@@ -67,6 +124,53 @@ def test_block_max_index_equals_brute_force():
         assert [i for _, i in got] == [i for _, i in brute] and [x for x, _ in got] == pytest.approx([x for x, _ in brute])
 
 
+def test_pruned_blocks_are_not_scored():
+    rng = random.Random(8)
+    vectors = []
+    for i in range(640):  # each group of 16 shares a strong term of its own; all share a weak one
+        v = {0: 0.2, 1 + i // 16: 0.9, 100 + rng.randrange(50): 0.3}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        vectors.append({t: x / norm for t, x in v.items()})
+    index = toxicity.BlockMaxIndex(vectors, block=16)
+    got = index.nearest({0: 0.1, 5: 1.0}, 7)
+    assert [i for _, i in got] == list(range(64, 71)) or {i for _, i in got} <= set(range(64, 80))
+    assert 0 < index.scored <= 4 * 16 * 2 < sum(1 for v in vectors if 0 in v)
+
+
+def plain_toxicity(model, vectors, text):
+    """Score and neighbours of a text by comparing it with every example."""
+    own = Counter()
+    for w, n in Counter(re.findall(r"[^\W_]+", (text or "").lower())).items():
+        marked = f"^{w}$"
+        for t in [w, *(marked[i:i + 5] for i in range(max(0, len(marked) - 4)))]:
+            if t in model.terms.ids:
+                own[model.terms.ids[t]] += n
+    v = {t: (1 + math.log(n)) * model.idf[t] for t, n in own.items()}
+    norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
+    found = sorted(((-round(sum(x / norm * e.get(t, 0.0) for t, x in v.items()), 12), i) for i, e in enumerate(vectors)))
+    near = [(-s, i) for s, i in found if s < 0][: model.k]
+    vote = (sum(s * model.labels[i] for s, i in near) + 0.25 * model.base) / (sum(s for s, _ in near) + 0.25)
+    vote = min(max(vote, 1e-4), 1 - 1e-4)
+    return 1 / (1 + math.exp(-(model.slope * math.log(vote / (1 - vote)) + model.shift))), near
+
+
+def test_toxicity_equals_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.fit(docs, labels, crc_text(F.col("doc_id")) % 5 != 0)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    seen = np.zeros(len(model.terms.ids))
+    for t in texts.values():
+        for i in model.terms.counts(t):
+            seen[i] += 1
+    assert np.allclose(model.idf, np.log((1 + len(texts)) / (1 + seen)) + 1)
+    vectors = [model.vector(model.terms.counts(texts[i])) for i in model.ids]
+    for r in toxicity.score(docs, model).collect():
+        score, near = plain_toxicity(model, vectors, r["text"])
+        assert abs(r["score"] - score) < 1e-9 and r["predicted"] == int(r["score"] >= 0.5)
+        assert [e["similarity"] for e in r["evidence"]] == pytest.approx([s for s, _ in near])
+
+
 def labelled(spark, n=300):
     rng = random.Random(3)
     bad = ["idiot", "scumbag", "loserling", "trashy"]
@@ -137,6 +241,50 @@ def test_mixing(spark, monkeypatch):
     assert {r["taken"] for r in mixing.mix(df.where("size(split(text, ' ')) = 1 and text = ''")).collect()} == {0}
 
 
+def plain_walk(rows, block, cap=2):
+    """(doc_id, source, size, taken, first slot, pieces): a walk over golden-ratio points through cumulative weights."""
+    sizes = {}
+    for _, s, t in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    target = brute_targets(sizes)
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    quota = {s: min(math.floor(float(target[s]) + 0.5), cap * sizes[s]) for s in names}
+    owner = [s for s in names for _ in range(-(-quota[s] // block))]
+    n = len(owner)
+    step = max(1, round(n * (5 ** 0.5 - 1) / 2))
+    while n and math.gcd(step, n) != 1:
+        step += 1
+    queue = {}  # a source's words in shuffled order, as (row, words)
+    for s in names:
+        own = sorted((hashlib.md5(f"mix:{'' if i is None else i}".encode()).hexdigest(), len((t or "").split()), at)
+                     for at, (i, src, t) in enumerate(rows) if src == s)
+        queue[s] = [[at, size] for _ in range(cap) for _, size, at in own if size]
+    out = {at: [0, None, 0] for at in range(len(rows))}
+    left = dict(quota)
+    for t in range(n):
+        s = owner[t * step % n]
+        room = min(block, left[s])
+        left[s] -= room
+        while room:
+            at, size = queue[s][0]
+            words = min(room, size)
+            out[at] = [out[at][0] + words, t if out[at][1] is None else out[at][1], out[at][2] + 1]
+            room, queue[s][0][1] = room - words, size - words
+            if not queue[s][0][1]:
+                queue[s].pop(0)
+    return sorted(str((rows[at][0], rows[at][1], len((rows[at][2] or "").split()), *x)) for at, x in out.items())
+
+
+@pytest.mark.parametrize("block", [7, 64, 5000])
+def test_mix_follows_the_schedule(spark, monkeypatch, block):
+    monkeypatch.setattr(mixing, "CHUNK", 16)
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["hot"] * 4 + ["b", "é", None]), " ".join(["x"] * rng.randrange(0, 60))) for i in range(150)]
+    rows += [(700, "long", "y " * 900), (701, "tiny", "y"), (702, "empty", "")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3), block=block)
+    assert sorted(str((r["doc_id"], r["source"], r["size"], r["taken"], r["first_slot"], r["slots"])) for r in got.collect()) == plain_walk(rows, block)
+
+
 def test_schedule_is_even(spark):
     from recengine.llm.common import Scratch
 
@@ -163,7 +311,9 @@ SECRETS = [None, "", "nothing", 'Password = "abcdefgh"', "token: secret: 'abcdef
            "token = token = token = 12345678", "tokentoken:abcdefghi\ntoken\n:abcdefghi"]
 
 
-def test_secrets_equal_brute_force(spark):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_secrets_equal_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(secrets, "BROADCAST_TEXTS", most)
     rng = random.Random(9)
     parts = ["password", "token", "Secret", "api_key", "apikey", "=", ":", " ", '"', "'", "abc", "12345678", "AKIA", "ABCDEFGHIJKL", "0123456789abcdef", "é", "\n"]
     texts = SECRETS + ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(200)]

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from recengine.llm import html_text
+from recengine.llm import html_text, topk
 from recengine.llm.token_counts import BytePairCounter, count_tokens
 from recengine.llm.topk import top_k
 
@@ -82,6 +82,25 @@ def test_top_k_equals_brute_force(spark, case):
     assert got == brute_top_k(rows, 10)
 
 
+def test_top_k_of_huge_numbers(spark):
+    rows = [(0, [1e17, 1.0]), (1, [1e17, 2.0]), (2, [-1e30, 5.0]), (3, [1e-3, 1.0]), (4, [3e38, 3e38]), (5, [2e30, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in top_k(df, F.col("id") % 100 == 0, k=10).collect())
+    most = 2 ** 62 - 1
+    exact = {j: sum(int(np.floor(1024 * float(np.float32(a)))) * int(np.floor(1024 * float(np.float32(b)))) for a, b in zip(rows[0][1], v)) for j, v in rows[1:]}
+    clipped = sorted((-max(-most, min(most, x)), j) for j, x in exact.items())
+    assert got == [(0, n + 1, j, -x) for n, (x, j) in enumerate(clipped)]
+
+
+def test_top_k_by_slices_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 300)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(4)
+    rows = [(int(i) * 20, [float(x) for x in rng.normal(size=4)]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert sorted(tuple(r) for r in top_k(df, F.col("id") % 100 == 0, k=5).collect()) == brute_top_k(rows, 5)
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(df, F.col("id") % 100 == 0).collect() == []
@@ -114,6 +133,74 @@ def test_main_text_of_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+def splits(node):
+    return set() if not isinstance(node, tuple) else {html_text.FEATURES[node[0]]} | splits(node[2]) | splits(node[3])
+
+
+def test_tree_splits_on_words_and_neighbours():
+    used = splits(html_text.tree())
+    assert {"words", "links", "aside"} <= used and used & {"links_before", "words_before"} and used & {"links_after", "words_after"}
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="layout with-sidebar"><article><p>Words of it.</p></article></div>',
+    '<div class="search-page"><main><p>Words of it.</p></main></div>',
+    '<div id="page" class="has-banner"><article><p>Words of it.</p></article></div>',
+    '<article><section class="social-history"><p>Words of it.</p></section></article>',
+    '<form action="/"><div class="sidebar"><main><p>Words of it.</p></main></div></form>',
+    '<div class="widget no-ads"><article><p>Words of it.</p></article></div>'])
+def test_wrappers_do_not_hide_the_article(page):
+    assert html_text.main_text(page) == "Words of it."
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be.</p></article>", "Let x=2 be."),
+    ("<article><p>Press <button>OK</button> now.</p></article>", "Press OK now."),
+    ('<div class="comments"><article><p>Nice!</p></article></div><article><p>Text.</p></article>', "Text."),
+    ('<main><p>Text.</p><div class="share-buttons">Share</div><ul class="related-posts"><li>More</ul></main>', "Text."),
+    ('<section class="related"><article><p>Other</p></article></section>', "")])
+def test_parts_inside_and_around_articles(page, text):
+    assert html_text.main_text(page) == text
+
+
+def made_page(rng):
+    """(page, main text) without any telling name: what is text follows from how the page was made."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    words = lambda a, b: " ".join(word() for _ in range(rng.randint(a, b)))
+    links = lambda n: "".join(f"<li><a href='/{word()}'>{words(1, 3)}</a></li>" for _ in range(n))
+    text, body = [], []
+
+    def say(tag, t):
+        text.append(t)
+        body.append(f"<{tag}>{t}</{tag}>")
+
+    say("h1", words(4, 10))
+    for _ in range(rng.randint(2, 6)):
+        say("p", words(30, 90))
+        if rng.random() < 0.4:
+            say("p", words(3, 9))
+            say("p", words(30, 70))
+        if rng.random() < 0.3:
+            say("h2", words(2, 5))
+            say("div", words(25, 60))
+    top = rng.choice(["", f"<div>{words(8, 17)}</div>"])
+    menu, foot = f"<ul>{links(rng.randint(3, 7))}</ul>", f"<ul>{links(rng.randint(2, 5))}</ul><div>{words(4, 12)}</div>"
+    style = rng.choice(["soup", "article", "wrapped"])
+    main = "".join(body)
+    if style == "article":
+        main = f"<article>{main}</article>"
+    if style == "wrapped":
+        main = f"<div class='layout with-sidebar'><main>{main}</main></div>"
+    return f"<html><head><title>{word()}</title></head><body>{top}{menu}<div>{main}</div>{foot}</body></html>", "\n\n".join(text)
+
+
+def test_made_pages_give_their_text_back():
+    rng = random.Random(4)
+    pages = [made_page(rng) for _ in range(300)]
+    wrong = [p for p, t in pages if html_text.main_text(p) != t]
+    assert len(wrong) <= 0.01 * len(pages), wrong[0]
+
+
 def test_tree_learns_its_table():
     rows = html_text.labelled_table()
     assert all(html_text.is_main(x) == bool(y) for x, y in rows)
