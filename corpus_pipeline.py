@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from recengine.llm import mixing, secrets
 from recengine.llm import toxicity as tox
-from recengine.llm.common import Scratch, crc_text
+from recengine.llm.common import Scratch, crc_text, fresh_name
 from recengine.llm.decontaminate import find_leaks, without_leaks
 from recengine.llm.ngram_join import one_of_each
 
@@ -25,7 +25,8 @@ from recengine.llm.ngram_join import one_of_each
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = tox.fit(docs, labels, learn=crc_text(F.col("doc_id")) % 5 != 0)
-    kept = tox.score(docs, model, score="_score", predicted="_toxic", evidence=None).where("_toxic = 0")
+    score, toxic = fresh_name(docs, "score"), fresh_name(docs, "toxic")
+    kept = tox.score(docs, model, score=score, predicted=toxic, evidence=None).where(F.col(toxic) == 0)
     return kept.select(*docs.columns)
 
 
@@ -39,12 +40,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secrets.scan(docs)
-    text = secrets.masked(F.col("text"), F.col("found"))
-    hit = F.size("found") > 0
-    out = found.withColumn("_text", text).withColumn(
-        "n_chars", F.when(hit, F.char_length("_text").cast("long")).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("_text")).select(*docs.columns)
+    spans, clean = fresh_name(docs, "found"), fresh_name(docs, "clean")
+    found = secrets.scan(docs, found=spans)
+    out = found.withColumn(clean, secrets.masked(F.col("text"), F.col(spans))).withColumn(
+        "n_chars", F.when(F.size(spans) > 0, F.char_length(clean).cast("long")).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.col(clean)).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
