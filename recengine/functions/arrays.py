@@ -38,8 +38,8 @@ def zeros(d: int) -> Column:
 
 
 def flat_sorted(lists) -> Column:
-    """All entries of the lists, sorted (native sort, no comparator)."""
-    return F.array_sort(F.flatten(_c(lists)))
+    """All entries of the lists, sorted (native sort; ``array_sort`` would call a lambda for every comparison)."""
+    return F.sort_array(F.flatten(_c(lists)))
 
 
 def rank_sorted_by_frequency(sorted_col, reversed_col) -> Column:
@@ -57,5 +57,5 @@ def rank_sorted_by_frequency(sorted_col, reversed_col) -> Column:
         count = n - F.array_position(rs, q) - F.array_position(s, q) + 2
         return F.concat(F.lpad((F.lit(10 ** 9) - count).cast("string"), 10, "0"), q)
 
-    ranked = F.array_sort(F.transform(F.array_distinct(s), key))
+    ranked = F.sort_array(F.transform(F.array_distinct(s), key))
     return F.transform(ranked, lambda k: F.substring(k, 11, 1 << 30))

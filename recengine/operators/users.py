@@ -47,12 +47,15 @@ def packed_genres(genres, vocabulary: list[str]) -> dict[str, "F.Column"]:
 
 
 def top_genres(vocabulary: list[str]):
-    """Places of the present genres in the vocabulary, by falling count, then by name; from the frame's packed counts."""
+    """The present genres by falling count, then by name, as count * 64 + 63 - place in the vocabulary; nulls after them.
+
+    ``sort_array`` compares numbers natively; ``array_sort`` would call a lambda for every comparison.
+    """
     keys = []
     for i in range(len(vocabulary)):
         count = F.shiftright(F.col(f"_g{i // FIELDS}"), FIELD_BITS * (i % FIELDS)).bitwiseAND(F.lit((1 << FIELD_BITS) - 1))
-        keys.append(F.when(count > 0, (F.lit(1 << FIELD_BITS) - count) * 64 + i))
-    return F.transform(F.array_sort(F.array_compact(F.array(*keys))), lambda k: k.bitwiseAND(F.lit(63)).cast("int"))
+        keys.append(F.when(count > 0, count * 64 + (63 - i)))
+    return F.sort_array(F.array(*keys), asc=False)
 
 
 def history_window(order: list[str], frame: int = S.HISTORY_FRAME, salted: bool = True):
@@ -94,7 +97,7 @@ def deviation(squares: str, total: str, n: str):
 
 
 def user_feature_columns(slots: int = S.HISTORY_SLOTS, vocabulary: list[str] | None = None) -> dict[str, "F.Column"]:
-    """Final columns from the frame's sums, ``_hist`` and ``_top`` (ranked genres, or their places in the vocabulary)."""
+    """Final columns from the frame's sums, ``_hist`` and ``_top`` (ranked genres, or with a vocabulary ``top_genres``)."""
     cols = {f"userRatedMovie{i + 1}": F.get(F.col("_hist"), F.size("_hist") - 1 - i) for i in range(slots)}
     of_ratings = lambda c: F.when(F.col("_odd") > 0, F.lit(ODD)).otherwise(c)
     cols["userRatingCount"] = F.col("_n")
@@ -105,7 +108,7 @@ def user_feature_columns(slots: int = S.HISTORY_SLOTS, vocabulary: list[str] | N
     names = F.array(*[F.lit(g) for g in vocabulary]) if vocabulary else F.lit(None).cast("array<string>")
     for i in range(slots):
         place = F.get(F.col("_top"), i)
-        cols[f"userGenre{i + 1}"] = place if vocabulary is None else F.get(names, place)
+        cols[f"userGenre{i + 1}"] = place if vocabulary is None else F.get(names, (F.lit(63) - place.bitwiseAND(F.lit(63))).cast("int"))
     return cols
 
 
@@ -147,7 +150,7 @@ def add_user_features(samples: DataFrame, order: list[str] | None = None, frame:
     # filter right above the Window: halo copies and rows with too short a history go first
     win = win.where(~F.col("_halo") & (F.col("_n") > min_prior))
     if packs:
-        ranked = win.withColumn("_top", top_genres(vocabulary) if vocabulary else F.array().cast("array<int>"))
+        ranked = win.withColumn("_top", top_genres(vocabulary) if vocabulary else F.array().cast("array<bigint>"))
     else:  # genre ranking in steps, each array materialised once per row
         ranked = (win.withColumn("_s", flat_sorted("_gl"))
                      .withColumn("_rs", F.reverse("_s"))
