@@ -80,6 +80,24 @@ def test_history_lookup_paths_agree(spark):
     assert small[0]["history_vectors"] == [[3.0, 1.0], [0.0, 0.0]] and small[0]["history_mask"] == [1, 0]
 
 
+def test_neighbouring_rows_ask_for_a_vector_once(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK_ROWS", 8)
+    rows = [(u, t, 10 + t, *[10 + t - i if t > i else None for i in range(1, 4)]) for u in range(5) for t in range(40)]
+    df = spark.createDataFrame(rows, "u long, t long, m long, a long, b long, c long").coalesce(1)
+    # Numbers that no float holds, a null number, a null vector and ids without a vector.
+    vec = spark.createDataFrame([(i, None if i == 20 else [0.1 * i, None if i == 21 else 1.0]) for i in range(10, 45)], "id long, vector array<double>")
+    asked = V.asked(df.withColumn("_block", F.floor(F.monotonically_increasing_id() / 8)), ["a", "b", "c"])
+    slots = sum(x is not None for r in rows for x in r[3:])
+    assert asked.count() < slots / 2
+    for table in (vec, vec.withColumn("vector", F.transform("vector", lambda x: x.cast("float").cast("double")))):
+        small = V.history_lookup(df, table, ["a", "b", "c"], 2, item=("m", "own"))
+        large = V.history_lookup(df, table, ["a", "b", "c"], 2, max_broadcast_rows=1, item=("m", "own"))
+        assert small.columns == large.columns and large.count() == len(rows)
+        assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    assert V.travelling(vec).schema["vector"].dataType.simpleString() == "array<double>"
+    assert V.travelling(table).schema["vector"].dataType.simpleString() == "array<float>"
+
+
 def test_lsh_recall_on_fixture_vectors(spark):
     from tests.conftest import SF
     from recengine.sources import fixtures as X
