@@ -302,3 +302,51 @@ def test_leaks_with_many_substitutions_equal_brute_force(spark):
     got = [(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(df, marks, least_words=1).collect()]
     expected = {(d, i) for d, t in docs for i, w in items if held(t, w)}
     assert set(got) == expected and len(got) == len(expected) and any(i is None for _, i in got)
+
+
+def near_pairs_of_frequent_lines(seed):
+    """Pairs of documents with the same five lines in a row but for one word, among lines that many documents hold."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    lines = [[word() for _ in range(14)] for _ in range(10)]
+    rows = []
+    for i in range(400):  # single lines in contexts of their own
+        text = []
+        for line in rng.sample(lines, 5):
+            text += [*line, *[word() for _ in range(30)]]
+        rows.append((i, " ".join(text)))
+    for pair in range(6):
+        order = rng.sample(lines, 5)
+        for side in range(2):
+            body = [w for line in order for w in line]
+            if side:
+                body[35] = word()
+            rows.append((1000 + 2 * pair + side, " ".join([*[word() for _ in range(60)], *body, *[word() for _ in range(60)]])))
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [1024, 50])
+def test_near_passages_in_crowded_groups(spark, monkeypatch, chunk):
+    monkeypatch.setattr(passages, "SEED_CHUNK", chunk)
+    rows = near_pairs_of_frequent_lines(7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in passages.repeated_passages(df).collect()}
+    assert set(got) == set(range(1000, 1012))
+    assert all(r["n_words"] >= 68 and 58 <= r["first_word"] <= 62 for r in got.values())
+
+
+def test_shared_run_of_similar_sequences():
+    assert passages.shared_run(5, 46, 75, 100) == 18 and passages.shared_run(5, 46, 100, 100) == 46
+    rng = random.Random(2)
+    run = passages.shared_run(5, 46, 75, 100)
+    for _ in range(300):
+        x = [f"a{i}" for i in range(rng.randrange(50, 150))]
+        y = list(x)
+        for _ in range(rng.randrange(1, 8)):
+            at = rng.randrange(len(y))
+            y[at:at + rng.randrange(2)] = [f"b{rng.random()}"][:rng.randrange(2)]
+        left, right = ([tuple(z[i: i + 5]) for i in range(len(z) - 4)] for z in (x, y))
+        shared = len(set(left) & set(right))
+        if 100 * shared >= 75 * (len(left) + len(right) - shared) and min(len(left), len(right)) >= 46:
+            runs = {tuple(right[i: i + run]) for i in range(len(right) - run + 1)}
+            assert any(tuple(left[i: i + run]) in runs for i in range(len(left) - run + 1))
