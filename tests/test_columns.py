@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from recengine import schemas as S
 from recengine.functions import columns as C
 from recengine.operators import encoders as E
+from recengine.operators import users as U
 
 
 def test_label_edges(spark):
@@ -58,3 +59,33 @@ def test_md5_bucket_matches_python(spark):
     got = [r[0] for r in df.select(C.md5_bucket(["a", "b"], 1000, "s")).collect()]
     want = [int(hashlib.md5(f"s_{a}_{b}".encode()).hexdigest()[:8], 16) % 1000 for a, b in [(1, 2), (30, 4000)]]
     assert got == want
+
+
+def inside_lambdas(df) -> str:
+    """What the first line of a plan evaluates for each element of an array."""
+    return df._jdf.queryExecution().analyzed().toString().splitlines()[0].partition("lambdafunction(")[2]
+
+
+def test_indicators_build_their_arrays_once(spark):
+    df = spark.createDataFrame([(i,) for i in (None, -1, 0, 2, 3, 4)], "i int")
+    rows = df.select("i", E.indicator("i", 4).alias("one"), E.active_indices(F.concat(E.indicator("i", 4), E.indicator("i", 4))).alias("act"))
+    for r in rows.collect():
+        inside = r["i"] is not None and 0 <= r["i"] < 4
+        assert r["one"] == [float(j == r["i"]) for j in range(4)]
+        assert r["act"] == ([r["i"], r["i"] + 4] if inside else [])
+    odd = spark.createDataFrame([([0.0, None, float("nan"), -0.0, 2.0],), (None,)], "a array<double>")
+    assert [r[0] for r in odd.select(E.active_indices("a")).collect()] == [[2, 4], None]
+    assert "array_repeat" not in inside_lambdas(rows) and "#" not in inside_lambdas(df.select(E.indicator("i", 4)))
+
+
+def test_top_genres_build_their_array_once(spark):
+    vocabulary = [f"g{i}" for i in range(7)]  # the last number has one genre
+    rows = [[0, 0, 0, 0, 0, 0, 0], [1, 0, 3, 3, 0, 0, 9], [0, 0, 0, 0, 0, 0, 1], [1, 1, 1, 1, 1, 1, 1], [0, 7, 0, (1 << 20) - 1, 0, 7, 0]]
+    pack = lambda x: [sum(n << (U.FIELD_BITS * i) for i, n in enumerate(x[at:at + U.FIELDS])) for at in range(0, 7, U.FIELDS)]
+    df = spark.createDataFrame([(i, *pack(x)) for i, x in enumerate(rows)], "k int, _g0 long, _g1 long, _g2 long")
+    ranked = df.withColumn("_top", U.top_genres(vocabulary))
+    names = {k: c for k, c in U.user_feature_columns(vocabulary=vocabulary).items() if k.startswith("userGenre")}
+    for r in ranked.select("k", *[c.alias(k) for k, c in names.items()]).collect():
+        present = sorted((i for i in range(7) if rows[r["k"]][i]), key=lambda i: (-rows[r["k"]][i], i))
+        assert [r[f"userGenre{i}"] for i in range(1, 6)] == ([vocabulary[i] for i in present] + [None] * 5)[:5]
+    assert "_g0" not in inside_lambdas(ranked)
