@@ -1,7 +1,7 @@
 """Model job: train/test sample folders (as written by build_samples) -> one of the six model families ->
 held-out scores, a preview, log loss / accuracy / ROC / PR (parquet) + saved model.
 
-    spark-submit jobs/train.py SAMPLES OUT [--model FAMILY] [--format csv|parquet] [--vocab A,B,...] [--max-fit-rows N]
+    spark-submit jobs/train.py SAMPLES OUT [--model FAMILY] [--format csv|parquet] [--vocab A,B,...]
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main(argv=None, spark=None):
-    from recengine.operators.recommenders import FAMILIES, MAX_FIT_ROWS
+    from recengine.operators.recommenders import FAMILIES
 
     ap = argparse.ArgumentParser()
     ap.add_argument("samples")
@@ -22,7 +22,6 @@ def main(argv=None, spark=None):
     ap.add_argument("--model", default="embedding_mlp", choices=FAMILIES)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"], help="format of the sample folders")
     ap.add_argument("--vocab", default=None, help="comma-separated genre vocabulary (index order)")
-    ap.add_argument("--max-fit-rows", type=int, default=MAX_FIT_ROWS, help="rows that fit the networks of the stacked families; every test row is scored")
     a = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -39,7 +38,7 @@ def main(argv=None, spark=None):
     ensure_checkpoint_dir(spark)
     vocab = a.vocab.split(",") if a.vocab else S.GENRE_VOCAB_MOVIELENS
     train, test = (readers.read_samples(spark, f"{a.samples}/split={part}", fmt=a.format) for part in ("train", "test"))
-    model = new_model(a.model, vocab, a.max_fit_rows).fit(train)
+    model = new_model(a.model, vocab).fit(train)
     model.save(f"{a.out}/model")
     scores = f"{a.out}/scores"
     model.score(test).write.mode("overwrite").parquet(scores)
