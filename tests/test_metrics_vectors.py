@@ -1,6 +1,8 @@
+import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -136,3 +138,25 @@ def test_attention_net_matches_row_loop(spark):
             assert abs(got[k]["attention_weights"][i] - w) < 1e-12
             pooled += w * hv
         assert np.allclose(got[k]["pooled_history"], pooled, atol=1e-12)
+
+
+def test_attention_pool_runs_in_batches_and_keeps_odd_rows(spark):
+    d = 3
+    rng = np.random.default_rng(2)
+    vector = lambda: [float(x) for x in rng.normal(size=d)]
+    rows = [(k, [vector() for _ in range(5)], [int(x) for x in rng.integers(0, 2, size=5)], vector()) for k in range(20)]
+    rows += [(20, None, [1] * 5, vector()), (21, [vector(), [1.0, None, 2.0]], [1, 1], vector()), (22, [vector(), None], [1, 0], vector()),
+             (23, [vector()] * 2, [1, None], vector()), (24, [vector()] * 2, [1, 0], None), (25, [], [], vector())]
+    df = spark.createDataFrame(rows, "k long, history_vectors array<array<double>>, history_mask array<int>, item_vector array<double>").coalesce(1)
+    pooled = AT.attention_pool(df, d)
+    assert "ArrowEvalPython" in pooled._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: (r["attention_weights"], r["pooled_history"]) for r in pooled.collect()}
+    coef = [AT.rule_weights(k, d) for k in range(4)]
+    for k, h, m, c in rows[:20]:
+        w = [1 / (1 + math.exp(-(AT.ATTENTION_BIAS + sum(coef[0][j] * (x[j] - c[j]) + coef[1][j] * x[j] + coef[2][j] * c[j] + coef[3][j] * x[j] * c[j]
+                                                         for j in range(d))))) if on else 0.0 for x, on in zip(h, m)]
+        assert got[k][0] == pytest.approx(w, abs=6e-7) and got[k][1] == pytest.approx([sum(a * x[j] for a, x in zip(w, h)) for j in range(d)], abs=6e-7)
+        assert all(x == round(x, 6) for part in got[k] for x in part)
+    assert got[20] == (None, None) and got[21][0][0] is not None and got[21][0][1] is None and got[21][1] == [None] * d
+    assert got[22][0][1] == 0.0 and got[22][1] is None and got[23][0][1] == 0.0 and None not in got[23][1]
+    assert got[24] == ([None, 0.0], [None] * d) and got[25] == ([], [0.0] * d)
